@@ -1,0 +1 @@
+"""quayside.streaming."""
