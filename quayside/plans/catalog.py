@@ -1,210 +1,4 @@
-"""Registry of named queries: a Spark builder and, where SQL can say it, a DuckDB oracle.
+"""The full query catalog: importing this module registers every query."""
 
-Each builder takes ``(spark, sf_dir)`` and reads the supplied tables under ``sf_dir``;
-each oracle is a query over the same tables registered as views.  Column names and
-types agree between the two (doubles for money and percentages, bigint for counts).
-"""
-
-from __future__ import annotations
-
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-from quayside.plans import analogue as A
-from quayside.plans import basket, occupancy
-
-Builder = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Builder] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn: Builder) -> Builder:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-    return deco
-
-
-# --------------------------------------------------------------------------- inputs
-
-def harbour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The harbour table: presence with the minute correction (C7/X16) applied."""
-    p = A.presence(spark, sf_dir).withColumnRenamed("dt", "DateTime")
-    return occupancy.zero_harbour_minutes(p)
-
-
-def hourly_harbour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hourly harbour table built from stays (R3 + X16)."""
-    return occupancy.hourly_presence(A.stays(spark, sf_dir))
-
-
-_HARBOUR_SQL = {
-    "harbour": """
-        SELECT dt - to_minutes(CAST(minute(dt) AS BIGINT)) AS DateTime, boat, passengers, agent
-        FROM presence""",
-}
-_HOURLY_SQL = {
-    "hours": """
-        SELECT boat, passengers,
-               unnest(generate_series(arrival, departure, INTERVAL 1 HOUR)) AS h
-        FROM stays WHERE arrival <= departure""",
-    "hourly": """
-        SELECT h - to_minutes(CAST(minute(h) AS BIGINT)) AS DateTime, boat, passengers
-        FROM hours""",
-}
-
-
-def _basket_inputs(spark, sf_dir):
-    return (harbour(spark, sf_dir), A.sales(spark, sf_dir), A.groups(spark, sf_dir),
-            A.dictionary(spark, sf_dir))
-
-
-# --------------------------------------------------------------------------- Q3-Q5
-
-@register("occupancy_by_time", A.with_views("""
-    SELECT DateTime, CAST(SUM(passengers) AS BIGINT) AS passengers_sum
-    FROM harbour GROUP BY DateTime ORDER BY passengers_sum""", "presence", ctes=_HARBOUR_SQL))
-def q_occupancy_by_time(spark, sf_dir):
-    return occupancy.occupancy_by_time(harbour(spark, sf_dir))
-
-
-_INTERVALS_SQL = """
-    SELECT MIN(DateTime) AS interval_start, MAX(DateTime) AS interval_end, passengers_sum
-    FROM (SELECT DateTime, passengers_sum,
-                 SUM(change_flag) OVER (ORDER BY DateTime) AS change_group
-          FROM (SELECT DateTime, passengers_sum,
-                       CASE WHEN passengers_sum = LAG(passengers_sum) OVER (ORDER BY DateTime)
-                            THEN 0 ELSE 1 END AS change_flag
-                FROM t_sum) c) g
-    GROUP BY passengers_sum, change_group
-    ORDER BY passengers_sum DESC"""
-
-
-@register("occupancy_intervals", A.with_views(_INTERVALS_SQL, "stays", ctes={
-    **_HOURLY_SQL,
-    "t_sum": "SELECT DateTime, CAST(SUM(passengers) AS BIGINT) AS passengers_sum "
-             "FROM hourly GROUP BY DateTime"}))
-def q_occupancy_intervals(spark, sf_dir):
-    return occupancy.occupancy_intervals(hourly_harbour(spark, sf_dir))
-
-
-@register("occupancy_intervals_daily", A.with_views(_INTERVALS_SQL, "presence", ctes={
-    **_HARBOUR_SQL,
-    "t_sum": "SELECT DateTime, CAST(SUM(passengers) AS BIGINT) AS passengers_sum "
-             "FROM harbour GROUP BY DateTime"}))
-def q_occupancy_intervals_daily(spark, sf_dir):
-    return occupancy.occupancy_intervals(harbour(spark, sf_dir))
-
-
-@register("presence_share", A.with_views("""
-    SELECT h.DateTime, t.passengers_sum, h.boat, n.nationality, h.passengers, h.agent,
-           CAST(ROUND(h.passengers * 100.0 / t.passengers_sum, 1) AS DOUBLE)
-               AS passengers_percentage
-    FROM harbour h
-    JOIN t_sum t ON h.DateTime = t.DateTime
-    JOIN groups n ON h.boat = n.boat""", "presence", "groups", ctes={
-    **_HARBOUR_SQL,
-    "t_sum": "SELECT DateTime, CAST(SUM(passengers) AS BIGINT) AS passengers_sum "
-             "FROM harbour GROUP BY DateTime"}))
-def q_presence_share(spark, sf_dir):
-    h = harbour(spark, sf_dir)
-    out = occupancy.presence_share(h, A.groups(spark, sf_dir))
-    return out.withColumn("passengers_percentage", out["passengers_percentage"].cast("double"))
-
-
-# --------------------------------------------------------------------------- Q1, Q2, Q6, Q7
-
-_KOMBI_REPLICATED = """
-    SELECT s.product, d.EN, s.units, s.total_price, h.boat, n.nationality
-    FROM sales s
-    JOIN harbour h ON s.dt = h.DateTime
-    JOIN groups n ON h.boat = n.boat
-    JOIN dictionary d ON s.product = d.product"""
-
-_KOMBI_APPORTIONED = """
-    SELECT s.product, d.EN, a.boat, n.nationality,
-           ROUND(s.units * a.share * 0.01, 0) AS units_adjusted,
-           ROUND(s.total_price * a.share * 0.01, 0) AS total_price_adjusted
-    FROM sales s
-    JOIN adjusted a ON s.dt = a.DateTime
-    JOIN groups n ON a.boat = n.boat
-    JOIN dictionary d ON s.product = d.product"""
-
-_ADJUSTED = {
-    "t_sum": "SELECT DateTime, SUM(passengers) AS passengers_sum FROM harbour GROUP BY DateTime",
-    "adjusted": """
-        SELECT h.DateTime, h.boat,
-               CAST(ROUND(h.passengers * 100.0 / t.passengers_sum, 1) AS DECIMAL(18,1)) AS share
-        FROM harbour h JOIN t_sum t ON h.DateTime = t.DateTime""",
-}
-
-_PRODUCT_TOTALS = """
-    SELECT d.EN, SUM(s.total_price) AS total_revenue_product, SUM(s.units) AS total_units_product
-    FROM sales s JOIN dictionary d ON s.product = d.product GROUP BY d.EN"""
-
-
-def _product_share_sql(kombi: str, price: str, units: str, extra: dict) -> str:
-    return A.with_views(f"""
-    SELECT k.EN, k.nationality,
-           CAST(ROUND(SUM(k.{price}), 0) AS DOUBLE) AS total_revenue,
-           CAST(SUM(k.{units}) AS BIGINT) AS total_units_sold,
-           CAST(ROUND(SUM(k.{price}) * 100.0 / pt.total_revenue_product, 1) AS DOUBLE)
-               AS revenue_percentage,
-           CAST(ROUND(SUM(k.{units}) * 100.0 / pt.total_units_product, 1) AS DOUBLE)
-               AS units_percentage
-    FROM kombi k JOIN product_totals pt ON k.EN = pt.EN
-    GROUP BY k.EN, k.nationality, pt.total_revenue_product, pt.total_units_product
-    ORDER BY k.EN, k.nationality""", "presence", "sales", "groups", "dictionary", ctes={
-        **_HARBOUR_SQL, **extra, "kombi": kombi, "product_totals": _PRODUCT_TOTALS})
-
-
-def _basket_mix_sql(kombi: str, price: str, units: str, extra: dict) -> str:
-    return A.with_views(f"""
-    SELECT r.nationality, r.EN,
-           CAST(ROUND(r.product_revenue, 0) AS DOUBLE) AS product_revenue,
-           CAST(ROUND(t.total_revenue, 0) AS DOUBLE) AS total_revenue,
-           CAST(ROUND(r.product_revenue * 100.0 / t.total_revenue, 2) AS DOUBLE)
-               AS percentage_of_total_revenue,
-           CAST(r.product_units AS BIGINT) AS product_units,
-           CAST(t.total_units AS BIGINT) AS total_units,
-           CAST(ROUND(r.product_units * 100.0 / t.total_units, 2) AS DOUBLE)
-               AS percentage_of_total_units
-    FROM revenue_by_product r JOIN total_revenue t ON r.nationality = t.nationality
-    ORDER BY r.nationality, percentage_of_total_revenue DESC""",
-        "presence", "sales", "groups", "dictionary", ctes={
-        **_HARBOUR_SQL, **extra, "kombi": kombi,
-        "total_revenue": f"SELECT nationality, SUM({price}) AS total_revenue, "
-                         f"SUM({units}) AS total_units FROM kombi GROUP BY nationality",
-        "revenue_by_product": f"SELECT nationality, EN, SUM({price}) AS product_revenue, "
-                              f"SUM({units}) AS product_units FROM kombi "
-                              f"GROUP BY nationality, EN"})
-
-
-@register("replicated_product_share",
-          _product_share_sql(_KOMBI_REPLICATED, "total_price", "units", {}))
-def q_replicated_product_share(spark, sf_dir):
-    return basket.replicated_product_share(*_basket_inputs(spark, sf_dir))
-
-
-@register("replicated_basket_mix",
-          _basket_mix_sql(_KOMBI_REPLICATED, "total_price", "units", {}))
-def q_replicated_basket_mix(spark, sf_dir):
-    return basket.replicated_basket_mix(*_basket_inputs(spark, sf_dir))
-
-
-@register("apportioned_product_share",
-          _product_share_sql(_KOMBI_APPORTIONED, "total_price_adjusted", "units_adjusted",
-                             _ADJUSTED))
-def q_apportioned_product_share(spark, sf_dir):
-    return basket.apportioned_product_share(*_basket_inputs(spark, sf_dir))
-
-
-@register("apportioned_basket_mix",
-          _basket_mix_sql(_KOMBI_APPORTIONED, "total_price_adjusted", "units_adjusted",
-                          _ADJUSTED))
-def q_apportioned_basket_mix(spark, sf_dir):
-    return basket.apportioned_basket_mix(*_basket_inputs(spark, sf_dir))
+from quayside.plans import analytics, records, text_times  # noqa: F401
+from quayside.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -39,6 +39,7 @@ def build_session(master: str | None = None, app_name: str = "quayside",
     builder = builder.master(master or f"local[{cpus}]")
     conf = dict(DEFAULT_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf["spark.driver.memory"] = os.environ.get("QUAYSIDE_DRIVER_MEMORY", "16g")
     conf.update(extra or {})

@@ -25,3 +25,15 @@ def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Register every supplied table as a temporary view for SQL use."""
     for name in names:
         read_table(spark, sf_dir, name).createOrReplaceTempView(name)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small table of literal rows (keyword lists, recode maps, fix lists).
+
+    Built as an inline generator so the optimizer knows its size, which lets the joins
+    that use it take the size-checked broadcast path.
+    """
+    from pyspark.sql import functions as F
+
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
