@@ -8,6 +8,7 @@ partitions AQE splits.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,25 @@ def bounded_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> Da
     return df
 
 
+def measured_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """Broadcast ``df`` when its *measured* size is at most ``limit`` bytes.
+
+    For a side derived by joins and aggregates the optimizer's estimate is useless (a
+    join is estimated as the product of its inputs).  Such a side is materialized once
+    (memory and disk; lost blocks are recomputed from lineage), its real size is read
+    from the cache statistics, and it is broadcast only if it fits.  Otherwise the cached
+    side is returned and the join is left to the planner and AQE.
+    """
+    if (est := estimated_size(df)) is not None and est <= limit:
+        return F.broadcast(df)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    size = estimated_size(cached)
+    if size is not None and size <= limit:
+        return F.broadcast(cached)
+    return cached
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
                 limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
     """Fact table enriched from a lookup table; unmatched facts are dropped (inner).

@@ -34,7 +34,7 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = read_table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("boat"), F.col("n_name").alias("agent"))
-    counts = (orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+    counts = (lookup_join(orders, customer, orders.o_custkey == customer.c_custkey)
               .groupBy(F.col("o_orderdate").alias("dt"), F.col("c_nationkey").alias("boat"))
               .agg(F.count(F.lit(1)).cast("int").alias("passengers")))
     # nation has a fixed 25 rows; the join is on the aggregated rows.
@@ -43,7 +43,8 @@ def presence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales analogue: (dt, product, units, total_price decimal(18,2))."""
-    li = read_table(spark, sf_dir, "lineitem")
+    # The sales table feeds the sale x visitor-group fan-out: spread if it is a few files.
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
     return li.select(
         F.col("l_shipdate").alias("dt"),
         F.col("l_partkey").alias("product"),

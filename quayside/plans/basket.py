@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.aggregates import percent_of
-from quayside.operators.joins import bounded_broadcast, lookup_join, with_group_total
+from quayside.operators.joins import (bounded_broadcast, lookup_join, measured_broadcast,
+                                      with_group_total)
 
 _MONEY = "decimal(22,2)"
 
@@ -52,62 +53,95 @@ def _enrich_and_sum(rows: DataFrame, dictionary: DataFrame, keys: list[str],
         *[F.sum(name).alias(name) for name in sums])
 
 
+def _priced(sales: DataFrame) -> DataFrame:
+    """Sales with the price in whole cents (exact for ``decimal(18,2)``), once per sale."""
+    return sales.select("dt", "product", "units",
+                        (F.col("total_price") * F.lit(100)).cast("bigint").alias("cents"))
+
+
+def _money(cents_sum) -> Column:
+    """Summed cents back to currency as an exact decimal."""
+    return F.col(cents_sum).cast("decimal(38,0)") / F.lit(100)
+
+
+def round_div(numerator: str, denominator: int) -> Column:
+    """``ROUND(numerator / denominator, 0)`` half away from zero, in exact integer math.
+
+    ``numerator`` names a bigint column and ``denominator`` is a positive constant; the
+    result is bigint.  Integer overflow fails the query (ANSI) rather than wrapping.
+    """
+    d = int(denominator)
+    n = f"`{numerator}`"
+    return F.expr(f"CASE WHEN {n} >= 0 THEN ({n} * 2 + {d}) div {2 * d} "
+                  f"ELSE -((-{n} * 2 + {d}) div {2 * d}) END")
+
+
 def product_totals(sales: DataFrame, dictionary: DataFrame) -> DataFrame:
     """``EN, total_revenue_product, total_units_product`` over all sales."""
-    return _enrich_and_sum(sales, dictionary, [], {
-        "total_revenue_product": F.sum("total_price"),
-        "total_units_product": F.sum("units")})
+    sums = _enrich_and_sum(_priced(sales), dictionary, [], {
+        "cents": F.sum("cents"), "units": F.sum("units")})
+    return sums.select("EN", _money("cents").alias("total_revenue_product"),
+                       F.col("units").alias("total_units_product"))
 
 
 def groups_present(harbour: DataFrame, nationalities: DataFrame,
                    time_col: str = "DateTime") -> DataFrame:
     """(time, nationality, groups): visitor-group rows of each nationality present."""
     return (lookup_join(harbour.select(time_col, "boat"), nationalities, "boat")
-            .groupBy(time_col, "nationality").agg(F.count(F.lit(1)).cast("int").alias("groups")))
+            .groupBy(time_col, "nationality").agg(F.count(F.lit(1)).alias("groups")))
 
 
 def shares_present(harbour: DataFrame, nationalities: DataFrame,
                    time_col: str = "DateTime") -> DataFrame:
-    """(time, nationality, share, groups): rounded passenger shares of each group.
+    """(time, nationality, share10, groups): rounded passenger shares of each group.
 
-    The share is ``ROUND(passengers * 100 / passengers_sum, 1)`` where the total covers
-    all groups present, also those without a nationality.  Groups with equal share and
-    nationality at the same time are counted together.
+    The share is ``ROUND(passengers * 100 / passengers_sum, 1)`` (exact decimal) where the
+    total covers all groups present, also those without a nationality; ``share10`` is it
+    in tenths of a percent.  Groups with equal share and nationality at the same time are
+    counted together.
     """
     with_total = with_group_total(harbour.select(time_col, "boat", "passengers"),
                                   time_col, "passengers", "passengers_sum")
-    shares = with_total.select(time_col, "boat",
-                               percent_of("passengers", "passengers_sum", 1).alias("share"))
+    share = percent_of("passengers", "passengers_sum", 1)
+    shares = with_total.select(time_col, "boat", (share * 10).cast("bigint").alias("share10"))
     return (lookup_join(shares, nationalities, "boat")
-            .groupBy(time_col, "nationality", "share")
-            .agg(F.count(F.lit(1)).cast("int").alias("groups")))
+            .groupBy(time_col, "nationality", "share10")
+            .agg(F.count(F.lit(1)).alias("groups")))
 
 
 def _meet(sales: DataFrame, present: DataFrame, time_col: str) -> DataFrame:
     """Each sale next to the harbour rows of its time."""
-    right = bounded_broadcast(present)
+    right = measured_broadcast(present)
     return sales.join(right, sales["dt"] == right[time_col], "inner")
 
 
+def _as_sums(df: DataFrame) -> DataFrame:
+    return df.select("EN", "nationality", _money("cents").alias("revenue"), "units")
+
+
 def replicated_sums(harbour, sales, nationalities, dictionary, time_col="DateTime"):
     """(EN, nationality, revenue, units) with every sale counted once per group present."""
-    met = _meet(sales.select("dt", "product", "units", "total_price"),
-                groups_present(harbour, nationalities, time_col), time_col)
-    return _enrich_and_sum(met, dictionary, ["nationality"], {
-        "revenue": F.sum(F.col("total_price") * F.col("groups")),
-        "units": F.sum(F.col("units") * F.col("groups"))})
+    met = _meet(_priced(sales), groups_present(harbour, nationalities, time_col), time_col)
+    return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
+        "cents": F.sum(F.col("cents") * F.col("groups")),
+        "units": F.sum(F.col("units") * F.col("groups"))}))
 
 
 def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTime"):
-    """(EN, nationality, revenue, units) with every sale split by passenger share."""
-    met = _meet(sales.select("dt", "product", "units", "total_price"),
-                shares_present(harbour, nationalities, time_col), time_col)
-    hundred = F.lit(100.0).cast("decimal(4,1)")
-    units_adj = F.round(F.col("units") / hundred * F.col("share"), 0)
-    price_adj = F.round(F.col("total_price") / hundred * F.col("share"), 0)
-    return _enrich_and_sum(met, dictionary, ["nationality"], {
-        "revenue": F.sum(price_adj * F.col("groups")),
-        "units": F.sum(units_adj * F.col("groups"))})
+    """(EN, nationality, revenue, units) with every sale split by passenger share.
+
+    Per fan-out row: ``ROUND(units / 100.0 * share, 0)`` and
+    ``ROUND(total_price / 100.0 * share, 0)``, computed exactly on integers
+    (units x tenths / 1000, cents x tenths / 100000) so the hot loop stays on longs.
+    """
+    met = _meet(_priced(sales), shares_present(harbour, nationalities, time_col), time_col)
+    met = met.withColumns({"__units_x": F.col("units") * F.col("share10"),
+                           "__cents_x": F.col("cents") * F.col("share10")})
+    units_adj = round_div("__units_x", 1000)
+    price_adj = round_div("__cents_x", 100000)
+    return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
+        "cents": F.sum(price_adj * F.col("groups") * 100),
+        "units": F.sum(units_adj * F.col("groups"))}))
 
 
 def _product_share(sums: DataFrame, totals: DataFrame) -> DataFrame:

@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     # Zone-free timestamps everywhere; the zone only matters for zoned helpers.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Broadcast only what is measured: no static broadcast from plan estimates (a join's
+    # estimate is the product of its inputs); explicit hints come from size checks, and
+    # AQE broadcasts a side once its finished stage is known to be small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # Windows-1252 is a "legacy" charset for the CSV/text readers since Spark 4.
     "spark.sql.legacy.javaCharsets": "true",
 }

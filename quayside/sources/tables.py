@@ -16,9 +16,38 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One supplied table as a DataFrame."""
-    return spark.read.parquet(table_path(sf_dir, name))
+# A scan is spread over the cores only when the table is this small or smaller; bigger
+# tables come in many files or row groups and are split by the reader itself.
+SPREAD_MAX_BYTES = 1 << 30
+# Roughly one task per this many bytes of (compressed) input when spreading.
+SPREAD_BYTES_PER_TASK = 1 << 20
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One supplied table as a DataFrame.
+
+    A table stored as fewer files than the session has cores is read by that many tasks
+    only (a Parquet file with one row group cannot be split).  With ``spread`` such a
+    small table (at most ``SPREAD_MAX_BYTES``) is redistributed round-robin right after
+    the scan so CPU-heavy work on top of it (a fan-out join) uses every core; filters and
+    column pruning still reach the scan.  Large tables are returned as scanned.
+    """
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_small_scan(spark, df) if spread else df
+
+
+def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Redistribute a small, few-file scan over the session's parallelism (see above)."""
+    try:
+        files = df.inputFiles()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # pragma: no cover - no JVM handle (Spark Connect)
+        return df
+    cores = spark.sparkContext.defaultParallelism
+    if size > SPREAD_MAX_BYTES or len(files) >= cores:
+        return df
+    tasks = min(cores, max(1, size // SPREAD_BYTES_PER_TASK))
+    return df.repartition(int(tasks)) if tasks > len(files) else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
