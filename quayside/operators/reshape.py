@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
 from quayside.functions.time import one_hour
 from quayside.operators.filters import regex_full_match
+from quayside.operators.windows import position_bucket, running_sums
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -59,7 +60,8 @@ def hours_rejects(df: DataFrame, arrival: str, departure: str) -> DataFrame:
 
 
 def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: str,
-                  header_col: str, slot_names: list[str]) -> tuple[DataFrame, DataFrame]:
+                  header_col: str, slot_names: list[str],
+                  width: int = 2048) -> tuple[DataFrame, DataFrame]:
     """Block regrid of an ordered record file.
 
     Input rows are records of a file in order (``pos``), with their cells as an array and
@@ -68,17 +70,25 @@ def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: st
     within the block becomes an output row.  The header's cell 0 reads ``"*"``.  Missing
     slots are null; slots beyond ``len(slot_names)`` are ignored.
 
+    Block number and record rank are running counts over the file, computed by the
+    bucketed two-level scan of :func:`running_sums` (``width`` records per bucket), so no
+    window holds a whole file.  The slot is the rank relative to the block's header.
+
     Returns ``(grid, rejects)``; rejects are the records before a file's first header.
     Output columns: ``file``, ``block``, ``cell``, then ``slot_names``.
     """
-    in_file = Window.partitionBy(file_col).orderBy(pos_col)
-    with_block = records.withColumn(
-        "block", F.sum(F.col(header_col).cast("int")).over(in_file))
-    rejects = with_block.where(F.col("block") == 0).drop("block")
-    blocked = with_block.where(F.col("block") > 0)
-    in_block = Window.partitionBy(file_col, "block").orderBy(pos_col)
-    slotted = blocked.withColumn("slot", F.row_number().over(in_block) - 1) \
-        .where(F.col("slot") < len(slot_names))
+    marked = records.withColumns({"__h": F.col(header_col).cast("int"), "__one": F.lit(1)})
+    counted = running_sums(marked, pos_col, {"block": "__h", "__rank": "__one"},
+                           partition_cols=(file_col,), bucket=position_bucket(pos_col, width))
+    counted = counted.drop("__h", "__one")
+    rejects = counted.where(F.col("block") == 0).drop("block", "__rank")
+    blocked = counted.where(F.col("block") > 0)
+    heads = blocked.where(F.col(header_col)).select(
+        F.col(file_col).alias("__hf"), F.col("block").alias("__hb"), F.col("__rank").alias("__hr"))
+    slotted = (blocked.join(heads, (blocked[file_col] == heads["__hf"])
+                            & (blocked["block"] == heads["__hb"]), "inner")
+               .withColumn("slot", (F.col("__rank") - F.col("__hr")).cast("int"))
+               .where(F.col("slot") < len(slot_names)))
     labelled = slotted.withColumn(
         cells_col,
         F.when(F.col(header_col),
@@ -86,11 +96,13 @@ def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: st
         .otherwise(F.col(cells_col)))
     cells = labelled.select(F.col(file_col).alias("file"), "block", "slot",
                             F.posexplode(cells_col).alias("cell", "value"))
+    # At most len(slot_names) values per (file, block, cell): a small map per group keeps
+    # the aggregation hash-based (string "first" would force a sort-based one).
     grid = (cells.groupBy("file", "block", "cell")
-            .pivot("slot", list(range(len(slot_names))))
-            .agg(F.first("value")))
+            .agg(F.map_from_entries(F.collect_list(F.struct("slot", "value"))).alias("m")))
     grid = grid.select("file", "block", "cell",
-                       *[F.col(str(i)).alias(n) for i, n in enumerate(slot_names)])
+                       *[F.try_element_at("m", F.lit(i)).alias(n)
+                         for i, n in enumerate(slot_names)])
     return grid, rejects
 
 

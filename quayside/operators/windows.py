@@ -23,9 +23,14 @@ DEFAULT_BUCKET_DAYS = 30
 _B, _RN = "__bucket", "__rn"
 
 
-def _with_bucket(df: DataFrame, order_col: str, width_days: int) -> DataFrame:
+def time_bucket(order_col: str, width_days: int):
+    """Bucket for a date/timestamp order column: ``width_days``-day buckets (null -> null)."""
     days = F.datediff(F.to_date(F.col(order_col)), F.lit("1970-01-01").cast("date"))
-    return df.withColumn(_B, F.floor(days / F.lit(width_days)))
+    return F.floor(days / F.lit(width_days))
+
+
+def _with_bucket(df: DataFrame, order_col: str, width_days: int) -> DataFrame:
+    return df.withColumn(_B, time_bucket(order_col, width_days))
 
 
 def _join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
@@ -48,19 +53,51 @@ def ordered_lag(df: DataFrame, order_col: str, value_col: str, out_col: str,
     return out.withColumn(out_col, lag).drop(_B, _RN, "__lag_in", "__prev_last")
 
 
+def position_bucket(order_col: str, width: int) -> "F.Column":
+    """Bucket for an integer order column (record positions): ``floor(pos / width)``."""
+    return F.floor(F.col(order_col) / F.lit(width))
+
+
+def running_sums(df: DataFrame, order_col: str, values: dict[str, str],
+                 partition_cols: tuple[str, ...] = (), bucket=None,
+                 width_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
+    """W2 for several columns at once, optionally per partition key.
+
+    ``values`` maps output column -> summed column; each output is
+    ``SUM(value) OVER (PARTITION BY partition_cols ORDER BY order_col)`` with the default
+    RANGE frame.  ``bucket`` (a Column) overrides the time bucket, e.g.
+    :func:`position_bucket` for record positions.  No window spans more than one bucket
+    and one partition key, so a huge partition still spreads over many tasks.
+    """
+    parts = list(partition_cols)
+    b = bucket if bucket is not None else time_bucket(order_col, width_days)
+    rows = df.withColumn(_B, b)
+    w = Window.partitionBy(*parts, _B).orderBy(order_col)
+    rows = rows.withColumns({f"__run_{o}": F.sum(c).over(w) for o, c in values.items()})
+    summary = rows.groupBy(*parts, _B).agg(
+        *[F.sum(c).alias(f"__bsum_{o}") for o, c in values.items()])
+    before = Window.partitionBy(*parts).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*parts, _B, *[F.sum(f"__bsum_{o}").over(before).alias(f"__off_{o}")
+                                         for o in values])
+    carry = carry.select(*[F.col(p).alias(f"__c_{p}") for p in parts],
+                         F.col(_B).alias("__cb"), *[f"__off_{o}" for o in values])
+    cond = [rows[p].eqNullSafe(carry[f"__c_{p}"]) for p in parts]
+    cond.append(rows[_B].eqNullSafe(carry["__cb"]))
+    out = rows.join(carry, cond, "inner")
+    exprs = {}
+    for o in values:
+        off, run = F.col(f"__off_{o}"), F.col(f"__run_{o}")
+        exprs[o] = F.when(off.isNull() & run.isNull(), F.lit(None)) \
+            .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(run, F.lit(0)))
+    drop = [_B, "__cb", *[f"__c_{p}" for p in parts]]
+    drop += [f"__run_{o}" for o in values] + [f"__off_{o}" for o in values]
+    return out.withColumns(exprs).drop(*drop)
+
+
 def running_sum(df: DataFrame, order_col: str, value_col: str, out_col: str,
                 width_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
     """``SUM(value) OVER (ORDER BY order_col)`` with the default RANGE frame."""
-    w = Window.partitionBy(_B).orderBy(order_col)
-    rows = (_with_bucket(df, order_col, width_days)
-            .withColumn("__run_in", F.sum(value_col).over(w)))
-    summary = rows.groupBy(_B).agg(F.sum(value_col).alias("__bsum"))
-    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(_B, F.sum("__bsum").over(before).alias("__offset"))
-    out = _join_carry(rows, carry)
-    total = F.when(F.col("__offset").isNull() & F.col("__run_in").isNull(), F.lit(None)) \
-        .otherwise(F.coalesce(F.col("__offset"), F.lit(0)) + F.coalesce(F.col("__run_in"), F.lit(0)))
-    return out.withColumn(out_col, total).drop(_B, "__run_in", "__offset")
+    return running_sums(df, order_col, {out_col: value_col}, width_days=width_days)
 
 
 def change_groups(df: DataFrame, order_col: str, value_col: str, out_col: str,

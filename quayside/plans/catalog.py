@@ -1,4 +1,4 @@
 """The full query catalog: importing this module registers every query."""
 
-from quayside.plans import analytics, records, text_times  # noqa: F401
+from quayside.plans import analytics, records, roster, text_times  # noqa: F401
 from quayside.plans.registry import ORACLES, QUERIES  # noqa: F401
