@@ -86,15 +86,16 @@ def _order_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("%02d00 - %02d00", hour, hour + 6).alias("time"))
 
 
-def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
-    """Write every order as a roster export (weekly blocks of up to three ships a day).
-
-    Blocks are keyed by (week, order key / 3), so each order owns one cell; a block is
-    a header, six slot records, a staff record and a blank record.  The records are
-    spread over ``files`` files by week, each file opening with a title record and
-    holding whole blocks in order.
+def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str, files: int = 4) -> None:
+    """Write roster slots as a roster export (weekly blocks of up to three ships a day).
+
+    ``slots`` has ``week`` (Monday), ``kb`` (block key within the week), ``pair`` (0-2),
+    ``dow`` (0-6), ``boat`` and ``time``; (week, kb, pair, dow) must be unique.  A block
+    is a header, six slot records, a staff record and a blank record.  Blocks are spread
+    over ``files`` files by week, each file opening with a title record and holding
+    whole blocks in order.
     """
-    slots = _order_slots(spark, sf_dir).withColumn(
+    slots = slots.withColumn(
         "cell", F.concat(F.col("pair").cast("string"), F.lit("_"), F.col("dow").cast("string")))
     # At most 21 cells per block: a small map keeps the aggregation hash-based.
     blocks = slots.groupBy("week", "kb").agg(F.map_from_entries(F.collect_list(
@@ -111,16 +112,20 @@ def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str, files: i
             lines.append(F.concat_ws(",", F.lit(""), *[cell(pair, k, field) for k in range(7)]))
     lines.append(F.lit("Staff," + ",".join(["8-16"] * 7)))
     lines.append(F.lit(BLANK_RECORD))
-    recs = blocks.select("week", "kb", F.posexplode(F.array(*lines)).alias("line", "record"))
+    recs = blocks.select("week", F.col("kb").cast("bigint").alias("kb"),
+                         F.posexplode(F.array(*lines)).alias("line", "record"))
+    recs = recs.withColumn("part", F.pmod(F.hash("week"), F.lit(files)))
     titles = spark.range(files).select(
         F.lit(None).cast("date").alias("week"), F.lit(-1).cast("bigint").alias("kb"),
         F.lit(-1).alias("line"), F.lit("Roster" + "," * 7).alias("record"),
         F.col("id").cast("int").alias("part"))
-    recs = recs.withColumn("part", F.pmod(F.hash("week"), F.lit(files)))
-    out = (recs.unionByName(titles).repartition(files, "part")
-           .sortWithinPartitions("part", F.asc_nulls_first("week"), "kb", "line"))
-    (out.select(F.concat(F.col("record"), F.lit(",")).alias("value"), "part")
-     .write.mode("overwrite").partitionBy("part").text(out_dir))
+    SF.write_ordered_export(recs.unionByName(titles), out_dir, "part",
+                            [F.asc_nulls_first("week"), "kb", "line"])
+
+
+def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
+    """Every order as one roster cell, blocks keyed by (week, order key / 3)."""
+    write_roster(spark, _order_slots(spark, sf_dir), out_dir, files)
 
 
 def orders_roster_check(spark: SparkSession, sf_dir: str) -> DataFrame:

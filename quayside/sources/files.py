@@ -125,3 +125,22 @@ def write_records(df: DataFrame, column: str, path: str, encoding: str = "UTF-8"
      .option("quote", "").option("escape", "").option("quoteAll", False)
      .option("header", False)
      .csv(path))
+
+
+def write_ordered_export(records: DataFrame, path: str, part_col: str, order_cols: list,
+                         record_col: str = "record", encoding: str = "UTF-8",
+                         terminator: str = ",", mode: str = "overwrite") -> None:
+    """Write records as ordered export files: one file per value of ``part_col``.
+
+    Rows are hash-distributed by ``part_col`` and sorted by ``order_cols`` within it, so
+    every file holds its records in order (put a file's preamble first in that order).
+    Each record is written as ``<record><terminator>\n`` in ``encoding``, unquoted.
+    """
+    out = (records.repartition(part_col)
+           .sortWithinPartitions(part_col, *order_cols)
+           .select(F.concat(F.col(record_col), F.lit(terminator)).alias("value"), part_col))
+    (out.write.mode(mode).partitionBy(part_col)
+     .option("encoding", encoding).option("sep", "\u0001")
+     .option("quote", "").option("escape", "").option("quoteAll", False)
+     .option("header", False)
+     .csv(path))
