@@ -10,6 +10,7 @@ record of a file is a title.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES) -> tuple[DataFrame, D
     """Ordered roster records -> (grid, rejects).
 
     ``records`` has ``file, pos, record`` (see :func:`read_ordered_records`).  The grid
-    has ``file, block, cell`` and one column per slot; rejects are ship records found
-    before the first block header of a file.
+    has ``file, block, cell`` and one column per slot (empty cells are null); rejects are
+    ship records found before the first block header of a file.
     """
     recs = FL.drop_blank_records(records, "record", BLANK_RECORD)
     # The first remaining record of each file is its title (one row per file to join).
@@ -49,8 +50,12 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES) -> tuple[DataFrame, D
     recs = recs.withColumn("is_header", F.coalesce(mark_headers("cells", 1, DATE_PATTERN),
                                                    F.lit(False)))
     label = F.when(F.col("is_header"), F.lit("*")).otherwise(F.get(F.col("cells"), 0))
-    recs = recs.where(FL.label_in(label, SHIP_LABELS))
-    return regrid_blocks(recs, "file", "pos", "cells", "is_header", list(slot_names))
+    recs = recs.where(FL.label_in(label, SHIP_LABELS)).drop("record")
+    # The regrid reads the records in several branches (running counts, their carry,
+    # block headers); keep the decoded records instead of decoding each file again.
+    recs = recs.persist(StorageLevel.MEMORY_AND_DISK)
+    return regrid_blocks(recs, "file", "pos", "cells", "is_header", list(slot_names),
+                         drop_empty=True)
 
 
 def roster_calls(grid: DataFrame) -> DataFrame:

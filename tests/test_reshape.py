@@ -82,7 +82,7 @@ def test_regrid_fixture(spark, tmp_dir):
     assert got["5/1/2023"] == ("ShipA", "0800 - 1700", None)
     assert got["5/2/2023"] == ("ShipB", "0900 - 1800", None)
     assert got["5/8/2023"] == ("ShipC", "1000 - 2000", "ShipD")
-    assert got["5/9/2023"] == ("", "", "")
+    assert got["5/9/2023"] == (None, None, None)
     assert rejects.count() == 0
     calls = R.roster_calls(grid)
     assert rows(calls) == [("5/1/2023", "ShipA", "0800 - 1700"), ("5/2/2023", "ShipB", "0900 - 1800"),
