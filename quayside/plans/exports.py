@@ -1,4 +1,4 @@
-"""Registered end-to-end checks of the cleaning pipelines (Q8-Q10).
+"""Registered end-to-end checks of the cleaning pipelines (Q8-Q12).
 
 Each check writes raw exports derived from the supplied tables to a fresh folder under the
 shared checkpoint folder, in the raw formats the pipelines read (a cruise-call CSV and a
@@ -41,7 +41,8 @@ _PRESENCE_SQL = A.with_views("""
           FROM visits)""", "stays", ctes={"visits": _STAY_SQL})
 
 
-def _visit_exports(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, str, DataFrame]:
+def _visit_exports(spark: SparkSession, sf_dir: str, base: str,
+                   roster: bool = True) -> tuple[str, str | None, DataFrame]:
     """Write the calls CSV and the roster of the visits (stays); return paths + exclusions.
 
     Calls: every visit, ``dd.mm.yyyy`` dates and ``HH:mm`` times.  Roster: visits of even
@@ -66,6 +67,8 @@ def _visit_exports(spark: SparkSession, sf_dir: str, base: str) -> tuple[str, st
     exclusions = stays.where(F.col("passengers") == 1).select(
         F.date_format("d", "dd.MM.yyyy").alias("date"), name.alias("boat"))
 
+    if not roster:
+        return calls_path, None, exclusions
     d = F.col("d")
     week = F.date_sub(F.next_day(d, "Mon"), 7)
     end_hour = F.hour("departure") + 1
@@ -164,3 +167,39 @@ def q_sales_cleaning(spark, sf_dir):
     raw = spark.read.schema(SF.string_schema(_SALES_RAW)).option("header", True).csv(base)
     clean = cleaning.clean_sales(raw, year=F.col("Year"))
     return clean.withColumn("Amount with VAT", F.col("Amount with VAT").cast("double"))
+
+
+# --------------------------------------------------------------------------- Q11, Q12
+
+@register("dictionary_cleaning", """
+    SELECT CAST(p_partkey AS VARCHAR) AS product, p_type AS EN, p_brand AS brand
+    FROM part WHERE p_size % 10 <> 0""")
+def q_dictionary_cleaning(spark, sf_dir):
+    """Q11 end to end: a dictionary CSV with gaps (no English name where the size is a
+    multiple of ten) -> complete rows with an id; the id is checked in the tests."""
+    base = shared_scratch(spark, "dictionary")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
+    export = part.select(F.col("p_partkey").cast("string").alias("product"),
+                         F.when(F.col("p_size") % 10 != 0, F.col("p_type")).alias("EN"),
+                         F.col("p_brand").alias("brand"))
+    SF.write_csv(export, base)
+    raw = SF.read_csv(spark, base, ["product", "EN", "brand"])
+    return cleaning.clean_dictionary(raw).drop("ID")
+
+
+@register("cruise_calls_cleaning", A.with_views("""
+    SELECT CAST(d AS TIMESTAMP) AS "Date of arrival",
+           CASE WHEN departure < arrival THEN CAST(d AS TIMESTAMP) + INTERVAL 1 DAY
+                ELSE CAST(d AS TIMESTAMP) END AS "Date of departure",
+           strftime(arrival, '%H:%M') AS ETA, strftime(departure, '%H:%M') AS ETD,
+           'Guest ' || CAST(boat AS VARCHAR) AS boat, CAST(passengers AS VARCHAR) AS passengers,
+           'Quay ' || CAST(boat % 3 AS VARCHAR) AS quay, 'Agent ' || CAST(boat % 5 AS VARCHAR) AS agent,
+           CAST(boat * 100 AS VARCHAR) AS weight, CAST(boat AS VARCHAR) || '.5' AS lenght
+    FROM stays WHERE passengers <> 1""", "stays"))
+def q_cruise_calls_cleaning(spark, sf_dir):
+    """Q12 end to end: the calls CSV of the visits -> typed calls, with exclusions."""
+    base = shared_scratch(spark, "calls")
+    calls_path, _, exclusions = _visit_exports(spark, sf_dir, base, roster=False)
+    raw = SF.read_csv(spark, calls_path, cleaning.CALL_COLUMNS)
+    calls, _ = cleaning.clean_cruise_calls(raw, cleaning.Corrections(call_exclusions=exclusions))
+    return calls

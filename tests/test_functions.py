@@ -85,3 +85,12 @@ def test_round_half_away_from_zero(spark):
                                "a decimal(5,3), b decimal(3,1), c decimal(3,1)")
     r = df.select(F.round("a", 2), F.round("b", 0), F.round("c", 0)).first()
     assert tuple(r) == (Decimal("2.68"), Decimal("1"), Decimal("-3"))
+
+
+def test_strict_timestamp_fails_on_bad_text(spark):
+    import pytest
+    df = spark.createDataFrame([("2023-05-01 08::00:00",)], "v string")
+    with pytest.raises(Exception):
+        df.select(TM.strict_timestamp("v")).collect()
+    ok = spark.createDataFrame([("2023-05-01 08:00:00",)], "v string")
+    assert ok.select(TM.strict_timestamp("v")).first()[0] == dt.datetime(2023, 5, 1, 8)

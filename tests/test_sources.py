@@ -48,3 +48,11 @@ def test_row_ids_and_lines(spark, tmp_dir):
     assert rows(spark.read.text(f"{tmp_dir}/lines")) == [("a",), ("b",), ("c",)]
     SF.write_csv(with_id, f"{tmp_dir}/csv", header=True)
     assert spark.read.option("header", True).csv(f"{tmp_dir}/csv").columns == ["ID", "v"]
+
+
+def test_csv_without_header_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([("a", "1"), ("b", "2")], "x string, y string")
+    SF.write_csv(df, f"{tmp_dir}/nohdr", header=False)
+    back = SF.read_csv(spark, f"{tmp_dir}/nohdr", ["c0", "c1"], header=False)
+    assert rows(back) == [("a", "1"), ("b", "2")]
+    assert back.toDF("x", "y").columns == ["x", "y"]
