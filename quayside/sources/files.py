@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_STANDARD_CHARSETS = {"UTF-8", "UTF8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE",
+                      "UTF-16LE", "UTF-32"}
+
+
+def _allow_charset(spark: SparkSession, encoding: str) -> None:
+    """Charsets beyond the standard set (Windows-1252) need the legacy charset switch."""
+    if encoding.upper() not in _STANDARD_CHARSETS:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
 def string_schema(names: list[str]) -> T.StructType:
     """All-string schema for a raw export."""
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
@@ -31,6 +41,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | list[str],
     """
     if isinstance(schema, list):
         schema = string_schema(schema)
+    _allow_charset(spark, encoding)
     return (spark.read.schema(schema)
             .option("header", header)
             .option("encoding", encoding)
@@ -45,6 +56,7 @@ def read_records(spark: SparkSession, path: str, names: list[str], terminator: s
 
     Splittable; record order is not kept.  Records with fewer fields get nulls.
     """
+    _allow_charset(spark, encoding)
     return (spark.read.schema(string_schema(names))
             .option("lineSep", terminator)
             .option("encoding", encoding)
@@ -61,6 +73,7 @@ def read_ordered_records(spark: SparkSession, path: str, terminator_regex: str =
     The file is decoded with ``encoding`` and split at ``terminator_regex``; ``pos``
     counts from 0 within each file.  The terminator of the last record is optional.
     """
+    _allow_charset(spark, encoding)
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     text = F.regexp_replace(F.decode(F.col("content"), encoding), f"(?:{terminator_regex})$", "")
     return raw.select(F.col("path").alias("file"),
@@ -92,6 +105,7 @@ def split_cells(record, sep: str = ",") -> Column:
 def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8",
               mode: str = "overwrite") -> None:
     """K1/K2: CSV directory of part files (one per task), with or without a header."""
+    _allow_charset(df.sparkSession, encoding)
     (df.write.mode(mode).option("header", header).option("encoding", encoding)
      .csv(path))
 
@@ -119,6 +133,7 @@ def write_records(df: DataFrame, column: str, path: str, encoding: str = "UTF-8"
     Uses the CSV writer with one column and no quoting, so commas inside a record are
     written as they are.
     """
+    _allow_charset(df.sparkSession, encoding)
     (df.select(F.concat(F.col(column), F.lit(terminator)).alias("value"))
      .write.mode(mode)
      .option("encoding", encoding).option("sep", "\u0001")
@@ -136,6 +151,7 @@ def write_ordered_export(records: DataFrame, path: str, part_col: str, order_col
     every file holds its records in order (put a file's preamble first in that order).
     Each record is written as ``<record><terminator>\n`` in ``encoding``, unquoted.
     """
+    _allow_charset(records.sparkSession, encoding)
     out = (records.repartition(part_col)
            .sortWithinPartitions(part_col, *order_cols)
            .select(F.concat(F.col(record_col), F.lit(terminator)).alias("value"), part_col))
