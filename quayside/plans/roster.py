@@ -52,8 +52,10 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES) -> tuple[DataFrame, D
     label = F.when(F.col("is_header"), F.lit("*")).otherwise(F.get(F.col("cells"), 0))
     recs = recs.where(FL.label_in(label, SHIP_LABELS)).drop("record")
     # The regrid reads the records in several branches (running counts, their carry,
-    # block headers); keep the decoded records instead of decoding each file again.
+    # block headers) that run as concurrent stages; materialize the decoded records once
+    # so they do not each decode the files again (lost blocks recompute from lineage).
     recs = recs.persist(StorageLevel.MEMORY_AND_DISK)
+    recs.count()
     return regrid_blocks(recs, "file", "pos", "cells", "is_header", list(slot_names),
                          drop_empty=True)
 
