@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.text import contains_any, left, mid
+from quayside.functions.text import left, mid
 from quayside.functions.time import (is_overnight, lenient_timestamp, roll_overnight,
                                      timestamp_text, zero_minutes)
 from quayside.operators import corrections as C
