@@ -34,14 +34,19 @@ PAIRS = [("Boat1", "Time1"), ("Boat2", "Time2"), ("Boat3", "Time3")]
 DAY_PRESENT = ["Time1", "Boat2", "Time2", "Boat3"]
 
 
-def roster_grid(records: DataFrame, slot_names=SLOT_NAMES) -> tuple[DataFrame, DataFrame]:
+def roster_grid(records: DataFrame, slot_names=SLOT_NAMES,
+                staff_names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Ordered roster records -> (grid, rejects).
 
     ``records`` has ``file, pos, record`` (see :func:`read_ordered_records`).  The grid
     has ``file, block, cell`` and one column per slot (empty cells are null); rejects are
-    ship records found before the first block header of a file.
+    ship records found before the first block header of a file.  With ``staff_names``,
+    records mentioning any of them anywhere are dropped first (F6), as an alternative to
+    the label rule for rosters whose staff rows carry no label.
     """
     recs = FL.drop_blank_records(records, "record", BLANK_RECORD)
+    if staff_names:
+        recs = FL.exclude_keywords(recs, "record", staff_names)
     # The first remaining record of each file is its title (one row per file to join).
     firsts = recs.groupBy(F.col("file").alias("__f")).agg(F.min("pos").alias("__first"))
     recs = (recs.join(firsts, recs["file"] == firsts["__f"])
@@ -69,9 +74,11 @@ def roster_calls(grid: DataFrame) -> DataFrame:
     return FL.drop_nulls(long, ["Boat", "Time"])
 
 
-def read_roster(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_roster(spark: SparkSession, path: str, encoding: str = "UTF-8",
+                staff_names: list[str] | None = None) -> DataFrame:
     """Roster files under ``path`` -> (Date, Boat, Time) rows."""
-    grid, _ = roster_grid(SF.read_ordered_records(spark, path, encoding=encoding))
+    grid, _ = roster_grid(SF.read_ordered_records(spark, path, encoding=encoding),
+                          staff_names=staff_names)
     return roster_calls(grid)
 
 

@@ -110,3 +110,10 @@ def test_regrid_many_blocks_spans_buckets(spark, tmp_dir):
     grid, _ = regrid_blocks(recs, "file", "pos", "cells", "is_header", R.SLOT_NAMES, width=4)
     got = rows(grid.where(F.col("cell") == 1), "Date", "Boat1", "Time1")
     assert got == sorted(expect)
+
+
+def test_staff_rows_dropped_by_name(spark, tmp_dir):
+    text = ROSTER.replace("Staff,8-16,8-16", ",Kari 8-16,Ola 8-16")
+    calls = R.read_roster(spark, _write_roster(tmp_dir, text), staff_names=["Kari", "Ola"])
+    assert rows(calls) == [("5/1/2023", "ShipA", "0800 - 1700"), ("5/2/2023", "ShipB", "0900 - 1800"),
+                           ("5/8/2023", "ShipC", "1000 - 2000")]
