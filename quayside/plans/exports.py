@@ -146,7 +146,7 @@ _SALES_RAW = ["Måned", "Dag", "Time", "Varegruppe", "Antall", "Belåp m/mva"]
 def q_sales_cleaning(spark, sf_dir):
     """Q9 end to end: a sales CSV per year, with monthly subtotal rows -> typed sales."""
     base = shared_scratch(spark, "sales")
-    li = read_table(spark, sf_dir, "lineitem").select(
+    li = read_table(spark, sf_dir, "lineitem", spread=True).select(
         "l_shipdate", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity",
         "l_extendedprice")
     rows = li.select(

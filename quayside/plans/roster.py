@@ -18,6 +18,7 @@ from quayside.functions.text import empty_to_null
 from quayside.functions.time import reorder_date_text
 from quayside.operators import filters as FL
 from quayside.operators.reshape import mark_headers, regrid_blocks, unpivot_pairs
+from quayside.operators.windows import position_bucket, running_sums
 from quayside.sources import files as SF
 from quayside.plans.registry import register
 from quayside.session import shared_scratch
@@ -85,17 +86,26 @@ def read_roster(spark: SparkSession, path: str, encoding: str = "UTF-8",
 # --------------------------------------------------------------------------- derived export
 
 def _order_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as one roster slot: week block, pair, weekday, ship text, time text."""
+    """Every order as one roster slot: week block, pair, weekday, ship text, time text.
+
+    Orders are ranked within their day by key (a running count per day, computed in
+    key buckets so a busy day still spreads over tasks); rank r goes to block r / 3 of
+    the week and to ship pair r % 3, which packs three ships per day into each block.
+    """
     o = read_table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderdate")
     d = F.to_date("o_orderdate")
-    week = F.date_sub(F.next_day(d, "Mon"), 7)
+    o = o.withColumns({"day": d, "__one": F.lit(1)})
+    ranked = running_sums(o, "o_orderkey", {"rank": "__one"}, partition_cols=("day",),
+                          bucket=position_bucket("o_orderkey", 1 << 20))
+    week = F.date_sub(F.next_day("day", "Mon"), 7)
     hour = F.col("o_orderkey") % 12 + 6
-    return o.select(
+    r = F.col("rank") - 1
+    return ranked.select(
         week.alias("week"),
-        F.floor(F.col("o_orderkey") / 3).alias("kb"),
-        (F.col("o_orderkey") % 3).cast("int").alias("pair"),
-        F.datediff(d, week).alias("dow"),
+        F.floor(r / 3).alias("kb"),
+        (r % 3).cast("int").alias("pair"),
+        F.datediff("day", week).alias("dow"),
         F.concat(F.lit("Ship "), F.col("o_custkey").cast("string")).alias("boat"),
         F.format_string("%02d00 - %02d00", hour, hour + 6).alias("time"))
 
@@ -138,7 +148,7 @@ def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str, files: int
 
 
 def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
-    """Every order as one roster cell, blocks keyed by (week, order key / 3)."""
+    """Every order as one roster cell: up to three ships a day in each weekly block."""
     write_roster(spark, _order_slots(spark, sf_dir), out_dir, files)
 
 
