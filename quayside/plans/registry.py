@@ -7,10 +7,13 @@ types agree between the two (doubles for money and percentages, bigint for count
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.session import apply_defaults, ensure_checkpoint_dir
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Builder] = {}
@@ -18,11 +21,22 @@ ORACLES: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
-    """Decorator: record ``fn`` under ``name`` with its optional oracle SQL."""
+    """Decorator: record ``fn`` under ``name`` with its optional oracle SQL.
+
+    The registered callable first applies the library's session defaults (only where the
+    caller set nothing) and makes sure a checkpoint folder is known.
+    """
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
             raise ValueError(f"duplicate query name {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_defaults(spark)
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

@@ -19,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Let AQE coalesce partitions inside cached (measured) sides as everywhere else.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # Zone-free timestamps everywhere; the zone only matters for zoned helpers.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -56,11 +58,23 @@ def build_session(master: str | None = None, app_name: str = "quayside",
     return spark
 
 
+def _explicitly_set(spark: SparkSession, key: str) -> bool:
+    """True when ``key`` was set on the session or at launch (not just a built-in default)."""
+    try:
+        return bool(spark._jsparkSession.sessionState().conf().contains(key)) \
+            or spark.sparkContext.getConf().contains(key)
+    except Exception:  # pragma: no cover - no JVM handle (Spark Connect): leave it alone
+        return True
+
+
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply ``DEFAULT_CONF`` to a running session for keys it has not set."""
+    """Apply ``DEFAULT_CONF`` to a running session for keys nobody set explicitly.
+
+    Values the cluster or the caller chose are kept; only built-in defaults are replaced.
+    """
     for key, value in DEFAULT_CONF.items():
         try:
-            if spark.conf.get(key, None) is None:
+            if not _explicitly_set(spark, key):
                 spark.conf.set(key, value)
         except Exception:  # static or locked keys: the cluster decides
             pass
