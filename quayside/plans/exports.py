@@ -79,7 +79,8 @@ def _visit_exports(spark: SparkSession, sf_dir: str, base: str,
         F.datediff(d, week).alias("dow"), shown.alias("boat"),
         F.format_string("%02d00 - %02d00", F.hour("arrival"), end_hour).alias("time"))
     roster_path = f"{base}/roster"
-    R.write_roster(spark, slots, roster_path)
+    R.write_roster(spark, slots, roster_path,
+                   SF.export_file_count(read_table(spark, sf_dir, "events")))
     return calls_path, roster_path, exclusions
 
 
@@ -110,7 +111,7 @@ def q_weather_records(spark, sf_dir):
     """Q10 end to end: a Windows-1252 export with a preamble per file -> typed rows."""
     base = shared_scratch(spark, "weather")
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type")
-    files = 4
+    files = SF.export_file_count(ev)
     data = ev.select(
         F.pmod(F.col("event_id"), F.lit(files)).cast("int").alias("part"),
         F.lit(1).alias("section"), F.col("event_id").alias("seq"),

@@ -110,15 +110,18 @@ def _order_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_string("%02d00 - %02d00", hour, hour + 6).alias("time"))
 
 
-def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str, files: int = 4) -> None:
+def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str,
+                 files: int | None = None) -> None:
     """Write roster slots as a roster export (weekly blocks of up to three ships a day).
 
     ``slots`` has ``week`` (Monday), ``kb`` (block key within the week), ``pair`` (0-2),
     ``dow`` (0-6), ``boat`` and ``time``; (week, kb, pair, dow) must be unique.  A block
     is a header, six slot records, a staff record and a blank record.  Blocks are spread
     over ``files`` files by week, each file opening with a title record and holding
-    whole blocks in order.
+    whole blocks in order.  Size ``files`` from the base table the slots come from
+    (:func:`quayside.sources.files.export_file_count` on its scan); default 4.
     """
+    files = files or 4
     slots = slots.withColumn(
         "cell", F.concat(F.col("pair").cast("string"), F.lit("_"), F.col("dow").cast("string")))
     # At most 21 cells per block: a small map keeps the aggregation hash-based.
@@ -147,8 +150,10 @@ def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str, files: int
                             [F.asc_nulls_first("week"), "kb", "line"])
 
 
-def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str, files: int = 4) -> None:
+def write_orders_roster(spark: SparkSession, sf_dir: str, out_dir: str,
+                        files: int | None = None) -> None:
     """Every order as one roster cell: up to three ships a day in each weekly block."""
+    files = files or SF.export_file_count(read_table(spark, sf_dir, "orders"))
     write_roster(spark, _order_slots(spark, sf_dir), out_dir, files)
 
 

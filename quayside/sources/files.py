@@ -160,3 +160,17 @@ def write_ordered_export(records: DataFrame, path: str, part_col: str, order_col
      .option("quote", "").option("escape", "").option("quoteAll", False)
      .option("header", False)
      .csv(path))
+
+
+def export_file_count(df: DataFrame, bytes_per_file: int = 128 << 20, minimum: int = 4,
+                      maximum: int = 100_000) -> int:
+    """Number of files for an ordered export of ``df``: about ``bytes_per_file`` each.
+
+    Pass the scan of the base table the export is derived from: its estimate is the file
+    size, so the number of writer tasks grows with the data.  (Estimates of derived plans
+    with joins are products of their inputs and would overshoot.)
+    """
+    from quayside.operators.joins import estimated_size
+
+    size = estimated_size(df) or 0
+    return int(max(minimum, min(maximum, -(-size // bytes_per_file))))
