@@ -21,9 +21,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Let AQE coalesce partitions inside cached (measured) sides as everywhere else.
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
-    # Zone-free timestamps everywhere; the zone only matters for zoned helpers.
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast only what is measured: no static broadcast from plan estimates (a join's
     # estimate is the product of its inputs); explicit hints come from size checks, and
     # AQE broadcasts a side once its finished stage is known to be small.
@@ -34,6 +31,14 @@ DEFAULT_CONF = {
 }
 
 
+# Only for sessions this library builds itself (tests, bench); a caller's session keeps
+# its own zone.  The library's results do not depend on it (timestamps are zone-free).
+BUILDER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "quayside",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
@@ -44,7 +49,7 @@ def build_session(master: str | None = None, app_name: str = "quayside",
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     builder = SparkSession.builder.appName(app_name)
     builder = builder.master(master or f"local[{cpus}]")
-    conf = dict(DEFAULT_CONF)
+    conf = {**DEFAULT_CONF, **BUILDER_CONF}
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
