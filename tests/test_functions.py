@@ -7,6 +7,7 @@ from quayside.functions import text as T
 from quayside.functions import time as TM
 from quayside.operators.corrections import recode
 
+# Two entries of the ship-name recode, as in the FIXTURES.md example.
 NAMES = {"Sverdrup": "Otto Sverdrup", "Mein Schiff": "Mein Schiff 4"}
 
 
