@@ -194,7 +194,9 @@ def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
 
     Returns ``(calls, incomplete)``: calls with ``Date of arrival``, ``Date of departure``
     (plus one day when the stay passes midnight), ``ETA``, ``ETD`` and the other export
-    columns; ``incomplete`` is the completeness report after the soft fixes.
+    columns under their own names (``Navn``, ``Passasjerer``, ``Kai``, ``Agent``, ``Tonn``,
+    ``Lengde``); ``incomplete`` is the completeness report after the soft fixes.  Fix and
+    exclusion keys use the names ``date`` and ``boat`` as in the presence build.
     """
     fixes = fixes or Corrections()
     calls, incomplete = clean_calls(raw, fixes)
@@ -202,6 +204,8 @@ def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
     etd = lenient_timestamp(join_date_time("Date of arrival", "ETD"))
     arrival = lenient_timestamp("Date of arrival")
     departure = F.when(etd < eta, arrival + one_day()).otherwise(arrival)
+    back = {v: k for k, v in CALL_RENAMES.items() if k != "Dato"}
     out = calls.select(arrival.alias("Date of arrival"), departure.alias("Date of departure"),
-                       "ETA", "ETD", "boat", "passengers", "quay", "agent", "weight", "lenght")
+                       "ETA", "ETD", *[F.col(c).alias(back[c]) for c in
+                                       ("boat", "passengers", "quay", "agent", "weight", "lenght")])
     return out, incomplete

@@ -194,9 +194,9 @@ def q_dictionary_cleaning(spark, sf_dir):
            CASE WHEN departure < arrival THEN CAST(d AS TIMESTAMP) + INTERVAL 1 DAY
                 ELSE CAST(d AS TIMESTAMP) END AS "Date of departure",
            strftime(arrival, '%H:%M') AS ETA, strftime(departure, '%H:%M') AS ETD,
-           'Guest ' || CAST(boat AS VARCHAR) AS boat, CAST(passengers AS VARCHAR) AS passengers,
-           'Quay ' || CAST(boat % 3 AS VARCHAR) AS quay, 'Agent ' || CAST(boat % 5 AS VARCHAR) AS agent,
-           CAST(boat * 100 AS VARCHAR) AS weight, CAST(boat AS VARCHAR) || '.5' AS lenght
+           'Guest ' || CAST(boat AS VARCHAR) AS Navn, CAST(passengers AS VARCHAR) AS Passasjerer,
+           'Quay ' || CAST(boat % 3 AS VARCHAR) AS Kai, 'Agent ' || CAST(boat % 5 AS VARCHAR) AS Agent,
+           CAST(boat * 100 AS VARCHAR) AS Tonn, CAST(boat AS VARCHAR) || '.5' AS Lengde
     FROM stays WHERE passengers <> 1""", "stays"))
 def q_cruise_calls_cleaning(spark, sf_dir):
     """Q12 end to end: the calls CSV of the visits -> typed calls, with exclusions."""

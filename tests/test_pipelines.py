@@ -100,7 +100,8 @@ def test_cruise_calls_cleaning(spark, tmp_dir):
     _write(f"{tmp_dir}/calls", CALLS, "calls.csv")
     raw = SF.read_csv(spark, f"{tmp_dir}/calls", cleaning.CALL_COLUMNS)
     calls, incomplete = cleaning.clean_cruise_calls(raw, cleaning.Corrections(boat_names=NAMES))
-    got = {r.boat: (r["Date of arrival"], r["Date of departure"]) for r in calls.collect()}
+    assert calls.columns[4:] == ["Navn", "Passasjerer", "Kai", "Agent", "Tonn", "Lengde"]
+    got = {r.Navn: (r["Date of arrival"], r["Date of departure"]) for r in calls.collect()}
     assert got["Jewel of the Seas"] == (dt.datetime(2023, 5, 2), dt.datetime(2023, 5, 3))
     assert got["AIDAluna"] == (dt.datetime(2023, 5, 1), dt.datetime(2023, 5, 1))
     assert rows(incomplete, "boat") == [("Bolette",)]
