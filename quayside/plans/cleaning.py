@@ -172,12 +172,27 @@ def clean_sales(raw: DataFrame, year=2023) -> DataFrame:
                      F.col("Amount with VAT").try_cast("decimal(18,2)").alias("Amount with VAT"))
 
 
-def clean_weather(records: DataFrame, time_col: str = "time") -> DataFrame:
-    """Q10: weather records -> data rows with a typed time.
+def clean_weather(records: DataFrame, names: list[str], time_col: str = "time",
+                  preamble: int = 3) -> DataFrame:
+    """Q10: ordered weather records -> rows with a typed time.
+
+    ``records`` are ``(file, pos, record)`` from
+    :func:`quayside.sources.files.read_ordered_records`.  The first ``preamble`` records
+    and the header after them are skipped by position (S5); every later record is parsed
+    as CSV into ``names`` and ``time`` becomes ``timestamp_ntz`` (null when unparsable,
+    the row is kept).
+    """
+    data = records.where(F.col("pos") > preamble)
+    schema = ", ".join(f"`{n}` STRING" for n in names)
+    parsed = data.select(F.from_csv("record", schema).alias("r")).select("r.*")
+    return parsed.withColumn(time_col, lenient_timestamp(time_col))
+
+
+def keep_timed_records(records: DataFrame, time_col: str = "time") -> DataFrame:
+    """S5 by content, for the splittable reader: keep records whose time parses.
 
-    ``records`` are the export's records split into the header's columns (see
-    :func:`quayside.sources.files.read_records`).  Preamble and header records do not
-    hold a time and drop out; the rest get ``time`` as ``timestamp_ntz``.
+    Preamble and header records hold no time and drop out; unlike the positional skip of
+    :func:`clean_weather`, data rows with a malformed time are dropped as well.
     """
     typed = records.withColumn(time_col, lenient_timestamp(time_col))
     return typed.where(F.col(time_col).isNotNull())

@@ -108,7 +108,11 @@ WEATHER_HEADER = "time,temperature (°C),note"
            event_type || ' målt' AS note, event_id
     FROM events""")
 def q_weather_records(spark, sf_dir):
-    """Q10 end to end: a Windows-1252 export with a preamble per file -> typed rows."""
+    """Q10 end to end: a Windows-1252 export with a preamble per file -> typed rows.
+
+    Each file is read in order (the preamble is skipped by position), one task per file;
+    the export has about one file per 128 MB of events.
+    """
     base = shared_scratch(spark, "weather")
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "value", "event_type")
     files = SF.export_file_count(ev)
@@ -125,9 +129,9 @@ def q_weather_records(spark, sf_dir):
     heads = heads.select("part", "section", F.col("seq").cast("bigint").alias("seq"), "record")
     SF.write_ordered_export(data.unionByName(heads), base, "part", ["section", "seq"],
                             encoding="windows-1252")
-    recs = SF.read_records(spark, base, ["time", "temperature", "note", "id"],
-                           encoding="windows-1252")
-    rows = cleaning.clean_weather(recs.drop("part"))
+    recs = SF.read_ordered_records(spark, base, encoding="windows-1252")
+    rows = cleaning.clean_weather(recs, ["time", "temperature", "note", "id"],
+                                  preamble=len(WEATHER_PREAMBLE))
     return rows.select("time", F.col("temperature").try_cast("double").alias("temperature"),
                        "note", F.col("id").try_cast("bigint").alias("event_id"))
 

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from quayside.plans.cleaning import clean_weather
+from quayside.plans.cleaning import clean_weather, keep_timed_records
 from quayside.sources import files as SF
 
 from conftest import rows
@@ -25,10 +25,22 @@ def test_cp1252_records_with_preamble(spark, tmp_dir):
     with open(f"{p}/weather.csv", "wb") as fh:
         fh.write(text.encode("cp1252"))
     recs = SF.read_records(spark, p, ["time", "temperature"], encoding="windows-1252")
-    out = clean_weather(recs)
-    assert out.count() == 2
+    assert keep_timed_records(recs).count() == 2
     ordered = SF.read_ordered_records(spark, p, encoding="windows-1252")
     assert rows(SF.skip_leading(ordered, 3), "pos", "record")[0] == (3, "time,temperature (°C)")
+    typed = clean_weather(ordered, ["time", "temperature"])
+    assert typed.count() == 2 and typed.where(F.col("time").isNull()).count() == 0
+
+
+def test_weather_keeps_rows_with_bad_times(spark, tmp_dir):
+    p = f"{tmp_dir}/w2"
+    os.makedirs(p)
+    text = "a,b,\n1,2,\n,\ntime,temp,\n2023-01-01T00:00,-3.5,\nbad-time,-4.0,\n"
+    with open(f"{p}/weather.csv", "wb") as fh:
+        fh.write(text.encode("cp1252"))
+    out = clean_weather(SF.read_ordered_records(spark, p, encoding="windows-1252"), ["time", "temp"])
+    assert sorted(r.temp for r in out.collect()) == ["-3.5", "-4.0"]
+    assert out.where(F.col("time").isNull()).count() == 1
 
 
 def test_write_records_round_trip(spark, tmp_dir):
