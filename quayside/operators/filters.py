@@ -37,22 +37,43 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
+# Keyword tables longer than this are refused (they are lists of names, not data).
+MAX_KEYWORDS = 10_000
+# Up to this many keywords an OR-chain of ``contains``; beyond it one alternation regex.
+_OR_CHAIN_MAX = 200
+
+
+def keyword_predicate(text_col: str, keywords: list[str]):
+    """True when the text contains any keyword (case-sensitive), as one JVM expression."""
+    keywords = [k for k in dict.fromkeys(keywords) if k]
+    if len(keywords) <= _OR_CHAIN_MAX:
+        return contains_any(text_col, keywords)
+    pattern = "|".join(_java_quote(k) for k in keywords)
+    return F.col(text_col).rlike(pattern)
+
+
+def _java_quote(text: str) -> str:
+    """``text`` as a literal in a Java regular expression (``\\Q...\\E``)."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def exclude_keywords(df: DataFrame, text_col: str, keywords,
                      keyword_col: str = "keyword") -> DataFrame:
     """drop rows whose text contains any keyword anywhere (case-sensitive).
 
-    ``keywords`` is a list (an OR-chain of ``contains``, code-generated) or a keyword table.
-    A table is matched with a broadcast left-anti join, which tests each row against every
-    keyword in the task that holds the row; it must therefore be small, and a table whose
-    estimated size exceeds the broadcast bound is refused rather than joined pairwise.
+    ``keywords`` is a list or a keyword table.  The test runs as one filter expression in
+    the scan's stage (no join of rows with keywords).  A table is a short list of names:
+    it is read to the driver after a size check and refused beyond ``MAX_KEYWORDS``.
     """
-    if not isinstance(keywords, DataFrame):
-        return df.where(~contains_any(text_col, list(keywords)))
-    kw = keywords.select(F.col(keyword_col).alias("__kw")).distinct()
-    hinted = bounded_broadcast(kw)
-    if hinted is kw:
-        raise ValueError("keyword table is not provably small enough to broadcast")
-    return df.join(hinted, F.col(text_col).contains(F.col("__kw")), "left_anti")
+    if isinstance(keywords, DataFrame):
+        kw = keywords.select(F.col(keyword_col).cast("string")).distinct()
+        if bounded_broadcast(kw) is kw:
+            raise ValueError("keyword table is not provably small")
+        rows = kw.limit(MAX_KEYWORDS + 1).collect()
+        if len(rows) > MAX_KEYWORDS:
+            raise ValueError(f"more than {MAX_KEYWORDS} keywords")
+        keywords = [r[0] for r in rows if r[0] is not None]
+    return df.where(~keyword_predicate(text_col, list(keywords)))
 
 
 def regex_full_match(c, pattern: str) -> Column:

@@ -321,7 +321,7 @@ def q_keyword_exclude(spark, sf_dir):
     SELECT doc_id, line_no, line FROM lines
     WHERE NOT (contains(line, 'License') OR contains(line, '@'))""", ctes={"lines": _LINES_SQL}))
 def q_keyword_exclude_table(spark, sf_dir):
-    """F6 with the keywords as a table (broadcast anti-join on ``contains``)."""
+    """F6 with the keywords as a (size-checked) table, applied as one filter expression."""
     kw = literal_table(spark, [(k,) for k in LINE_KEYWORDS], ["keyword"])
     return FL.exclude_keywords(document_lines(spark, sf_dir), "line", kw)
 

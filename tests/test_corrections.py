@@ -70,3 +70,14 @@ def test_outer_merge_suffixes_and_keys(spark):
     assert set(m.columns) == {"date", "boat", "ETA_x", "ETA_y", "time"}
     assert rows(m, "date", "boat", "ETA_x", "ETA_y") == [
         ("d1", "A", "08:00", "10:00"), ("d1", "B", "09:00", None), ("d2", "C", None, "11:00")]
+
+
+def test_keyword_exclusion_list_table_and_long_list(spark):
+    from quayside.operators.filters import exclude_keywords
+    from quayside.sources.tables import literal_table
+    df = spark.createDataFrame([("Kaisa 8-16",), ("ShipA,0800",), ("a.b(c) \\\\E x",), ("ok",)], "line string")
+    assert rows(exclude_keywords(df, "line", ["Kaisa", "Toni"])) == [("ShipA,0800",), ("a.b(c) \\\\E x",), ("ok",)]
+    kw = literal_table(spark, [("Kaisa",), ("a.b(c) \\\\E",)], ["keyword"])
+    assert rows(exclude_keywords(df, "line", kw)) == [("ShipA,0800",), ("ok",)]
+    many = [f"zz{i}" for i in range(500)] + ["a.b(c) \\\\E", "Kaisa"]
+    assert rows(exclude_keywords(df, "line", many)) == [("ShipA,0800",), ("ok",)]
