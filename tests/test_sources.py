@@ -68,3 +68,11 @@ def test_csv_without_header_round_trip(spark, tmp_dir):
     back = SF.read_csv(spark, f"{tmp_dir}/nohdr", ["c0", "c1"], header=False)
     assert rows(back) == [("a", "1"), ("b", "2")]
     assert back.toDF("x", "y").columns == ["x", "y"]
+
+
+def test_scratch_lives_under_the_session_checkpoint_dir(spark):
+    from quayside.session import ensure_checkpoint_dir, shared_scratch
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.conf.get("spark.checkpoint.dir")
+    a, b = shared_scratch(spark, "x"), shared_scratch(spark, "x")
+    assert a.startswith(base.rstrip("/") + "/") and a != b
