@@ -31,6 +31,7 @@ from quayside.operators.joins import outer_merge
 from quayside.operators.reshape import expand_hours, hours_rejects
 from quayside.sources.files import with_row_id
 
+# Column names of the raw exports and their clean names.
 CALL_COLUMNS = ["Dato", "ETA", "ETD", "Navn", "Passasjerer", "Agent", "Kai", "Tonn", "Lengde"]
 CALL_RENAMES = {"Dato": "date", "Navn": "boat", "Passasjerer": "passengers", "Kai": "quay",
                 "Tonn": "weight", "Lengde": "lenght", "Agent": "agent"}
