@@ -111,6 +111,8 @@ def main(argv: list[str] | None = None) -> None:
     for t in ("harbour", "sales", "nationalities", "dictionary"):
         p.add_argument(f"--{t}", required=True)
     p.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    p.add_argument("--collation", default=None,
+                   help="match ship names and products under a collation, e.g. UTF8_LCASE_RTRIM")
     p.add_argument("--out", required=True)
     a = ap.parse_args(argv)
 
@@ -138,14 +140,15 @@ def main(argv: list[str] | None = None) -> None:
         SF.write_csv(incomplete, f"{a.out}/incomplete")
     elif a.cmd == "analytics":
         h, s, n, d = _typed_analytics_inputs(spark, a)
+        c = a.collation
         results = {
             "passengers_by_hour": occupancy.occupancy_by_time(h),
             "occupancy_intervals": occupancy.occupancy_intervals(h),
-            "presence_share": occupancy.presence_share(h, n),
-            "replicated_product_share": basket.replicated_product_share(h, s, n, d),
-            "replicated_basket_mix": basket.replicated_basket_mix(h, s, n, d),
-            "apportioned_product_share": basket.apportioned_product_share(h, s, n, d),
-            "apportioned_basket_mix": basket.apportioned_basket_mix(h, s, n, d),
+            "presence_share": occupancy.presence_share(h, n, collation=c),
+            "replicated_product_share": basket.replicated_product_share(h, s, n, d, collation=c),
+            "replicated_basket_mix": basket.replicated_basket_mix(h, s, n, d, collation=c),
+            "apportioned_product_share": basket.apportioned_product_share(h, s, n, d, collation=c),
+            "apportioned_basket_mix": basket.apportioned_basket_mix(h, s, n, d, collation=c),
         }
         for name, df in results.items():
             SF.write_csv(df, f"{a.out}/{name}")

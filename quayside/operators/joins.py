@@ -56,13 +56,39 @@ def measured_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> D
     return cached
 
 
+def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
+               collation: str | None = None) -> DataFrame:
+    """Equi-join on named ``keys`` (kept once, from ``left``).
+
+    With ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``: case- and trailing-space-insensitive,
+    as a database server's default collation compares names) string keys are compared
+    under that collation; the join stays an equi-join (hash or sort-merge).
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    if collation is None:
+        return left.join(right, on=keys, how=how)
+    r = right.select(*[F.col(k).alias(f"__rk_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+
+    def side(df, name, k):
+        c = df[name]
+        is_text = dict(df.dtypes)[name] == "string"
+        return F.collate(c, collation) if is_text else c
+
+    cond = [side(left, k, k) == side(r, f"__rk_{k}", k) for k in keys]
+    return left.join(r, cond, how).drop(*[f"__rk_{k}" for k in keys])
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                limit: int = DEFAULT_BROADCAST_LIMIT, collation: str | None = None) -> DataFrame:
     """Fact table enriched from a lookup table; unmatched facts are dropped (inner).
 
-    Duplicate keys in ``dim`` multiply fact rows, as in SQL.
+    Duplicate keys in ``dim`` multiply fact rows, as in SQL.  ``collation`` applies to
+    named string keys (see :func:`keyed_join`).
     """
-    return fact.join(bounded_broadcast(dim, limit), on=on, how=how)
+    if collation is None or not isinstance(on, (str, list, tuple)):
+        return fact.join(bounded_broadcast(dim, limit), on=on, how=how)
+    return keyed_join(fact, bounded_broadcast(dim, limit), on, how, collation)
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],

@@ -29,14 +29,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.aggregates import percent_of
-from quayside.operators.joins import (bounded_broadcast, lookup_join, measured_broadcast,
-                                      with_group_total)
+from quayside.operators.joins import (bounded_broadcast, keyed_join, lookup_join,
+                                      measured_broadcast, with_group_total)
 
 _MONEY = "decimal(22,2)"
 
 
 def _enrich_and_sum(rows: DataFrame, dictionary: DataFrame, keys: list[str],
-                    sums: dict[str, Column]) -> DataFrame:
+                    sums: dict[str, Column], collation: str | None = None) -> DataFrame:
     """``rows JOIN dictionary USING (product) GROUP BY EN, keys`` with ``sums``.
 
     With a small dictionary the join is a broadcast on the raw rows.  Otherwise rows are
@@ -46,10 +46,10 @@ def _enrich_and_sum(rows: DataFrame, dictionary: DataFrame, keys: list[str],
     dic = dictionary.select("product", "EN")
     small = bounded_broadcast(dic)
     if small is not dic:
-        return rows.join(small, "product").groupBy("EN", *keys).agg(
+        return keyed_join(rows, small, "product", collation=collation).groupBy("EN", *keys).agg(
             *[expr.alias(name) for name, expr in sums.items()])
     pre = rows.groupBy("product", *keys).agg(*[expr.alias(name) for name, expr in sums.items()])
-    return pre.join(dic, "product").groupBy("EN", *keys).agg(
+    return keyed_join(pre, dic, "product", collation=collation).groupBy("EN", *keys).agg(
         *[F.sum(name).alias(name) for name in sums])
 
 
@@ -76,23 +76,25 @@ def round_div(numerator: str, denominator: int) -> Column:
                   f"ELSE -((-{n} * 2 + {d}) div {2 * d}) END")
 
 
-def product_totals(sales: DataFrame, dictionary: DataFrame) -> DataFrame:
+def product_totals(sales: DataFrame, dictionary: DataFrame,
+                   collation: str | None = None) -> DataFrame:
     """``EN, total_revenue_product, total_units_product`` over all sales."""
     sums = _enrich_and_sum(_priced(sales), dictionary, [], {
-        "cents": F.sum("cents"), "units": F.sum("units")})
+        "cents": F.sum("cents"), "units": F.sum("units")}, collation)
     return sums.select("EN", _money("cents").alias("total_revenue_product"),
                        F.col("units").alias("total_units_product"))
 
 
 def groups_present(harbour: DataFrame, nationalities: DataFrame,
-                   time_col: str = "DateTime") -> DataFrame:
+                   time_col: str = "DateTime", collation: str | None = None) -> DataFrame:
     """(time, nationality, groups): visitor-group rows of each nationality present."""
-    return (lookup_join(harbour.select(time_col, "boat"), nationalities, "boat")
+    return (lookup_join(harbour.select(time_col, "boat"), nationalities, "boat",
+                        collation=collation)
             .groupBy(time_col, "nationality").agg(F.count(F.lit(1)).alias("groups")))
 
 
 def shares_present(harbour: DataFrame, nationalities: DataFrame,
-                   time_col: str = "DateTime") -> DataFrame:
+                   time_col: str = "DateTime", collation: str | None = None) -> DataFrame:
     """(time, nationality, share10, groups): rounded passenger shares of each group.
 
     The share is ``ROUND(passengers * 100 / passengers_sum, 1)`` (exact decimal) where the
@@ -104,7 +106,7 @@ def shares_present(harbour: DataFrame, nationalities: DataFrame,
                                   time_col, "passengers", "passengers_sum")
     share = percent_of("passengers", "passengers_sum", 1)
     shares = with_total.select(time_col, "boat", (share * 10).cast("bigint").alias("share10"))
-    return (lookup_join(shares, nationalities, "boat")
+    return (lookup_join(shares, nationalities, "boat", collation=collation)
             .groupBy(time_col, "nationality", "share10")
             .agg(F.count(F.lit(1)).alias("groups")))
 
@@ -119,29 +121,33 @@ def _as_sums(df: DataFrame) -> DataFrame:
     return df.select("EN", "nationality", _money("cents").alias("revenue"), "units")
 
 
-def replicated_sums(harbour, sales, nationalities, dictionary, time_col="DateTime"):
+def replicated_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                    collation=None):
     """(EN, nationality, revenue, units) with every sale counted once per group present."""
-    met = _meet(_priced(sales), groups_present(harbour, nationalities, time_col), time_col)
+    met = _meet(_priced(sales), groups_present(harbour, nationalities, time_col, collation),
+                time_col)
     return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
         "cents": F.sum(F.col("cents") * F.col("groups")),
-        "units": F.sum(F.col("units") * F.col("groups"))}))
+        "units": F.sum(F.col("units") * F.col("groups"))}, collation))
 
 
-def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTime"):
+def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                     collation=None):
     """(EN, nationality, revenue, units) with every sale split by passenger share.
 
     Per fan-out row: ``ROUND(units / 100.0 * share, 0)`` and
     ``ROUND(total_price / 100.0 * share, 0)``, computed exactly on integers
     (units x tenths / 1000, cents x tenths / 100000) so the hot loop stays on longs.
     """
-    met = _meet(_priced(sales), shares_present(harbour, nationalities, time_col), time_col)
+    met = _meet(_priced(sales), shares_present(harbour, nationalities, time_col, collation),
+                time_col)
     met = met.withColumns({"__units_x": F.col("units") * F.col("share10"),
                            "__cents_x": F.col("cents") * F.col("share10")})
     units_adj = round_div("__units_x", 1000)
     price_adj = round_div("__cents_x", 100000)
     return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
         "cents": F.sum(price_adj * F.col("groups") * 100),
-        "units": F.sum(units_adj * F.col("groups"))}))
+        "units": F.sum(units_adj * F.col("groups"))}, collation))
 
 
 def _product_share(sums: DataFrame, totals: DataFrame) -> DataFrame:
@@ -180,23 +186,35 @@ def _basket_mix(sums: DataFrame) -> DataFrame:
     ).orderBy("nationality", F.desc("percentage_of_total_revenue"))
 
 
-def replicated_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime"):
-    """Q1: share of each product group bought per nationality, sales replicated."""
-    return _product_share(replicated_sums(harbour, sales, nationalities, dictionary, time_col),
-                          product_totals(sales, dictionary))
+def replicated_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                             collation=None):
+    """Q1: share of each product group bought per nationality, sales replicated.
+
+    ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``) sets how ship names and product keys are
+    matched; the default compares them exactly.
+    """
+    return _product_share(
+        replicated_sums(harbour, sales, nationalities, dictionary, time_col, collation),
+        product_totals(sales, dictionary, collation))
 
 
-def replicated_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime"):
+def replicated_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                          collation=None):
     """Q2: basket mix per nationality, sales replicated."""
-    return _basket_mix(replicated_sums(harbour, sales, nationalities, dictionary, time_col))
+    return _basket_mix(
+        replicated_sums(harbour, sales, nationalities, dictionary, time_col, collation))
 
 
-def apportioned_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime"):
+def apportioned_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                              collation=None):
     """Q6: Q1 with every sale split by passenger share."""
-    return _product_share(apportioned_sums(harbour, sales, nationalities, dictionary, time_col),
-                          product_totals(sales, dictionary))
+    return _product_share(
+        apportioned_sums(harbour, sales, nationalities, dictionary, time_col, collation),
+        product_totals(sales, dictionary, collation))
 
 
-def apportioned_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime"):
+def apportioned_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime",
+                           collation=None):
     """Q7: Q2 with every sale split by passenger share."""
-    return _basket_mix(apportioned_sums(harbour, sales, nationalities, dictionary, time_col))
+    return _basket_mix(
+        apportioned_sums(harbour, sales, nationalities, dictionary, time_col, collation))

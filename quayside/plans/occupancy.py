@@ -56,14 +56,15 @@ def occupancy_intervals(harbour: DataFrame, time_col: str = "DateTime",
 
 
 def presence_share(harbour: DataFrame, nationalities: DataFrame,
-                   time_col: str = "DateTime") -> DataFrame:
+                   time_col: str = "DateTime", collation: str | None = None) -> DataFrame:
     """Q5: each visitor group's share of the people present, with its nationality.
 
     Output: ``DateTime, passengers_sum, boat, nationality, passengers, agent,
-    passengers_percentage`` (percent rounded to one decimal).
+    passengers_percentage`` (percent rounded to one decimal).  ``collation`` sets how ship
+    names are matched (default: exactly).
     """
     with_total = with_group_total(harbour, time_col, "passengers", "passengers_sum")
-    joined = lookup_join(with_total, nationalities, "boat")
+    joined = lookup_join(with_total, nationalities, "boat", collation=collation)
     return joined.select(
         time_col, "passengers_sum", "boat", "nationality", "passengers", "agent",
         percent_of("passengers", "passengers_sum", 1).alias("passengers_percentage"))

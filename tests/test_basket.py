@@ -55,3 +55,19 @@ def test_round_div_is_half_away_from_zero(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(1500,), (1499,), (-1500,), (-1499,), (2500,)], "n bigint")
     assert [r[0] for r in df.select(basket.round_div("n", 1000)).collect()] == [2, 1, -2, -1, 3]
+
+
+def test_collation_matches_names_like_the_server(spark):
+    harbour = spark.createDataFrame([(H, "AIDAmar ", 100, "a"), (H, "Gann", 200, "b")],
+                                    "DateTime timestamp_ntz, boat string, passengers int, agent string")
+    sales = spark.createDataFrame([(H, "Kaffe", 10, Decimal("99.00"))],
+                                  "dt timestamp_ntz, product string, units bigint, total_price decimal(18,2)")
+    nat = spark.createDataFrame([("aidamar", "X"), ("GANN", "Y")], "boat string, nationality string")
+    dic = spark.createDataFrame([("kaffe", "Coffee")], "product string, EN string")
+    exact = basket.apportioned_product_share(harbour, sales, nat, dic).collect()
+    assert exact == []
+    loose = basket.apportioned_product_share(harbour, sales, nat, dic,
+                                             collation="UTF8_LCASE_RTRIM").collect()
+    assert {r.nationality: r.total_units_sold for r in loose} == {"X": 3, "Y": 7}
+    shares = presence_share(harbour, nat, collation="UTF8_LCASE_RTRIM").collect()
+    assert sorted(r.nationality for r in shares) == ["X", "Y"]
