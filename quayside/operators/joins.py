@@ -113,12 +113,27 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
     return joined.select(*merged_keys, *rest)
 
 
-def with_group_total(df: DataFrame, key: str, value: str, total_name: str) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once (memory and disk) for plans that read it in several branches.
+
+    Lost blocks are recomputed from lineage.  Use for small derived tables only.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.count()
+    return cached
+
+
+def with_group_total(df: DataFrame, key: str, value: str, total_name: str,
+                     reuse: bool = False) -> DataFrame:
     """Each row next to the total of its group, as ``row JOIN (SUM .. GROUP BY key)``.
 
-    Written as aggregate + equi-join rather than a window: the join shuffles both sides by
-    key with partial aggregation, while a window would gather every row of a hot key into
-    one task.  Rows with a null key are dropped, as the join in the reference does.
+    Written as aggregate + equi-join rather than a window: the totals are partial sums and
+    the join is broadcast when they are small (AQE) or split by AQE when a key is hot,
+    while a window would gather every row of a hot key into one task.  Rows with a null
+    key are dropped, as an inner join does.  ``reuse`` computes ``df`` once for both
+    branches (for an expensive but small input such as a harbour table).
     """
+    if reuse:
+        df = materialize(df)
     totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(value).alias(total_name))
     return df.join(totals, on=key, how="inner")

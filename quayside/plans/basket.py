@@ -103,7 +103,7 @@ def shares_present(harbour: DataFrame, nationalities: DataFrame,
     counted together.
     """
     with_total = with_group_total(harbour.select(time_col, "boat", "passengers"),
-                                  time_col, "passengers", "passengers_sum")
+                                  time_col, "passengers", "passengers_sum", reuse=True)
     share = percent_of("passengers", "passengers_sum", 1)
     shares = with_total.select(time_col, "boat", (share * 10).cast("bigint").alias("share10"))
     return (lookup_join(shares, nationalities, "boat", collation=collation)

@@ -63,7 +63,7 @@ def presence_share(harbour: DataFrame, nationalities: DataFrame,
     passengers_percentage`` (percent rounded to one decimal).  ``collation`` sets how ship
     names are matched (default: exactly).
     """
-    with_total = with_group_total(harbour, time_col, "passengers", "passengers_sum")
+    with_total = with_group_total(harbour, time_col, "passengers", "passengers_sum", reuse=True)
     joined = lookup_join(with_total, nationalities, "boat", collation=collation)
     return joined.select(
         time_col, "passengers_sum", "boat", "nationality", "passengers", "agent",
