@@ -67,3 +67,35 @@ def test_single_partition_only_over_bucket_summaries(spark):
         if "SinglePartition" in line:
             below = "\n".join(lines[i:i + 6])
             assert "__bucket" in below, below
+
+
+def test_intervals_partition_the_hours(spark):
+    from quayside.plans.analytics import hourly_harbour
+    from quayside.plans.occupancy import occupancy_intervals, passengers_by_time
+    h = hourly_harbour(spark, SF)
+    hours = sorted((r.DateTime, r.passengers_sum) for r in passengers_by_time(h).collect())
+    ivs = sorted((r.interval_start, r.interval_end, r.passengers_sum)
+                 for r in occupancy_intervals(h, width_days=2).collect())
+    # consecutive, non-overlapping, each interval's hours all carry its total
+    assert ivs[0][0] == hours[0][0] and ivs[-1][1] == hours[-1][0]
+    for (s1, e1, _), (s2, _, _) in zip(ivs, ivs[1:]):
+        assert e1 < s2
+    pos = {t: i for i, (t, _) in enumerate(hours)}
+    covered = 0
+    for s, e, v in ivs:
+        block = hours[pos[s]:pos[e] + 1]
+        assert all(x == v for _, x in block)
+        covered += len(block)
+    assert covered == len(hours)
+
+
+def test_measured_broadcast_respects_the_bound(spark):
+    from quayside.operators.joins import measured_broadcast
+    side = spark.read.parquet(f"{SF}/nation.parquet").groupBy("n_regionkey").count()
+    big = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", (F.col("o_orderkey") % 5).alias("n_regionkey"))
+    small = big.join(measured_broadcast(side), "n_regionkey")
+    small.collect()
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    refused = big.join(measured_broadcast(side, limit=1), "n_regionkey")
+    plan = refused._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
