@@ -39,8 +39,3 @@ def percent_of(part, whole, digits: int) -> Column:
     """
     hundred = F.lit(100.0).cast("decimal(4,1)")
     return F.round(F.try_divide(col_of(part) * hundred, col_of(whole)), digits)
-
-
-def as_decimal(c, precision: int = 18, scale: int = 2) -> Column:
-    """Typed money: ``decimal(precision, scale)``."""
-    return col_of(c).cast(f"decimal({precision},{scale})")

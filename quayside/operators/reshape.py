@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions._col import col_of
 from quayside.functions.time import one_hour
 from quayside.operators.filters import regex_full_match
 from quayside.operators.windows import position_bucket, running_sums
@@ -114,8 +113,3 @@ def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: st
 def mark_headers(cells_col: str, probe_index: int, pattern: str):
     """C10 + F7: a record is a block header when cell ``probe_index`` fully matches."""
     return regex_full_match(F.get(F.col(cells_col), probe_index), pattern)
-
-
-def naive_cells(line, sep: str = ","):
-    """``line.split(sep)`` with no quoting rules."""
-    return F.split(col_of(line), "\\" + sep if sep in ".^$*+?()[]{}|\\/" else sep)
