@@ -28,6 +28,10 @@ from quayside.session import apply_defaults, build_session
 from quayside.sources import files as SF
 
 
+# Name maps are short lists; longer maps belong in a lookup join (recode_by_table).
+MAX_MAP_ENTRIES = 10_000
+
+
 def _csv(spark: SparkSession, path: str | None) -> DataFrame | None:
     if not path:
         return None
@@ -39,7 +43,10 @@ def _map(spark: SparkSession, path: str | None) -> dict | None:
     df = _csv(spark, path)
     if df is None:
         return None
-    return {r["from_value"]: r["to_value"] for r in df.select("from_value", "to_value").collect()}
+    pairs = df.select("from_value", "to_value").limit(MAX_MAP_ENTRIES + 1).collect()
+    if len(pairs) > MAX_MAP_ENTRIES:
+        raise SystemExit(f"{path}: more than {MAX_MAP_ENTRIES} entries; use recode_by_table")
+    return {r["from_value"]: r["to_value"] for r in pairs}
 
 
 def _corrections(spark: SparkSession, a) -> cleaning.Corrections:
