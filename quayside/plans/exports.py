@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.joins import materialize
 from quayside.plans import analogue as A
 from quayside.plans import cleaning
 from quayside.plans import roster as R
@@ -51,7 +52,8 @@ def _visit_exports(spark: SparkSession, sf_dir: str, base: str,
     of visitors whose id is a multiple of four.  Visits with a single event are listed as
     calls that never happened.
     """
-    stays = A.stays(spark, sf_dir)
+    # One row per visitor and day, read by three writers/joins below: compute it once.
+    stays = materialize(A.stays(spark, sf_dir))
     uid = F.col("boat")
     name = F.concat(F.lit("Guest "), uid.cast("string"))
     calls = stays.select(
