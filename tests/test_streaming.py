@@ -20,3 +20,18 @@ def test_stream_matches_batch_totals(spark, tmp_dir):
     got = rows(spark.read.parquet(sink))
     # 08:00 and 09:00 are final (the watermark passed them); 14:00 is still open
     assert got == [(T(2023, 5, 1, 8), 150), (T(2023, 5, 1, 9), 150)]
+
+
+def test_rows_later_than_the_watermark_are_dropped(spark, tmp_dir):
+    src, sink = f"{tmp_dir}/src2", f"{tmp_dir}/sink2"
+    ck = f"{tmp_dir}/ckpt2"
+    spark.createDataFrame([(T(2023, 5, 1, 8), "A", 100), (T(2023, 5, 1, 20), "B", 5)],
+                          PRESENCE_SCHEMA).write.mode("append").parquet(src)
+    start_hourly_occupancy(spark, src, sink, checkpoint=ck).awaitTermination()
+    # the watermark is now 18:00: a late 08:00 row no longer changes the emitted hour
+    spark.createDataFrame([(T(2023, 5, 1, 8), "C", 7), (T(2023, 5, 2, 3), "D", 1)],
+                          PRESENCE_SCHEMA).write.mode("append").parquet(src)
+    start_hourly_occupancy(spark, src, sink, checkpoint=ck).awaitTermination()
+    got = rows(spark.read.parquet(sink))
+    assert (T(2023, 5, 1, 8), 100) in got
+    assert all(v != 107 for _, v in got)
