@@ -44,6 +44,11 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
+# Spark type -> DuckDB type of the same values.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
@@ -51,6 +56,10 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(E.oracle_sql()[name])
     orows = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        st = f.dataType.simpleString()
+        assert TYPES.get(st, st.upper()) == duck_types[f.name], (f.name, st, duck_types[f.name])
     cols = sorted(df.columns)
     assert len(srows) == len(orows)
     assert _digest(srows, cols) == _digest(orows, cols)
