@@ -8,6 +8,8 @@ Subpackages:
   aggregates, ordered windows, reshaping)
 * ``plans``     - the composite queries and cleaning pipelines, and the query catalog
 * ``streaming`` - the occupancy aggregate over a stream of hourly presence files
+
+``python -m quayside --help`` runs the pipelines and the analytics on files (``cli.py``).
 """
 
 __version__ = "0.1.0"
