@@ -1,9 +1,10 @@
 """Joins (J1-J6) and the size-checked broadcast.
 
-Broadcast is only requested for a side whose size the optimizer can bound below a limit.
-Anything else is left to the planner: a sort-merge join that AQE may still turn into a
-broadcast once the real size of a finished shuffle stage is known, and whose skewed
-partitions AQE splits.
+Broadcast is only requested for a side whose size is known to be below a limit: a base
+table by its file-size estimate (:func:`bounded_broadcast`) or a derived side by its
+measured, materialized size (:func:`measured_broadcast`).  Anything else is left to the
+planner: a sort-merge join that AQE may still turn into a broadcast once the real size of
+a finished shuffle stage is known, and whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations

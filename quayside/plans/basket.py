@@ -17,8 +17,8 @@ Plan shape, chosen for large sales tables:
   replicated counting, to (time, nationality, share, groups) for apportioned counting -
   so the sale x group fan-out is at most one row per nationality present, and the fan-out
   rows are summed by a partial aggregate in the same task that produced them;
-* the harbour side is broadcast only when its estimated size is bounded, else the join is
-  a sort-merge join whose skewed hours AQE splits;
+* the harbour side is materialized once and broadcast only when its measured size is under
+  the bound, else the join is a sort-merge join whose skewed hours AQE splits;
 * the dictionary join happens after a per-product pre-aggregation when the dictionary is
   too big to broadcast, so raw sales are never shuffled by product.
 """
