@@ -64,12 +64,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
 def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Redistribute a small, few-file scan over the session's parallelism (see above)."""
     try:
-        files = df.inputFiles()
+        # Size first (from the file index, no listing to Python): big tables stop here,
+        # so a table with millions of files never ships its paths to the driver.
         size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size > SPREAD_MAX_BYTES:
+            return df
+        files = df.inputFiles()
     except Exception:  # pragma: no cover - no JVM handle (Spark Connect)
         return df
     cores = spark.sparkContext.defaultParallelism
-    if size > SPREAD_MAX_BYTES or len(files) >= cores:
+    if len(files) >= cores:
         return df
     tasks = min(cores, max(1, size // SPREAD_BYTES_PER_TASK))
     return df.repartition(int(tasks)) if tasks > len(files) else df
