@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, frames, oracles, winnow
+from quayside.llm import bpe, frames, oracles, rules, secrets, winnow
 from quayside.session import ensure_checkpoint_dir
 from quayside.sources.tables import table_path
 
@@ -40,6 +40,16 @@ def op1_winnow_decontamination(spark, sf_dir):
     return winnow.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_quality_rules(spark, sf_dir):
+    return rules.op3(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_secret_scan(spark, sf_dir):
+    return secrets.op6(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     return bpe.op8(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from quayside.llm.rules import STOP_WORDS
+from quayside.llm.secrets import RULES as SECRET_RULES
+from quayside.llm.secrets import SecretRule
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 OP1 = f"""
@@ -35,4 +39,75 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-SQL = {"op1_winnow_decontamination": OP1}
+BLANK = "[ \\t\\n\\x0B\\f\\r]"
+STOPS = ", ".join(f"'{w}'" for w in sorted({*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)}))
+
+OP3 = f"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '{BLANK}+'), lambda x: x <> '') AS w
+  FROM documents),
+grams AS (
+  SELECT doc_id, unnest(range(1, len(w) - 1)) AS s,
+         unnest(list_transform(range(1, len(w) - 1), lambda s: w[s:s + 2])) AS g
+  FROM base WHERE len(w) >= 3),
+repeated AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([s, s + 1, s + 2]) AS p FROM repeated) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)),
+         lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS l FROM base),
+counts AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+           AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         len(list_filter(w, lambda x: x IN ({STOPS}))) AS n_stop_words, len(l) AS n_lines
+  FROM base JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND word_chars BETWEEN 2 * n_words AND 18 * n_words
+       AND 5 * n_symbols <= n_words AND 50 * n_stop_words >= n_words
+       AND 2 * n_dup_lines <= n_lines AS kept
+FROM judged
+"""
+
+
+def _spans(rank: int, rule: SecretRule) -> str:
+    p = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, unnest(list_filter(list_transform(
+      range(1, len(m) + 1), lambda i: {{'least': length(g[i]),
+          'start': list_sum(list_transform(b[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+          'size': length(m[i])}}), lambda x: x.least >= {rule.least})) AS x
+  FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{p}') AS m,
+               regexp_extract_all(coalesce(text, ''), '{p}', {rule.group}) AS g,
+               string_split_regex(coalesce(text, ''), '{p}') AS b FROM documents)"""
+
+
+OP6 = f"""
+WITH found AS ({" UNION ALL ".join(_spans(k, r) for k, r in enumerate(SECRET_RULES))}),
+placed AS (
+  SELECT doc_id, rank, CAST(x.start AS BIGINT) AS s,
+         concat(kind, ':', CAST(x.start AS BIGINT), ':', CAST(x.start + x.size AS BIGINT)) AS span
+  FROM found),
+listed AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_assign, count(*) FILTER (rank = 1) AS n_access,
+         count(*) FILTER (rank = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY s, rank) FILTER (rank < 3) AS base,
+         string_agg(span, ',' ORDER BY s, rank) AS spans
+  FROM placed GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans
+FROM documents LEFT JOIN listed USING (doc_id)
+"""
+
+SQL = {"op1_winnow_decontamination": OP1, "op3_quality_rules": OP3, "op6_secret_scan": OP6}
