@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, frames, oracles, rules, secrets, winnow
+from quayside.llm import (bpe, classifier, frames, oracles, pages, rules, secrets, toxicity,
+                          winnow)
 from quayside.session import ensure_checkpoint_dir
 from quayside.sources.tables import table_path
 
@@ -40,16 +41,33 @@ def op1_winnow_decontamination(spark, sf_dir):
     return winnow.op1(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    return toxicity.op2(spark, table(spark, sf_dir, "documents"),
+                        table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_quality_rules(spark, sf_dir):
     return rules.op3(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality_classifier(spark, sf_dir):
+    return classifier.op5(spark, table(spark, sf_dir, "documents"),
+                          table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_secret_scan(spark, sf_dir):
     return secrets.op6(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_main_text(spark, sf_dir):
+    return pages.op7(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_byte_bpe(spark, sf_dir):
     return bpe.op8(table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),
