@@ -18,6 +18,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
+from quayside.session import shared_scratch
+
 PIECE_BYTES = 1 << 20  # text bytes handled at once inside a task
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -124,6 +126,14 @@ def window_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(total)
 
 
+def lowered_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the texts' alphanumeric words (A-Z folded), and per row its first word."""
+    raw, offsets = utf8(column)
+    raw = LOWER[raw]
+    starts, ends, bounds = word_spans(raw, offsets, ALPHANUMERIC)
+    return span_hashes(raw, starts, ends), bounds
+
+
 def row_of(bounds: np.ndarray) -> np.ndarray:
     """Row number of each word, from the rows' first words."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -272,6 +282,14 @@ def binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return wide.cast(pa.binary())
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table in the shared folder and read back: computed once, and later
+    steps start from files that survive any executor."""
+    folder = shared_scratch(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def annotate(docs: DataFrame, out: str, kind: StructType, text: str,
              fn: Callable[[pa.RecordBatch], pa.Array], limit: int = PIECE_BYTES,
              drop: tuple[str, ...] = ()) -> DataFrame:

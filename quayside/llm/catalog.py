@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (bpe, classifier, frames, oracles, pages, rules, secrets, toxicity,
-                          winnow)
+from quayside.llm import (bpe, classifier, frames, minhash, oracles, pages, rules, secrets,
+                          toxicity, winnow)
 from quayside.session import ensure_checkpoint_dir
 from quayside.sources.tables import table_path
 
@@ -52,6 +52,11 @@ def op3_quality_rules(spark, sf_dir):
     return rules.op3(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_near_duplicates(spark, sf_dir):
+    return minhash.op4(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_quality_classifier(spark, sf_dir):
     return classifier.op5(spark, table(spark, sf_dir, "documents"),

@@ -195,7 +195,7 @@ def main_text(html: str) -> str:
                 weights[i:] = 0
                 kept[i:] = [False] * (len(lines) - i)
                 break
-        top = np.convolve(weights, np.ones(WINDOW, np.int64)).max(initial=0)
+        top = max((weights[i:i + WINDOW].sum() for i in range(len(weights))), default=0)
         parts = segments(weights, max(1, SURGE * top))
         heavy = max((weights[a:b].sum() for a, b in parts), default=0)
         parts = [(a, b) for a, b in parts if weights[a:b].sum() >= SEGMENT * heavy]

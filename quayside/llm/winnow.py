@@ -45,14 +45,6 @@ def scheme(words: int) -> tuple[int, int]:
     return k, words - k + 1
 
 
-def lowered_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of a column's texts, and per row its first word."""
-    raw, offsets = B.utf8(column)
-    raw = B.LOWER[raw]
-    starts, ends, bounds = B.word_spans(raw, offsets, B.ALPHANUMERIC)
-    return B.span_hashes(raw, starts, ends), bounds
-
-
 def selected(words: np.ndarray, bounds: np.ndarray, length: int) \
         -> tuple[np.ndarray, np.ndarray]:
     """Winnowed k-grams for one window length: (word positions, hashes)."""
@@ -86,7 +78,7 @@ def fingerprints(texts: DataFrame, key: str, text: str, lengths: list[int]) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in B.pieces(batch, text):
-                words, bounds = lowered_words(piece.column(text))
+                words, bounds = B.lowered_words(piece.column(text))
                 sizes = np.diff(bounds)
                 own = np.minimum(sizes, WINDOW)
                 rows = B.row_of(bounds)
@@ -158,7 +150,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
     joined = docs.join(found, F.col(doc_id).eqNullSafe(F.col("_doc")), "left")
 
     def judge(piece: pa.RecordBatch) -> pa.Array:
-        words, bounds = lowered_words(piece.column(text))
+        words, bounds = B.lowered_words(piece.column(text))
         n_words = np.diff(bounds)
         n_hit, names = np.zeros(len(n_words), np.int64), []
         hits = piece.column("_hits")
@@ -168,7 +160,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id",
                 doc = words[bounds[row]:bounds[row + 1]]
                 covered = np.zeros(len(doc), bool)
                 for hit in hits[row].as_py():
-                    item, _ = lowered_words(pa.array([hit["_text"]]))
+                    item, _ = B.lowered_words(pa.array([hit["_text"]]))
                     runs = shared_runs(doc, item, hit["_shifts"])
                     for a, b in runs:
                         covered[a:b] = True
