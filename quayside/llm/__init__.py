@@ -5,7 +5,7 @@
 * ``rules``      - quality rules compiled into one projection (op3)
 * ``minhash``    - near-duplicate classes by consistent weighted sampling (op4)
 * ``classifier`` - hashed subword embeddings with a softmax output (op5)
-* ``secrets``    - trigram-indexed secret rules (op6)
+* ``secret_scan`` - trigram-indexed secret rules (op6)
 * ``pages``      - main text of HTML pages by line-block distribution (op7)
 * ``bpe``        - byte-level BPE over padded matrices (op8)
 * ``frames``     - token ids in seekable zstandard files (op9)

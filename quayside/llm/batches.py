@@ -126,6 +126,14 @@ def window_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     return mix(total)
 
 
+def run_hashes(words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of word hashes, of any lengths."""
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _power_table(_P, len(words)), out=sums[1:])
+    found = (sums[ends] - sums[starts]) * _power_table(_P_INVERSE, len(words))[starts]
+    return mix(found + (ends - starts).astype(np.uint64))
+
+
 def lowered_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the texts' alphanumeric words (A-Z folded), and per row its first word."""
     raw, offsets = utf8(column)
@@ -134,6 +142,18 @@ def lowered_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(raw, starts, ends), bounds
 
 
+def least_grams(grams: np.ndarray, n: int, w: int) -> np.ndarray:
+    """For each of ``n`` windows of ``w`` consecutive grams the place of its least one, the
+    last of equal ones."""
+    least, at = grams[:n].copy(), np.arange(n)
+    for j in range(1, w):
+        here = grams[j:n + j]
+        better = here <= least
+        np.copyto(least, here, where=better)
+        at[better] = np.flatnonzero(better) + j
+    return at
+
+
 def row_of(bounds: np.ndarray) -> np.ndarray:
     """Row number of each word, from the rows' first words."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (bpe, classifier, frames, minhash, oracles, pages, rules, secrets,
-                          toxicity, winnow)
+from quayside.llm import (bpe, classifier, frames, minhash, oracles, pages, rules, secret_scan,
+                          substring, toxicity, winnow)
 from quayside.session import ensure_checkpoint_dir
 from quayside.sources.tables import table_path
 
@@ -65,7 +65,7 @@ def op5_quality_classifier(spark, sf_dir):
 
 @query
 def op6_secret_scan(spark, sf_dir):
-    return secrets.op6(table(spark, sf_dir, "documents"))
+    return secret_scan.op6(table(spark, sf_dir, "documents"))
 
 
 @query
@@ -85,4 +85,9 @@ def op9_token_frames(spark, sf_dir):
                       public_tokenizers.path(WORD_BPE))
 
 
+@query
+def op10_repeated_substrings(spark, sf_dir):
+    return substring.op10(table(spark, sf_dir, "documents"))
+
+
 ORACLES = oracles.SQL

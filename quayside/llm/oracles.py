@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from quayside.llm.rules import STOP_WORDS
-from quayside.llm.secrets import RULES as SECRET_RULES
-from quayside.llm.secrets import SecretRule
+from quayside.llm.secret_scan import RULES as SECRET_RULES
+from quayside.llm.secret_scan import SecretRule
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

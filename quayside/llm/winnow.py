@@ -53,12 +53,7 @@ def selected(words: np.ndarray, bounds: np.ndarray, length: int) \
     n = len(words) - length + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    least, at = grams[:n].copy(), np.arange(n)
-    for j in range(1, w):
-        here = grams[j:n + j]
-        better = here <= least
-        np.copyto(least, here, where=better)
-        at[better] = np.flatnonzero(better) + j
+    at = B.least_grams(grams, n, w)
     whole = np.ones(n, bool)  # windows that stay within one row
     for cut in bounds[1:-1]:
         whole[max(0, cut - length + 1):cut] = False
