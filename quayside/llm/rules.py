@@ -122,10 +122,13 @@ def judge(docs: DataFrame, *, text: str = "text", out: str = "quality",
     for rule in BASE:
         base = base | broken[rule.name]
     names = F.array_compact(F.array(*[F.when(x, F.lit(n)) for n, x in broken.items()]))
-    judged = measure(held, "_source").withColumn("_failed", names).withColumn("_base", base)
+    # A filter on the verdict must not be pushed into the counts, where it would repeat them
+    # inside their own lambdas; the optimizer pushes nothing below a row number.
+    judged = (measure(held, "_source").withColumn("_number", F.monotonically_increasing_id())
+              .withColumn("_failed", names).withColumn("_base", base))
     return judged.select("_row.*", F.struct(
         *COUNTS, F.col("_failed").alias("failed"), F.col("_base").alias("base_failed"),
-        (F.size("_failed") == 0).alias("kept")).alias(out))
+        ((F.size("_failed") == 0) & (F.col("_number") >= 0)).alias("kept")).alias(out))
 
 
 def op3(docs: DataFrame) -> DataFrame:
