@@ -7,7 +7,7 @@ Subpackages:
 * ``operators`` - ``DataFrame -> DataFrame`` building blocks (filters, corrections, joins,
   aggregates, ordered windows, reshaping)
 * ``plans``     - the composite queries and cleaning pipelines, and the query catalog
-* ``streaming`` - the occupancy aggregate over a stream of hourly presence files
+* ``llm``       - operators for preparing language-model training text (optional)
 
 ``python -m quayside --help`` runs the pipelines and the analytics on files (``cli.py``).
 """

@@ -4,16 +4,20 @@
         [--call-fixes f.csv] [--call-exclusions e.csv] [--roster-exclusions r.csv] \\
         [--roster-fixes h.csv] [--stay-offsets o.csv] [--boat-names n.csv] [--time-texts t.csv]
     python -m quayside clean-sales --raw sales.csv --year 2023 --out sales/
-    python -m quayside clean-weather --raw weather.csv --columns time,temp,... --out weather/
+    python -m quayside clean-weather --raw weather.csv --out weather/
     python -m quayside clean-dictionary --raw product.csv --out dictionary/
     python -m quayside clean-calls --raw calls.csv --out calls/ [fix/exclusion/name options]
     python -m quayside analytics --harbour h --sales s --nationalities n --dictionary d \\
-        --out results/ [--format csv|parquet]
+        --out results/ [--format csv|parquet] [--passenger-fixes p.csv] \\
+        [--nationality-names m.csv]
 
 Correction files are CSV with a header: fixes have the key columns (``date``, ``boat``)
 and one column per fixed field; exclusions only the keys; offsets ``date, boat, days``;
-name and time maps ``from_value, to_value``.  Outputs are CSV directories with a header.
-Nothing is collected to the driver except the small name maps.
+name and time maps ``from_value, to_value``; passenger fixes ``boat, passengers``.  Outputs
+are CSV directories with a header, one for the result and one for each report.  ``analytics``
+takes the outputs of ``presence-build`` (hourly) and ``clean-sales`` (sales) as they are, or
+tables with the columns ``DateTime, boat, passengers, agent`` and ``DateTime, product, units,
+total_price``.
 """
 
 from __future__ import annotations
@@ -23,32 +27,19 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.text import number_text, whole_number
+from quayside.operators import corrections as C
 from quayside.plans import basket, cleaning, occupancy, roster
-from quayside.session import apply_defaults, build_session
+from quayside.session import build_session
 from quayside.sources import files as SF
 
 
-# Name maps are short lists; longer maps belong in a lookup join (recode_by_table).
-MAX_MAP_ENTRIES = 10_000
-
-
 def _csv(spark: SparkSession, path: str | None) -> DataFrame | None:
     if not path:
         return None
     return spark.read.option("header", True).csv(path)
 
 
-def _map(spark: SparkSession, path: str | None) -> dict | None:
-    """A small recode map file (from_value, to_value) as a dict (bounded: a name list)."""
-    df = _csv(spark, path)
-    if df is None:
-        return None
-    pairs = df.select("from_value", "to_value").limit(MAX_MAP_ENTRIES + 1).collect()
-    if len(pairs) > MAX_MAP_ENTRIES:
-        raise SystemExit(f"{path}: more than {MAX_MAP_ENTRIES} entries; use recode_by_table")
-    return {r["from_value"]: r["to_value"] for r in pairs}
-
-
 def _corrections(spark: SparkSession, a) -> cleaning.Corrections:
     offsets = _csv(spark, a.stay_offsets)
     if offsets is not None:
@@ -57,7 +48,7 @@ def _corrections(spark: SparkSession, a) -> cleaning.Corrections:
         call_fixes=_csv(spark, a.call_fixes), call_exclusions=_csv(spark, a.call_exclusions),
         roster_exclusions=_csv(spark, a.roster_exclusions),
         roster_fixes=_csv(spark, a.roster_fixes), stay_offsets=offsets,
-        boat_names=_map(spark, a.boat_names), time_texts=_map(spark, a.time_texts))
+        boat_names=_csv(spark, a.boat_names), time_texts=_csv(spark, a.time_texts))
 
 
 def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
@@ -66,20 +57,36 @@ def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
+# Column names of the cleaning outputs by the names the analytics use.
+HARBOUR_NAMES = {"hourly_timestamp": "DateTime"}
+SALES_NAMES = {"Datetime": "DateTime", "Product group": "product", "Units sold": "units",
+               "Amount with VAT": "total_price"}
+
+
 def _typed_analytics_inputs(spark, a):
-    fmt = a.format
-    h = _read_table(spark, a.harbour, fmt)
-    s = _read_table(spark, a.sales, fmt)
-    if fmt == "csv":
-        h = h.select(F.col("DateTime").try_cast("timestamp_ntz").alias("DateTime"), "boat",
-                     F.col("passengers").try_cast("int").alias("passengers"), "agent")
-        s = s.select(F.col("DateTime").try_cast("timestamp_ntz").alias("dt"), "product",
-                     F.col("units").try_cast("bigint").alias("units"),
-                     F.col("total_price").try_cast("decimal(18,2)").alias("total_price"))
-    else:
-        s = s.withColumnRenamed("DateTime", "dt")
-    return (occupancy.zero_harbour_minutes(h), s, _read_table(spark, a.nationalities, fmt),
-            _read_table(spark, a.dictionary, fmt))
+    """The four tables with the analytics' names and types, corrections applied."""
+    h = _read_table(spark, a.harbour, a.format).withColumnsRenamed(HARBOUR_NAMES)
+    s = _read_table(spark, a.sales, a.format).withColumnsRenamed(SALES_NAMES)
+    n = _read_table(spark, a.nationalities, a.format)
+    h = h.select(F.col("DateTime").cast("string").try_cast("timestamp_ntz").alias("DateTime"),
+                 "boat", whole_number(F.col("passengers").cast("string")).alias("passengers"),
+                 "agent")
+    s = s.select(
+        F.col("DateTime").cast("string").try_cast("timestamp_ntz").alias("dt"), "product",
+        whole_number(F.col("units").cast("string")).alias("units"),
+        number_text(F.col("total_price").cast("string")).try_cast("decimal(18,2)")
+        .alias("total_price"))
+    if a.passenger_fixes:
+        fixes = _csv(spark, a.passenger_fixes).withColumn(
+            "passengers", whole_number("passengers"))
+        h, _ = C.apply_fixes(h, fixes, ["boat"], ["passengers"], "hard")
+    n = C.recode_column(n, "nationality", _csv(spark, a.nationality_names))
+    return occupancy.zero_harbour_minutes(h), s, n, _read_table(spark, a.dictionary, a.format)
+
+
+def _write(out: str, results: dict[str, DataFrame]) -> None:
+    for name, df in results.items():
+        SF.write_csv(df, f"{out}/{name}")
 
 
 def _add_fix_options(p: argparse.ArgumentParser) -> None:
@@ -104,7 +111,6 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--out", required=True)
     p = sub.add_parser("clean-weather")
     p.add_argument("--raw", required=True)
-    p.add_argument("--columns", required=True)
     p.add_argument("--encoding", default="windows-1252")
     p.add_argument("--out", required=True)
     p = sub.add_parser("clean-dictionary")
@@ -117,34 +123,36 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("analytics")
     for t in ("harbour", "sales", "nationalities", "dictionary"):
         p.add_argument(f"--{t}", required=True)
+    p.add_argument("--passenger-fixes")
+    p.add_argument("--nationality-names")
     p.add_argument("--format", choices=["csv", "parquet"], default="csv")
     p.add_argument("--collation", default=None,
                    help="match ship names and products under a collation, e.g. UTF8_LCASE_RTRIM")
     p.add_argument("--out", required=True)
     a = ap.parse_args(argv)
 
-    spark = apply_defaults(build_session(app_name=f"quayside-{a.cmd}"))
+    spark = build_session(app_name=f"quayside-{a.cmd}")
     if a.cmd == "presence-build":
         raw = SF.read_csv(spark, a.calls, cleaning.CALL_COLUMNS)
         staff = [n for n in a.staff_names.split(",") if n]
-        calls = roster.read_roster(spark, a.roster, a.roster_encoding, staff_names=staff or None)
-        hourly, rejects, incomplete = cleaning.presence_build(raw, calls, _corrections(spark, a))
-        SF.write_csv(hourly, f"{a.out}/hourly")
-        SF.write_csv(rejects, f"{a.out}/rejects")
-        SF.write_csv(incomplete, f"{a.out}/incomplete")
+        calls, left_over = roster.read_roster(spark, a.roster, a.roster_encoding,
+                                              staff_names=staff or None)
+        hourly, reports = cleaning.presence_build(raw, calls, _corrections(spark, a))
+        left_over = left_over.withColumn("cells", F.array_join("cells", ","))
+        _write(a.out, {"hourly": hourly, **reports, "roster_rejects": left_over})
     elif a.cmd == "clean-sales":
         raw = SF.read_csv(spark, a.raw, list(cleaning.SALES_RENAMES))
-        SF.write_csv(cleaning.clean_sales(raw, a.year), a.out)
+        sales, rejects = cleaning.clean_sales(raw, a.year)
+        _write(a.out, {"sales": sales, "rejects": rejects})
     elif a.cmd == "clean-weather":
-        recs = SF.read_ordered_records(spark, a.raw, encoding=a.encoding)
-        SF.write_csv(cleaning.clean_weather(recs, a.columns.split(",")), a.out)
+        recs = SF.read_records(spark, a.raw, a.encoding)
+        SF.write_csv(cleaning.clean_weather(recs, cleaning.weather_columns(recs)), a.out)
     elif a.cmd == "clean-dictionary":
         SF.write_csv(cleaning.clean_dictionary(_csv(spark, a.raw)), a.out)
     elif a.cmd == "clean-calls":
         raw = SF.read_csv(spark, a.raw, cleaning.CALL_COLUMNS)
-        calls, incomplete = cleaning.clean_cruise_calls(raw, _corrections(spark, a))
-        SF.write_csv(SF.with_row_id(calls), f"{a.out}/calls")
-        SF.write_csv(incomplete, f"{a.out}/incomplete")
+        calls, reports = cleaning.clean_cruise_calls(raw, _corrections(spark, a))
+        _write(a.out, {"calls": SF.with_row_id(calls), **reports})
     elif a.cmd == "analytics":
         h, s, n, d = _typed_analytics_inputs(spark, a)
         c = a.collation
@@ -157,8 +165,7 @@ def main(argv: list[str] | None = None) -> None:
             "apportioned_product_share": basket.apportioned_product_share(h, s, n, d, collation=c),
             "apportioned_basket_mix": basket.apportioned_basket_mix(h, s, n, d, collation=c),
         }
-        for name, df in results.items():
-            SF.write_csv(df, f"{a.out}/{name}")
+        _write(a.out, results)
     spark.stop()
 
 

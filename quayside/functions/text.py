@@ -48,14 +48,6 @@ def slice_text(c, start: int, stop: int | None = None) -> Column:
     return F.substring(c, start + 1, max(stop - start, 0))
 
 
-def concat_strict(*parts) -> Column:
-    """Concatenation that is null when any part is null (``F.concat`` semantics).
-
-    Strings are column names; wrap literals in ``F.lit``.
-    """
-    return F.concat(*[col_of(p) for p in parts])
-
-
 def left(c, n: int) -> Column:
     """SQL ``LEFT(s, n)``."""
     return F.substring(col_of(c), 1, n)
@@ -69,8 +61,8 @@ def mid(c, start: int, length: int) -> Column:
 def contains_any(c, needles: list[str]) -> Column:
     """True when the text contains any of ``needles`` (case-sensitive).
 
-    For a short literal list an OR-chain stays in code generation; long keyword lists
-    belong in a table and go through :func:`quayside.operators.filters.exclude_keywords`.
+    A literal list is an OR-chain in code generation; a table of keywords goes through
+    :func:`quayside.operators.filters.exclude_keywords`.
     """
     c = col_of(c)
     if not needles:
@@ -86,6 +78,17 @@ def empty_to_null(c) -> Column:
     return F.nullif(col_of(c), F.lit(""))
 
 
-def cast_text(c) -> Column:
-    """Any value as text."""
-    return col_of(c).cast("string")
+def number_text(c) -> Column:
+    """A number as people write it, as one that casts: blanks out, decimal comma to point."""
+    return F.translate(col_of(c), ",\u00a0\u202f ", ".")
+
+
+def whole_number(c) -> Column:
+    """Number text with no fraction (``12``, ``12.0``, ``1 200``) as bigint, else null."""
+    d = number_text(c).try_cast("decimal(38,6)")
+    return F.when(d == F.floor(d), d.cast("bigint"))
+
+
+def unparsed(raw, value) -> Column:
+    """True where text was given but no value came of it."""
+    return col_of(raw).isNotNull() & (F.trim(col_of(raw)) != "") & col_of(value).isNull()

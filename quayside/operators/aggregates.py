@@ -18,18 +18,6 @@ def sum_by(df: DataFrame, keys, value: str, alias: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.sum(value).alias(alias))
 
 
-def sums_by(df: DataFrame, keys, values: dict[str, str]) -> DataFrame:
-    """A1/A2 with several sums: ``values`` maps output name -> input column."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(*[F.sum(src).alias(out) for out, src in values.items()])
-
-
-def bounds_by(df: DataFrame, keys, value: str, low: str, high: str) -> DataFrame:
-    """A3: ``MIN(value), MAX(value)`` per group."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    return df.groupBy(*keys).agg(F.min(value).alias(low), F.max(value).alias(high))
-
-
 def percent_of(part, whole, digits: int) -> Column:
     """A4: ``ROUND(part * 100.0 / whole, digits)`` in exact decimal arithmetic.
 

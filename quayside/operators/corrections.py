@@ -1,8 +1,8 @@
 """Keyed corrections and recoding.
 
-Fixes are data, not code: a correction table holds business keys and the values to
-write, so the same job runs for any export.  Correction tables are small; they are
-broadcast behind the size check of :func:`bounded_broadcast`, otherwise joined by key.
+Fixes are data, not code: a correction table holds business keys and the values to write, so
+the same job runs for any export.  Tables are joined by key; several fixes of one key are
+merged first, so a fix never multiplies rows.
 """
 
 from __future__ import annotations
@@ -11,15 +11,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
-from quayside.operators.joins import bounded_broadcast
 
-_HIT = "__fix_hit"
 
+def merge_fixes(fixes: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """One row per key: for each field its least given value, and ``__conflict`` where a field
+    of the key was given several."""
+    return fixes.groupBy(*keys).agg(
+        *[F.min(c).alias(c) for c in fields],
+        F.greatest(F.lit(False), *[F.coalesce(F.min(c) != F.max(c), F.lit(False))
+                                   for c in fields]).alias("__conflict"))
 
-def _fix_join(df: DataFrame, fixes: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
-    f = fixes.select(*keys, *[F.col(c).alias(f"__fix_{c}") for c in fields],
-                     F.lit(True).alias(_HIT))
-    return df.join(bounded_broadcast(f), on=keys, how="left")
+
+def fix_conflicts(fixes: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
+    """The keys for which ``fixes`` gives several values of one field."""
+    return merge_fixes(fixes, keys, fields).where("__conflict").select(*keys)
 
 
 def apply_fixes(df: DataFrame, fixes: DataFrame, keys: list[str], fields: list[str],
@@ -28,34 +33,37 @@ def apply_fixes(df: DataFrame, fixes: DataFrame, keys: list[str], fields: list[s
 
     ``fixes`` has the key columns and one nullable column per field in ``fields``; a null
     there means "no fix for this field".  Soft writes only where the cell is null, hard
-    always writes.  Keys must be unique in ``fixes``.  Returns ``(fixed, unused)`` where
-    ``unused`` lists the fixes whose key matched no row.
+    always writes.  Several fixes of a key are merged; of several values for one field the
+    least is written (see :func:`fix_conflicts`).  Returns ``(fixed, unused)`` where
+    ``unused`` lists the fixes whose key matches no row.
     """
     if mode not in ("soft", "hard"):
         raise ValueError("mode must be 'soft' or 'hard'")
-    joined = _fix_join(df, fixes, keys, fields)
+    merged = merge_fixes(fixes, keys, fields).select(
+        *keys, *[F.col(c).alias(f"__fix_{c}") for c in fields])
+    joined = df.join(merged, on=keys, how="left")
     exprs = {}
     for c in fields:
         old, new = F.col(c), F.col(f"__fix_{c}")
         exprs[c] = (F.coalesce(old, new) if mode == "soft" else F.coalesce(new, old)).cast(
             df.schema[c].dataType)
     fixed = joined.withColumns(exprs).select(*df.columns)
-    matched = joined.where(F.col(_HIT)).select(*keys).distinct()
-    unused = fixes.join(matched, on=keys, how="left_anti")
-    return fixed, unused
+    return fixed, fixes.join(df.select(*keys), on=keys, how="left_anti")
 
 
 def exclude_keys(df: DataFrame, exclusions: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the rows whose key is listed in ``exclusions``."""
-    return df.join(bounded_broadcast(exclusions.select(*keys).distinct()), on=keys,
-                   how="left_anti")
+    return df.join(exclusions.select(*keys), on=keys, how="left_anti")
 
 
 def add_days(df: DataFrame, offsets: DataFrame, keys: list[str], columns: list[str],
              days_col: str = "days") -> DataFrame:
-    """C4: add ``days`` from a keyed offsets table to each timestamp in ``columns``."""
-    o = offsets.select(*keys, F.col(days_col).alias("__days"))
-    joined = df.join(bounded_broadcast(o), on=keys, how="left")
+    """C4: add ``days`` from a keyed offsets table to each timestamp in ``columns``.
+
+    Several offsets of one key are added up.
+    """
+    o = offsets.groupBy(*keys).agg(F.sum(days_col).cast("int").alias("__days"))
+    joined = df.join(o, on=keys, how="left")
     shift = F.make_dt_interval(F.coalesce(F.col("__days"), F.lit(0)))
     return joined.withColumns({c: F.col(c) + shift for c in columns}).select(*df.columns)
 
@@ -63,24 +71,36 @@ def add_days(df: DataFrame, offsets: DataFrame, keys: list[str], columns: list[s
 def recode(c, mapping: dict[str, str]) -> Column:
     """Exact full-value recode in one pass; values not in ``mapping`` are unchanged.
 
-    One pass means ``a -> b`` and ``b -> c`` send ``a`` to ``b``, not to ``c``.
+    One pass means ``a -> b`` and ``b -> c`` send ``a`` to ``b``, not to ``c``.  For the few
+    pairs written in code; a table of pairs goes through :func:`recode_by_table`.
     """
     c = col_of(c)
-    if not mapping:
-        return c
-    lookup = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    return F.coalesce(F.try_element_at(lookup, c), c)
+    out = None
+    for old, new in mapping.items():
+        out = F.when(c == F.lit(old), F.lit(new)) if out is None else \
+            out.when(c == F.lit(old), F.lit(new))
+    return c if out is None else out.otherwise(c)
 
 
 def recode_by_table(df: DataFrame, column: str, table: DataFrame,
                     from_col: str = "from_value", to_col: str = "to_value") -> DataFrame:
-    """C5 for large maps: a lookup join on the value instead of an inline map."""
-    t = table.select(F.col(from_col).alias("__from"), F.col(to_col).alias("__to"))
-    joined = df.join(bounded_broadcast(t), F.col(column) == F.col("__from"), "left")
+    """C5 for a table of pairs: a lookup join on the value (of several pairs for one value
+    the least target)."""
+    t = table.groupBy(F.col(from_col).alias("__from")).agg(F.min(to_col).alias("__to"))
+    joined = df.join(t, F.col(column) == F.col("__from"), "left")
     return joined.withColumn(column, F.coalesce(F.col("__to"), F.col(column))) \
         .select(*df.columns)
 
 
+def recode_column(df: DataFrame, column: str, pairs: dict[str, str] | DataFrame | None) -> DataFrame:
+    """C5 on a column of ``df``, from a dict or a table (from_value, to_value)."""
+    if pairs is None:
+        return df
+    if isinstance(pairs, DataFrame):
+        return recode_by_table(df, column, pairs)
+    return df.withColumn(column, recode(column, pairs))
+
+
 def set_where(df: DataFrame, column: str, value, condition: Column) -> DataFrame:
     """``UPDATE t SET column = value WHERE condition`` as a projection.
 

@@ -1,8 +1,7 @@
 """Filters and predicates.
 
 Plain ``where`` conditions on columns the scan reads are pushed into the Parquet reader
-by Catalyst; the keyword exclusion joins against a keyword table instead of scanning a
-driver-side list per row.
+by Catalyst; keyword tables of any size are matched by joins on short character grams.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
 from quayside.functions.text import contains_any
-from quayside.operators.joins import bounded_broadcast
 
 
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -37,43 +35,44 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
-# Keyword tables longer than this are refused (they are lists of names, not data).
-MAX_KEYWORDS = 10_000
-# Up to this many keywords an OR-chain of ``contains``; beyond it one alternation regex.
-_OR_CHAIN_MAX = 200
+def _gram_at(n: int):
+    return lambda at: F.substr(F.col("__text"), at, F.lit(n))
 
 
-def keyword_predicate(text_col: str, keywords: list[str]):
-    """True when the text contains any keyword (case-sensitive), as one JVM expression."""
-    keywords = [k for k in dict.fromkeys(keywords) if k]
-    if len(keywords) <= _OR_CHAIN_MAX:
-        return contains_any(text_col, keywords)
-    pattern = "|".join(_java_quote(k) for k in keywords)
-    return F.col(text_col).rlike(pattern)
+def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame, keyword_col: str,
+                 gram: int = 3) -> DataFrame:
+    """The distinct values of ``text_col`` that contain any keyword of a table.
 
-
-def _java_quote(text: str) -> str:
-    """``text`` as a literal in a Java regular expression (``\\Q...\\E``)."""
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    A keyword is looked up by its first characters, at most ``gram`` of them, among the
+    character grams of the texts (an equi-join), and each meeting is verified with
+    ``contains``.  No keyword goes through the driver, and no text meets a keyword that it
+    shares no gram with.
+    """
+    kw = (keywords.select(F.col(keyword_col).cast("string").alias("__kw"))
+          .where(F.length("__kw") > 0).distinct()
+          .withColumn("__gram", F.substring("__kw", 1, gram)))
+    found = texts.select(F.col(text_col).alias("__text")).where(F.length("__text") > 0).distinct()
+    # Grams of all lengths a keyword may begin with; the last ones of a text are shorter.
+    starts = F.sequence(F.lit(1), F.length("__text"))
+    grams = F.array_distinct(F.flatten(F.array(*[
+        F.transform(starts, _gram_at(n)) for n in range(1, gram + 1)])))
+    met = found.select("__text", F.explode(grams).alias("__gram")).join(kw, "__gram")
+    return met.where(F.contains("__text", "__kw")).select(F.col("__text").alias(text_col)) \
+        .distinct()
 
 
 def exclude_keywords(df: DataFrame, text_col: str, keywords,
                      keyword_col: str = "keyword") -> DataFrame:
     """drop rows whose text contains any keyword anywhere (case-sensitive).
 
-    ``keywords`` is a list or a keyword table.  The test runs as one filter expression in
-    the scan's stage (no join of rows with keywords).  A table is a short list of names:
-    it is read to the driver after a size check and refused beyond ``MAX_KEYWORDS``.
+    ``keywords`` is a list (one filter expression in the scan's stage) or a keyword table of
+    any size (:func:`keyword_hits` and an anti-join).  A null text contains no keyword.
     """
     if isinstance(keywords, DataFrame):
-        kw = keywords.select(F.col(keyword_col).cast("string")).distinct()
-        if bounded_broadcast(kw) is kw:
-            raise ValueError("keyword table is not provably small")
-        rows = kw.limit(MAX_KEYWORDS + 1).collect()
-        if len(rows) > MAX_KEYWORDS:
-            raise ValueError(f"more than {MAX_KEYWORDS} keywords")
-        keywords = [r[0] for r in rows if r[0] is not None]
-    return df.where(~keyword_predicate(text_col, list(keywords)))
+        return df.join(keyword_hits(df, text_col, keywords, keyword_col), text_col, "left_anti") \
+            .select(*df.columns)
+    needles = [k for k in dict.fromkeys(keywords) if k]
+    return df.where(~F.coalesce(contains_any(text_col, needles), F.lit(False)))
 
 
 def regex_full_match(c, pattern: str) -> Column:
@@ -87,16 +86,10 @@ def regex_full_match(c, pattern: str) -> Column:
 
 def any_cell_contains(columns: list[str], needle: str) -> Column:
     """F8: true when any of ``columns`` (as text) contains ``needle``."""
-    cells = F.array(*[F.col(c).cast("string") for c in columns])
-    return F.exists(cells, lambda x: x.contains(needle))
+    return reduce(lambda a, b: a | b, [
+        F.coalesce(F.col(c).cast("string").contains(needle), F.lit(False)) for c in columns])
 
 
 def label_in(c, labels: list[str]) -> Column:
     """the value is one of ``labels``."""
     return col_of(c).isin(labels)
-
-
-def present_and_non_empty(c) -> Column:
-    """``notna() & (!= "")``."""
-    c = col_of(c)
-    return c.isNotNull() & (c != F.lit(""))

@@ -1,61 +1,15 @@
-"""Joins (J1-J6) and the size-checked broadcast.
+"""Joins (J1-J6).
 
-Broadcast is only requested for a side whose size is known to be below a limit: a base
-table by its file-size estimate (:func:`bounded_broadcast`) or a derived side by its
-measured, materialized size (:func:`measured_broadcast`).  Anything else is left to the
-planner: a sort-merge join that AQE may still turn into a broadcast once the real size of
-a finished shuffle stage is known, and whose skewed partitions AQE splits.
+All are equi-joins left to the planner: it broadcasts a side whose statistics are small, AQE
+does so when a finished stage proves small, and AQE splits skewed partitions.  Nothing is
+persisted or measured while a plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound for an explicit broadcast hint (estimated plan size, bytes).
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def estimated_size(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` in bytes (None when unavailable).
-
-    For a Parquet scan it is derived from the file sizes, for filters and projections from
-    their input, for aggregates it is the input size: an over-estimate, never an under-one.
-    """
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - Spark Connect has no JVM handle
-        return None
-
-
-def bounded_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast only when the estimated size is at most ``limit`` bytes."""
-    size = estimated_size(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
-
-def measured_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast ``df`` when its *measured* size is at most ``limit`` bytes.
-
-    For a side derived by joins and aggregates the optimizer's estimate is useless (a
-    join is estimated as the product of its inputs).  Such a side is materialized once
-    (memory and disk; lost blocks are recomputed from lineage), its real size is read
-    from the cache statistics, and it is broadcast only if it fits.  Otherwise the cached
-    side is returned and the join is left to the planner and AQE.
-    """
-    if (est := estimated_size(df)) is not None and est <= limit:
-        return F.broadcast(df)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    size = estimated_size(cached)
-    if size is not None and size <= limit:
-        return F.broadcast(cached)
-    return cached
-
 
 def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
                collation: str | None = None) -> DataFrame:
@@ -81,15 +35,15 @@ def keyed_join(left: DataFrame, right: DataFrame, keys, how: str = "inner",
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
-                limit: int = DEFAULT_BROADCAST_LIMIT, collation: str | None = None) -> DataFrame:
+                collation: str | None = None) -> DataFrame:
     """Fact table enriched from a lookup table; unmatched facts are dropped (inner).
 
     Duplicate keys in ``dim`` multiply fact rows, as in SQL.  ``collation`` applies to
     named string keys (see :func:`keyed_join`).
     """
     if collation is None or not isinstance(on, (str, list, tuple)):
-        return fact.join(bounded_broadcast(dim, limit), on=on, how=how)
-    return keyed_join(fact, bounded_broadcast(dim, limit), on, how, collation)
+        return fact.join(dim, on=on, how=how)
+    return keyed_join(fact, dim, on, how, collation)
 
 
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
@@ -114,27 +68,13 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
     return joined.select(*merged_keys, *rest)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once (memory and disk) for plans that read it in several branches.
-
-    Lost blocks are recomputed from lineage.  Use for small derived tables only.
-    """
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.count()
-    return cached
-
-
-def with_group_total(df: DataFrame, key: str, value: str, total_name: str,
-                     reuse: bool = False) -> DataFrame:
+def with_group_total(df: DataFrame, key: str, value: str, total_name: str) -> DataFrame:
     """Each row next to the total of its group, as ``row JOIN (SUM .. GROUP BY key)``.
 
     Written as aggregate + equi-join rather than a window: the totals are partial sums and
     the join is broadcast when they are small (AQE) or split by AQE when a key is hot,
     while a window would gather every row of a hot key into one task.  Rows with a null
-    key are dropped, as an inner join does.  ``reuse`` computes ``df`` once for both
-    branches (for an expensive but small input such as a harbour table).
+    key are dropped, as an inner join does.
     """
-    if reuse:
-        df = materialize(df)
     totals = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(value).alias(total_name))
     return df.join(totals, on=key, how="inner")

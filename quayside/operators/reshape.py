@@ -34,12 +34,6 @@ def unpivot_pairs(df: DataFrame, keep: list[str], pairs: list[tuple[str, ...]],
     return df.select(*keep, F.inline(F.array(*structs)))
 
 
-def split_to_columns(df: DataFrame, column: str, sep_regex: str, names: list[str]) -> DataFrame:
-    """``str.split(sep, expand=True)``; missing parts are null, extra parts ignored."""
-    parts = F.split(F.col(column), sep_regex)
-    return df.withColumns({n: F.get(parts, i) for i, n in enumerate(names)})
-
-
 def expand_hours(df: DataFrame, arrival: str, departure: str, out: str,
                  step=None) -> DataFrame:
     """One row per hour from ``arrival`` stepping by ``step`` while <= ``departure``.
@@ -67,7 +61,7 @@ def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: st
     a flag marking block headers.  A block runs from a header to the next one; the k-th
     record of every block becomes output column ``slot_names[k]`` and every cell position
     within the block becomes an output row.  The header's cell 0 reads ``"*"``.  Missing
-    slots are null; slots beyond ``len(slot_names)`` are ignored.
+    slots are null.
 
     Block number and record rank are running counts over the file, computed by the
     bucketed two-level scan of :func:`running_sums` (``width`` records per bucket), so no
@@ -76,25 +70,30 @@ def regrid_blocks(records: DataFrame, file_col: str, pos_col: str, cells_col: st
     With ``drop_empty`` empty cells are left out before the regrid (they come out null
     instead of ``""``), which saves most of the work on sparse grids.
 
-    Returns ``(grid, rejects)``; rejects are the records before a file's first header.
+    Returns ``(grid, rejects)``; rejects are the records before a file's first header and
+    those of slots beyond ``len(slot_names)``, as ``(file, pos, cells, reason)``.
     Output columns: ``file``, ``block``, ``cell``, then ``slot_names``.
     """
     marked = records.withColumns({"__h": F.col(header_col).cast("int"), "__one": F.lit(1)})
     counted = running_sums(marked, pos_col, {"block": "__h", "__rank": "__one"},
                            partition_cols=(file_col,), bucket=position_bucket(pos_col, width))
     counted = counted.drop("__h", "__one")
-    rejects = counted.where(F.col("block") == 0).drop("block", "__rank")
     blocked = counted.where(F.col("block") > 0)
     heads = blocked.where(F.col(header_col)).select(
         F.col(file_col).alias("__hf"), F.col("block").alias("__hb"), F.col("__rank").alias("__hr"))
     slotted = (blocked.join(heads, (blocked[file_col] == heads["__hf"])
                             & (blocked["block"] == heads["__hb"]), "inner")
-               .withColumn("slot", (F.col("__rank") - F.col("__hr")).cast("int"))
-               .where(F.col("slot") < len(slot_names)))
+               .withColumn("slot", (F.col("__rank") - F.col("__hr")).cast("int")))
+    reject = (F.col(file_col).alias("file"), F.col(pos_col).alias("pos"),
+              F.col(cells_col).alias("cells"))
+    rejects = (counted.where(F.col("block") == 0).select(*reject, F.lit("no block").alias("reason"))
+               .unionByName(slotted.where(F.col("slot") >= len(slot_names))
+                            .select(*reject, F.lit("no slot").alias("reason"))))
+    slotted = slotted.where(F.col("slot") < len(slot_names))
     labelled = slotted.withColumn(
         cells_col,
         F.when(F.col(header_col),
-               F.concat(F.array(F.lit("*")), F.slice(F.col(cells_col), 2, 1 << 20)))
+               F.concat(F.array(F.lit("*")), F.slice(F.col(cells_col), F.lit(2), F.size(cells_col))))
         .otherwise(F.col(cells_col)))
     cells = labelled.select(F.col(file_col).alias("file"), "block", "slot",
                             F.posexplode(cells_col).alias("cell", "value"))

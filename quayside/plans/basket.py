@@ -29,34 +29,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.aggregates import percent_of
-from quayside.operators.joins import (bounded_broadcast, keyed_join, lookup_join,
-                                      measured_broadcast, with_group_total)
+from quayside.operators.joins import keyed_join, lookup_join, with_group_total
 
 _MONEY = "decimal(22,2)"
 
 
-def _enrich_and_sum(rows: DataFrame, dictionary: DataFrame, keys: list[str],
-                    sums: dict[str, Column], collation: str | None = None) -> DataFrame:
-    """``rows JOIN dictionary USING (product) GROUP BY EN, keys`` with ``sums``.
-
-    With a small dictionary the join is a broadcast on the raw rows.  Otherwise rows are
-    first summed per (product, keys), which is exact for sums, and the much smaller result
-    is joined.
-    """
-    dic = dictionary.select("product", "EN")
-    small = bounded_broadcast(dic)
-    if small is not dic:
-        return keyed_join(rows, small, "product", collation=collation).groupBy("EN", *keys).agg(
-            *[expr.alias(name) for name, expr in sums.items()])
-    pre = rows.groupBy("product", *keys).agg(*[expr.alias(name) for name, expr in sums.items()])
-    return keyed_join(pre, dic, "product", collation=collation).groupBy("EN", *keys).agg(
-        *[F.sum(name).alias(name) for name in sums])
+def _priced(sales: DataFrame, dictionary: DataFrame, collation: str | None = None) -> DataFrame:
+    """Sales of known products: (dt, EN, units, cents), the price in whole cents."""
+    priced = sales.select("dt", "product", "units", (
+        F.col("total_price").cast("decimal(18,2)") * F.lit(100)).cast("bigint").alias("cents"))
+    return keyed_join(priced, dictionary.select("product", "EN"), "product",
+                      collation=collation).select("dt", "EN", "units", "cents")
 
 
-def _priced(sales: DataFrame) -> DataFrame:
-    """Sales with the price in whole cents (exact for ``decimal(18,2)``), once per sale."""
-    return sales.select("dt", "product", "units",
-                        (F.col("total_price") * F.lit(100)).cast("bigint").alias("cents"))
+def _sum(value: Column) -> Column:
+    """A sum that no number of rows overflows."""
+    return F.sum(value.cast("decimal(20,0)"))
 
 
 def _money(cents_sum) -> Column:
@@ -79,8 +67,8 @@ def round_div(numerator: str, denominator: int) -> Column:
 def product_totals(sales: DataFrame, dictionary: DataFrame,
                    collation: str | None = None) -> DataFrame:
     """``EN, total_revenue_product, total_units_product`` over all sales."""
-    sums = _enrich_and_sum(_priced(sales), dictionary, [], {
-        "cents": F.sum("cents"), "units": F.sum("units")}, collation)
+    sums = _priced(sales, dictionary, collation).groupBy("EN").agg(
+        _sum(F.col("cents")).alias("cents"), _sum(F.col("units")).alias("units"))
     return sums.select("EN", _money("cents").alias("total_revenue_product"),
                        F.col("units").alias("total_units_product"))
 
@@ -103,7 +91,7 @@ def shares_present(harbour: DataFrame, nationalities: DataFrame,
     counted together.
     """
     with_total = with_group_total(harbour.select(time_col, "boat", "passengers"),
-                                  time_col, "passengers", "passengers_sum", reuse=True)
+                                  time_col, "passengers", "passengers_sum")
     share = percent_of("passengers", "passengers_sum", 1)
     shares = with_total.select(time_col, "boat", (share * 10).cast("bigint").alias("share10"))
     return (lookup_join(shares, nationalities, "boat", collation=collation)
@@ -113,8 +101,7 @@ def shares_present(harbour: DataFrame, nationalities: DataFrame,
 
 def _meet(sales: DataFrame, present: DataFrame, time_col: str) -> DataFrame:
     """Each sale next to the harbour rows of its time."""
-    right = measured_broadcast(present)
-    return sales.join(right, sales["dt"] == right[time_col], "inner")
+    return sales.join(present, sales["dt"] == present[time_col], "inner")
 
 
 def _as_sums(df: DataFrame) -> DataFrame:
@@ -124,11 +111,11 @@ def _as_sums(df: DataFrame) -> DataFrame:
 def replicated_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
                     collation=None):
     """(EN, nationality, revenue, units) with every sale counted once per group present."""
-    met = _meet(_priced(sales), groups_present(harbour, nationalities, time_col, collation),
-                time_col)
-    return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
-        "cents": F.sum(F.col("cents") * F.col("groups")),
-        "units": F.sum(F.col("units") * F.col("groups"))}, collation))
+    met = _meet(_priced(sales, dictionary, collation),
+                groups_present(harbour, nationalities, time_col, collation), time_col)
+    return _as_sums(met.groupBy("EN", "nationality").agg(
+        _sum(F.col("cents") * F.col("groups")).alias("cents"),
+        _sum(F.col("units") * F.col("groups")).alias("units")))
 
 
 def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
@@ -139,15 +126,15 @@ def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTi
     ``ROUND(total_price / 100.0 * share, 0)``, computed exactly on integers
     (units x tenths / 1000, cents x tenths / 100000) so the hot loop stays on longs.
     """
-    met = _meet(_priced(sales), shares_present(harbour, nationalities, time_col, collation),
-                time_col)
+    met = _meet(_priced(sales, dictionary, collation),
+                shares_present(harbour, nationalities, time_col, collation), time_col)
     met = met.withColumns({"__units_x": F.col("units") * F.col("share10"),
                            "__cents_x": F.col("cents") * F.col("share10")})
     units_adj = round_div("__units_x", 1000)
     price_adj = round_div("__cents_x", 100000)
-    return _as_sums(_enrich_and_sum(met, dictionary, ["nationality"], {
-        "cents": F.sum(price_adj * F.col("groups") * 100),
-        "units": F.sum(units_adj * F.col("groups"))}, collation))
+    return _as_sums(met.groupBy("EN", "nationality").agg(
+        _sum(price_adj * F.col("groups") * 100).alias("cents"),
+        _sum(units_adj * F.col("groups")).alias("units")))
 
 
 def _product_share(sums: DataFrame, totals: DataFrame) -> DataFrame:

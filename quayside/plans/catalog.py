@@ -1,4 +1,5 @@
 """The full query catalog: importing this module registers every query."""
 
-from quayside.plans import analytics, exports, records, roster, text_times  # noqa: F401
+from quayside.plans import (analytics, exports, file_forms, records, roster,  # noqa: F401
+                            text_times)
 from quayside.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -21,7 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.text import strip_chars, strip_whitespace
+from quayside.functions.text import (number_text, strip_chars, strip_whitespace, unparsed,
+                                     whole_number)
 from quayside.functions.time import (clean_clock_text, compact_time, iso_hour_text,
                                      join_date_time, lenient_timestamp, one_day,
                                      reorder_date_text, split_time_range)
@@ -29,7 +30,7 @@ from quayside.operators import corrections as C
 from quayside.operators import filters as FL
 from quayside.operators.joins import outer_merge
 from quayside.operators.reshape import expand_hours, hours_rejects
-from quayside.sources.files import with_row_id
+from quayside.sources.files import skip_leading, with_row_id
 
 # Column names of the raw exports and their clean names.
 CALL_COLUMNS = ["Dato", "ETA", "ETD", "Navn", "Passasjerer", "Agent", "Kai", "Tonn", "Lengde"]
@@ -50,33 +51,35 @@ class Corrections:
     * ``roster_exclusions``: (Date, Boat) roster entries to drop (duplicates)
     * ``roster_fixes``: (date, boat) + nullable ETA, ETD - hard (overwrite)
     * ``stay_offsets``: (date, boat, days) extra days on the departure
-    * ``boat_names``: dict raw name -> clean name, applied to calls and roster
-    * ``time_texts``: dict raw roster time -> clean roster time
+    * ``boat_names``: raw name -> clean name, applied to calls and roster
+    * ``time_texts``: raw roster time -> clean roster time
+
+    The last two are dicts or tables (from_value, to_value).
     """
     call_fixes: DataFrame | None = None
     call_exclusions: DataFrame | None = None
     roster_exclusions: DataFrame | None = None
     roster_fixes: DataFrame | None = None
     stay_offsets: DataFrame | None = None
-    boat_names: dict | None = None
-    time_texts: dict | None = None
+    boat_names: dict | DataFrame | None = None
+    time_texts: dict | DataFrame | None = None
 
 
 # --------------------------------------------------------------------------- Q8 pieces
 
-def clean_roster(calls: DataFrame, fixes: Corrections) -> DataFrame:
-    """Roster (Date, Boat, Time) -> (boat, time, date, ETA, ETD) clock texts.
+def clean_roster(calls: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Roster (Date, Boat, Time) -> (boat, time, date, ETA, ETD) clock texts, and reports.
 
     Strip ``" ?"`` from names, recode names and time texts, ``m/d/yyyy`` -> ``yyyy-mm-dd``,
     split the time range, strip white space / ``:`` / ``?``, 2400 -> 2359, keyed hard
     fixes, ``"0800"`` -> ``"08:00"``.
     """
-    df = calls
+    df, reports = calls, {}
     if fixes.roster_exclusions is not None:
         df = C.exclude_keys(df, fixes.roster_exclusions, ["Date", "Boat"])
     df = df.withColumn("Boat", strip_chars("Boat", " ?"))
-    df = df.withColumn("Boat", C.recode("Boat", fixes.boat_names or {}))
-    df = df.withColumn("Time", C.recode("Time", fixes.time_texts or {}))
+    df = C.recode_column(df, "Boat", fixes.boat_names)
+    df = C.recode_column(df, "Time", fixes.time_texts)
     df = df.withColumn("date", reorder_date_text("Date", "/", (2, 0, 1), pad=True))
     df = df.withColumn("Time", strip_whitespace("Time"))
     eta, etd = split_time_range("Time")
@@ -84,29 +87,48 @@ def clean_roster(calls: DataFrame, fixes: Corrections) -> DataFrame:
     df = df.withColumn("ETD", C.recode("ETD", END_OF_DAY))
     df = df.select(F.col("Boat").alias("boat"), F.col("Time").alias("time"), "date", "ETA", "ETD")
     if fixes.roster_fixes is not None:
-        df, _ = C.apply_fixes(df, fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"], "hard")
-    return df.withColumns({"ETA": compact_time("ETA"), "ETD": compact_time("ETD")})
-
-
-def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, DataFrame]:
-    """Cruise calls -> (calls, incomplete).
-
-    Calls get soft fixes keyed by (date, boat), exclusions, the boat-name recode and the
-    ``dd.mm.yyyy`` -> ``yyyy-mm-dd`` date; ``incomplete`` lists calls still missing a
-    name, passenger count, date or time after the fixes (F4).
+        df, reports["unused_roster_fixes"] = C.apply_fixes(
+            df, fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"], "hard")
+        reports["conflicting_roster_fixes"] = C.fix_conflicts(
+            fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"])
+    return df.withColumns({"ETA": compact_time("ETA"), "ETD": compact_time("ETD")}), reports
+
+
+def typed_calls(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Calls with passengers as bigint, weight and length as double, and those whose text
+    isn't such a number (as read)."""
+    types = {"passengers": whole_number, "weight": lambda c: number_text(c).try_cast("double"),
+             "lenght": lambda c: number_text(c).try_cast("double")}
+    bad = F.lit(False)
+    for name, parse in types.items():
+        bad = bad | unparsed(name, parse(name))
+    return (calls.where(~bad).withColumns({n: parse(n) for n, parse in types.items()}),
+            calls.where(bad))
+
+
+def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Cruise calls -> (calls, reports).
+
+    Calls get soft fixes keyed by (date, boat), exclusions, the boat-name recode, typed
+    numbers and the ``dd.mm.yyyy`` -> ``yyyy-mm-dd`` date.  Reports: ``incomplete`` (calls
+    still missing a name, passenger count, date or time after the fixes, F4), ``unparsed``
+    (calls with a number that isn't one), ``unused_call_fixes``, ``conflicting_call_fixes``.
     """
-    df = raw.select(*CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES)
+    df, reports = raw.select(*CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES), {}
+    fields = ["ETA", "ETD", "passengers"]
     if fixes.call_fixes is not None:
-        df, _ = C.apply_fixes(df, fixes.call_fixes, ["date", "boat"],
-                              ["ETA", "ETD", "passengers"], "soft")
-    incomplete = FL.incomplete_rows(df, ["boat", "passengers", "date", "ETA", "ETD"])
+        df, reports["unused_call_fixes"] = C.apply_fixes(
+            df, fixes.call_fixes, ["date", "boat"], fields, "soft")
+        reports["conflicting_call_fixes"] = C.fix_conflicts(
+            fixes.call_fixes, ["date", "boat"], fields)
+    reports["incomplete"] = FL.incomplete_rows(df, ["boat", "passengers", "date", "ETA", "ETD"])
     if fixes.call_exclusions is not None:
         df = C.exclude_keys(df, fixes.call_exclusions, ["date", "boat"])
-    df = df.withColumn("boat", C.recode("boat", fixes.boat_names or {}))
+    df = C.recode_column(df, "boat", fixes.boat_names)
+    df, reports["unparsed"] = typed_calls(df)
     day = reorder_date_text("date", ".", (2, 1, 0))
     df = df.withColumns({"Date of arrival": day, "Date of departure": day})
-    df = df.withColumn("date", F.col("Date of arrival"))
-    return df, incomplete
+    return df.withColumn("date", F.col("Date of arrival")), reports
 
 
 def merge_calls_roster(calls: DataFrame, roster: DataFrame) -> DataFrame:
@@ -140,37 +162,42 @@ HOURLY_COLUMNS = ["hourly_timestamp", "boat", "passengers", "quay", "agent", "we
 
 
 def presence_build(raw_calls: DataFrame, roster_calls: DataFrame,
-                   fixes: Corrections | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                   fixes: Corrections | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Q8: cruise calls + roster -> hourly presence.
 
-    Returns ``(hourly, rejects, incomplete)``: one row per call and hour present
-    (``HOURLY_COLUMNS``), the calls whose times are missing or reversed, and the
-    completeness report of the calls.
+    Returns ``(hourly, reports)``: one row per call and hour present (``HOURLY_COLUMNS``), and
+    by name what did not go in or needs a look: ``rejects`` (calls whose times are missing or
+    reversed) and the reports of :func:`clean_calls` and :func:`clean_roster`.
     """
     fixes = fixes or Corrections()
-    calls, incomplete = clean_calls(raw_calls, fixes)
-    roster = clean_roster(roster_calls, fixes)
+    calls, reports = clean_calls(raw_calls, fixes)
+    roster, roster_reports = clean_roster(roster_calls, fixes)
     timed = call_times(merge_calls_roster(calls, roster), fixes)
-    rejects = hours_rejects(timed, "ETA date", "ETD date")
     hourly = expand_hours(timed, "ETA date", "ETD date", "hourly_timestamp")
-    return hourly.select(*HOURLY_COLUMNS), rejects, incomplete
+    rejects = hours_rejects(timed, "ETA date", "ETD date")
+    return hourly.select(*HOURLY_COLUMNS), {**reports, **roster_reports, "rejects": rejects}
 
 
 # --------------------------------------------------------------------------- Q9-Q12
 
-def clean_sales(raw: DataFrame, year=2023) -> DataFrame:
+def clean_sales(raw: DataFrame, year=2023) -> tuple[DataFrame, DataFrame]:
     """Q9: rename, drop subtotal rows (any gap), add the year, pad, assemble the hour.
 
-    ``year`` is a constant or a Column (e.g. a partition column of the export).
+    ``year`` is a constant or a Column (e.g. a partition column of the export).  Returns
+    ``(sales, rejects)``: rejects are the rows whose units or amount are not numbers, as read.
     """
     df = raw.withColumnsRenamed(SALES_RENAMES)
     df = FL.drop_nulls(df, list(SALES_RENAMES.values()))
     y = year if isinstance(year, Column) else F.lit(year)
     df = df.withColumn("Year", y.cast("string"))
-    text = iso_hour_text("Year", "Month", "Day", "Hours")
-    return df.select(lenient_timestamp(text).alias("Datetime"), "Product group",
-                     F.col("Units sold").try_cast("bigint").alias("Units sold"),
-                     F.col("Amount with VAT").try_cast("decimal(18,2)").alias("Amount with VAT"))
+    units = whole_number("Units sold")
+    amount = number_text("Amount with VAT").try_cast("decimal(18,2)")
+    bad = units.isNull() | amount.isNull()
+    time = lenient_timestamp(iso_hour_text("Year", "Month", "Day", "Hours"))
+    sales = df.where(~bad).select(time.alias("Datetime"), "Product group",
+                                  units.alias("Units sold"), amount.alias("Amount with VAT"))
+    return sales, df.where(bad).select(time.alias("Datetime"), "Product group", "Units sold",
+                                       "Amount with VAT")
 
 
 def clean_weather(records: DataFrame, names: list[str], time_col: str = "time",
@@ -178,25 +205,23 @@ def clean_weather(records: DataFrame, names: list[str], time_col: str = "time",
     """Q10: ordered weather records -> rows with a typed time.
 
     ``records`` are ``(file, pos, record)`` from
-    :func:`quayside.sources.files.read_ordered_records`.  The first ``preamble`` records
+    :func:`quayside.sources.files.read_records`.  The first ``preamble`` records
     and the header after them are skipped by position (S5); every later record is parsed
     as CSV into ``names`` and ``time`` becomes ``timestamp_ntz`` (null when unparsable,
     the row is kept).
     """
-    data = records.where(F.col("pos") > preamble)
+    data = skip_leading(records, preamble + 1)
     schema = ", ".join(f"`{n}` STRING" for n in names)
     parsed = data.select(F.from_csv("record", schema).alias("r")).select("r.*")
     return parsed.withColumn(time_col, lenient_timestamp(time_col))
 
 
-def keep_timed_records(records: DataFrame, time_col: str = "time") -> DataFrame:
-    """S5 by content, for the splittable reader: keep records whose time parses.
-
-    Preamble and header records hold no time and drop out; unlike the positional skip of
-    :func:`clean_weather`, data rows with a malformed time are dropped as well.
-    """
-    typed = records.withColumn(time_col, lenient_timestamp(time_col))
-    return typed.where(F.col(time_col).isNotNull())
+def weather_columns(records: DataFrame, preamble: int = 3) -> list[str]:
+    """The column names in the header record of the export's first file."""
+    head = records.where(F.col("pos") == preamble).orderBy("file").select("record").first()
+    if head is None:
+        raise ValueError("the export has no header record")
+    return [c.strip() for c in head[0].split(",")]
 
 
 def clean_dictionary(raw: DataFrame, id_key: list[str] | None = None) -> DataFrame:
@@ -205,17 +230,16 @@ def clean_dictionary(raw: DataFrame, id_key: list[str] | None = None) -> DataFra
 
 
 def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
-                       ) -> tuple[DataFrame, DataFrame]:
+                       ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Q12: stand-alone cruise-call cleaning.
 
-    Returns ``(calls, incomplete)``: calls with ``Date of arrival``, ``Date of departure``
+    Returns ``(calls, reports)``: calls with ``Date of arrival``, ``Date of departure``
     (plus one day when the stay passes midnight), ``ETA``, ``ETD`` and the other export
     columns under their own names (``Navn``, ``Passasjerer``, ``Kai``, ``Agent``, ``Tonn``,
-    ``Lengde``); ``incomplete`` is the completeness report after the soft fixes.  Fix and
-    exclusion keys use the names ``date`` and ``boat`` as in the presence build.
+    ``Lengde``); the reports are those of :func:`clean_calls`.  Fix and exclusion keys use the
+    names ``date`` and ``boat`` as in the presence build.
     """
-    fixes = fixes or Corrections()
-    calls, incomplete = clean_calls(raw, fixes)
+    calls, reports = clean_calls(raw, fixes or Corrections())
     eta = lenient_timestamp(join_date_time("Date of arrival", "ETA"))
     etd = lenient_timestamp(join_date_time("Date of arrival", "ETD"))
     arrival = lenient_timestamp("Date of arrival")
@@ -224,4 +248,4 @@ def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
     out = calls.select(arrival.alias("Date of arrival"), departure.alias("Date of departure"),
                        "ETA", "ETD", *[F.col(c).alias(back[c]) for c in
                                        ("boat", "passengers", "quay", "agent", "weight", "lenght")])
-    return out, incomplete
+    return out, reports

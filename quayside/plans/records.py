@@ -19,9 +19,9 @@ from quayside.operators import filters as FL
 from quayside.operators.joins import outer_merge
 from quayside.operators.reshape import union_all, unpivot_pairs
 from quayside.plans import analogue as A
-from quayside.plans.analytics import harbour
+from quayside.plans.analytics import harbour, harbour_updates
 from quayside.plans.registry import register
-from quayside.sources.tables import literal_table, read_table
+from quayside.sources.tables import read_table
 
 
 def _orders(spark, sf_dir, *cols):
@@ -106,19 +106,20 @@ def q_outer_merge_override(spark, sf_dir):
 _GAPPY_SQL = """
     SELECT o_orderkey, o_orderstatus, NULLIF(o_orderpriority, '5-LOW') AS priority,
            CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END AS price
-    FROM orders WHERE o_orderstatus <> 'F'"""
+    FROM orders"""
 _FIXES_SQL = """
     SELECT l_orderkey AS o_orderkey,
            CASE WHEN COUNT(*) >= 4 THEN 'FIX-' || CAST(COUNT(*) AS VARCHAR) END AS priority,
            CASE WHEN COUNT(*) >= 2
                 THEN CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) END AS price
-    FROM lineitem GROUP BY l_orderkey"""
+    FROM lineitem GROUP BY l_orderkey
+    UNION ALL SELECT -p_partkey - 1, 'FIX-' || p_size, p_retailprice FROM part"""
 
 
 def _gappy_orders(spark, sf_dir):
-    """Open and pending orders with gaps: no priority for 5-LOW, no price when pending."""
+    """All orders with gaps: no priority for 5-LOW, no price when pending."""
     o = _orders(spark, sf_dir, "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
-    return o.where(F.col("o_orderstatus") != "F").select(
+    return o.select(
         "o_orderkey", "o_orderstatus",
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"),
         F.when(F.col("o_orderstatus") == "P", F.lit(None).cast("double"))
@@ -126,7 +127,12 @@ def _gappy_orders(spark, sf_dir):
 
 
 def _order_fixes(spark, sf_dir):
-    """A correction table per order, derived from its line items."""
+    """A correction table: one row per order, derived from its line items, and one per part
+    under a key that no order has."""
+    stray = read_table(spark, sf_dir, "part").select(
+        (-F.col("p_partkey") - 1).alias("o_orderkey"),
+        F.concat(F.lit("FIX-"), F.col("p_size").cast("string")).alias("priority"),
+        F.col("p_retailprice").alias("price"))
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
     agg = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.count(F.lit(1)).alias("n"),
@@ -134,7 +140,7 @@ def _order_fixes(spark, sf_dir):
     return agg.select(
         "o_orderkey",
         F.when(F.col("n") >= 4, F.concat(F.lit("FIX-"), F.col("n").cast("string"))).alias("priority"),
-        F.when(F.col("n") >= 2, F.col("s").cast("double")).alias("price"))
+        F.when(F.col("n") >= 2, F.col("s").cast("double")).alias("price")).unionByName(stray)
 
 
 def _fix_sql(mode: str) -> str:
@@ -220,21 +226,14 @@ def q_recode_values(spark, sf_dir):
 
 
 @register("conditional_update", A.with_views("""
-    SELECT DateTime, boat,
-           CASE WHEN agent = 'NATION_12' THEN 200
-                WHEN boat = 7 THEN 1338
-                WHEN boat = 3 THEN 2194 ELSE passengers END AS passengers,
+    SELECT date_trunc('hour', dt) AS DateTime, boat,
+           CASE WHEN agent LIKE '%1' THEN CAST(length(agent) AS INTEGER)
+                WHEN boat % 5 = 3 THEN boat * 10 ELSE passengers END AS passengers,
            agent
-    FROM (SELECT dt - to_minutes(CAST(minute(dt) AS BIGINT)) AS DateTime, boat, passengers, agent
-          FROM presence)""", "presence"))
+    FROM presence""", "presence"))
 def q_conditional_update(spark, sf_dir):
     """``UPDATE harbour SET passengers = n WHERE ...`` statements applied in order."""
-    h = harbour(spark, sf_dir)
-    return C.apply_updates(h, [
-        ("passengers", 2194, F.col("boat") == 3),
-        ("passengers", 1338, F.col("boat") == 7),
-        ("passengers", 200, F.col("agent") == "NATION_12"),
-    ])
+    return C.apply_updates(harbour(spark, sf_dir), harbour_updates())
 
 
 # --------------------------------------------------------------------------- F1-F4
@@ -319,11 +318,29 @@ def q_keyword_exclude(spark, sf_dir):
 
 @register("keyword_exclude_table", A.with_views("""
     SELECT doc_id, line_no, line FROM lines
-    WHERE NOT (contains(line, 'License') OR contains(line, '@'))""", ctes={"lines": _LINES_SQL}))
+    WHERE NOT EXISTS (SELECT 1 FROM words WHERE contains(line, word))""", ctes={
+    "lines": _LINES_SQL, "words": """
+        SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark
+        WHERE item_id % 2 = 0 AND text IS NOT NULL"""}).replace(
+            "contains(line, word)", "length(word) > 6 AND contains(line, word)"))
 def q_keyword_exclude_table(spark, sf_dir):
-    """F6 with the keywords as a (size-checked) table, applied as one filter expression."""
-    kw = literal_table(spark, [(k,) for k in LINE_KEYWORDS], ["keyword"])
-    return FL.exclude_keywords(document_lines(spark, sf_dir), "line", kw)
+    """F6 with a keyword table: the long words of every second benchmark item."""
+    words = (read_table(spark, sf_dir, "benchmark").where("item_id % 2 = 0")
+             .select(F.explode(F.split("text", " ")).alias("keyword"))
+             .where(F.length("keyword") > 6))
+    return FL.exclude_keywords(document_lines(spark, sf_dir), "line", words)
+
+
+@register("recode_table", """
+    SELECT o_orderkey, coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS boat
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_nationkey < 20""")
+def q_recode_table(spark, sf_dir):
+    """C5 with a table of pairs: customer keys become names where the table has them."""
+    pairs = read_table(spark, sf_dir, "customer").where("c_nationkey < 20").select(
+        F.col("c_custkey").cast("string").alias("from_value"), F.col("c_name").alias("to_value"))
+    o = _orders(spark, sf_dir, "o_orderkey", "o_custkey").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("boat"))
+    return C.recode_column(o, "boat", pairs)
 
 
 @register("blank_filter", A.with_views("""

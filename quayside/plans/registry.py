@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.session import apply_defaults, ensure_checkpoint_dir
+from quayside.session import ensure_checkpoint_dir
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -23,8 +23,7 @@ ORACLES: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     """Decorator: record ``fn`` under ``name`` with its optional oracle SQL.
 
-    The registered callable first applies the library's session defaults (only where the
-    caller set nothing) and makes sure a checkpoint folder is known.
+    The registered callable first makes sure a shared folder is known.
     """
     def deco(fn: Builder) -> Builder:
         if name in QUERIES:
@@ -32,7 +31,6 @@ def register(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_defaults(spark)
             ensure_checkpoint_dir(spark)
             return fn(spark, sf_dir)
 

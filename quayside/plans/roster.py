@@ -10,7 +10,6 @@ record of a file is a title.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +38,9 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES,
                 staff_names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Ordered roster records -> (grid, rejects).
 
-    ``records`` has ``file, pos, record`` (see :func:`read_ordered_records`).  The grid
+    ``records`` has ``file, pos, record`` (see :func:`read_records`).  The grid
     has ``file, block, cell`` and one column per slot (empty cells are null); rejects are
-    ship records found before the first block header of a file.  With ``staff_names``,
+    ship records before the first block header of a file and those beyond the slots.  With ``staff_names``,
     records mentioning any of them anywhere are dropped first (F6), as an alternative to
     the label rule for rosters whose staff rows carry no label.
     """
@@ -57,11 +56,6 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES,
                                                    F.lit(False)))
     label = F.when(F.col("is_header"), F.lit("*")).otherwise(F.get(F.col("cells"), 0))
     recs = recs.where(FL.label_in(label, SHIP_LABELS)).drop("record")
-    # The regrid reads the records in several branches (running counts, their carry,
-    # block headers) that run as concurrent stages; materialize the decoded records once
-    # so they do not each decode the files again (lost blocks recompute from lineage).
-    recs = recs.persist(StorageLevel.MEMORY_AND_DISK)
-    recs.count()
     return regrid_blocks(recs, "file", "pos", "cells", "is_header", list(slot_names),
                          drop_empty=True)
 
@@ -76,11 +70,10 @@ def roster_calls(grid: DataFrame) -> DataFrame:
 
 
 def read_roster(spark: SparkSession, path: str, encoding: str = "UTF-8",
-                staff_names: list[str] | None = None) -> DataFrame:
-    """Roster files under ``path`` -> (Date, Boat, Time) rows."""
-    grid, _ = roster_grid(SF.read_ordered_records(spark, path, encoding=encoding),
-                          staff_names=staff_names)
-    return roster_calls(grid)
+                staff_names: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Roster files under ``path`` -> (Date, Boat, Time) rows, and the rejected records."""
+    grid, rejects = roster_grid(SF.read_records(spark, path, encoding), staff_names=staff_names)
+    return roster_calls(grid), rejects
 
 
 # --------------------------------------------------------------------------- derived export
@@ -92,7 +85,7 @@ def _order_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     key buckets so a busy day still spreads over tasks); rank r goes to block r / 3 of
     the week and to ship pair r % 3, which packs three ships per day into each block.
     """
-    o = read_table(spark, sf_dir, "orders", spread=True).select(
+    o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate")
     d = F.to_date("o_orderdate")
     o = o.withColumns({"day": d, "__one": F.lit(1)})
@@ -117,7 +110,7 @@ def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str,
     ``slots`` has ``week`` (Monday), ``kb`` (block key within the week), ``pair`` (0-2),
     ``dow`` (0-6), ``boat`` and ``time``; (week, kb, pair, dow) must be unique.  A block
     is a header, six slot records, a staff record and a blank record.  Blocks are spread
-    over ``files`` files by week, each file opening with a title record and holding
+    over ``files`` files by week and block, each file opening with a title record and holding
     whole blocks in order.  Size ``files`` from the base table the slots come from
     (:func:`quayside.sources.files.export_file_count` on its scan); default 4.
     """
@@ -141,7 +134,7 @@ def write_roster(spark: SparkSession, slots: DataFrame, out_dir: str,
     lines.append(F.lit(BLANK_RECORD))
     recs = blocks.select("week", F.col("kb").cast("bigint").alias("kb"),
                          F.posexplode(F.array(*lines)).alias("line", "record"))
-    recs = recs.withColumn("part", F.pmod(F.hash("week"), F.lit(files)))
+    recs = recs.withColumn("part", F.pmod(F.hash("week", "kb"), F.lit(files)))
     titles = spark.range(files).select(
         F.lit(None).cast("date").alias("week"), F.lit(-1).cast("bigint").alias("kb"),
         F.lit(-1).alias("line"), F.lit("Roster" + "," * 7).alias("record"),
@@ -161,7 +154,7 @@ def orders_roster_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the orders roster to the shared scratch folder, read it back, clean dates."""
     path = shared_scratch(spark, "roster")
     write_orders_roster(spark, sf_dir, path)
-    calls = read_roster(spark, path)
+    calls, _ = read_roster(spark, path)
     return calls.select(reorder_date_text("Date", "/", (2, 0, 1), pad=True).alias("date"),
                         F.col("Boat").alias("boat"), F.col("Time").alias("time"))
 

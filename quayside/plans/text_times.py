@@ -15,12 +15,10 @@ from quayside.functions.time import (clean_clock_text, compact_time, iso_hour_te
                                      join_date_time, lenient_timestamp, reorder_date_text,
                                      split_time_range)
 from quayside.operators.corrections import recode
+from quayside.plans.cleaning import END_OF_DAY
 from quayside.plans.registry import register
 from quayside.sources.tables import read_table
 
-# Fixed value: the end-of-day spelling replaced before parsing.
-END_OF_DAY = {"2400": "2359"}
-
 _RAW_RANGE_SQL = """
     SELECT event_id, ts,
            CASE event_type

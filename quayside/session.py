@@ -13,26 +13,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on.  They are defaults: a value the cluster already set is kept.
-DEFAULT_CONF = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    # Let AQE coalesce partitions inside cached (measured) sides as everywhere else.
-    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
-    # Broadcast only what is measured: no static broadcast from plan estimates (a join's
-    # estimate is the product of its inputs); explicit hints come from size checks, and
-    # AQE broadcasts a side once its finished stage is known to be small.
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    # Windows-1252 is a "legacy" charset for the CSV/text readers since Spark 4.
-    "spark.sql.legacy.javaCharsets": "true",
-}
-
-
-# Only for sessions this library builds itself (tests, bench); a caller's session keeps
-# its own zone.  The library's results do not depend on it (timestamps are zone-free).
+# Only for sessions this library builds itself (tests, bench, command line); a caller's session
+# keeps its own settings.  Results do not depend on the zone (timestamps are zone-free).
 BUILDER_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -49,7 +31,7 @@ def build_session(master: str | None = None, app_name: str = "quayside",
     cpus = int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
     builder = SparkSession.builder.appName(app_name)
     builder = builder.master(master or f"local[{cpus}]")
-    conf = {**DEFAULT_CONF, **BUILDER_CONF}
+    conf = dict(BUILDER_CONF)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
@@ -63,44 +45,23 @@ def build_session(master: str | None = None, app_name: str = "quayside",
     return spark
 
 
-def _explicitly_set(spark: SparkSession, key: str) -> bool:
-    """True when ``key`` was set on the session or at launch (not just a built-in default)."""
-    try:
-        return bool(spark._jsparkSession.sessionState().conf().contains(key)) \
-            or spark.sparkContext.getConf().contains(key)
-    except Exception:  # pragma: no cover - no JVM handle (Spark Connect): leave it alone
-        return True
-
-
-def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply ``DEFAULT_CONF`` to a running session for keys nobody set explicitly.
-
-    Values the cluster or the caller chose are kept; only built-in defaults are replaced.
-    """
-    for key, value in DEFAULT_CONF.items():
-        try:
-            if not _explicitly_set(spark, key):
-                spark.conf.set(key, value)
-        except Exception:  # static or locked keys: the cluster decides
-            pass
-    return spark
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the platform to shared storage and is only read here.  When
-    it is unset (tests, local runs) a fresh scratch folder is created and registered.
+    On a cluster the platform sets it to shared storage and it is only read here; a cluster
+    session without it is refused, since a folder of the driver's own would be another one on
+    every executor.  A session on a local master (tests, bench) gets a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
-        current = spark.sparkContext.getCheckpointDir()
         if not current:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="quayside-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -1,13 +1,12 @@
 """File sources and sinks.
 
-Raw exports are read with an explicit all-string schema (no inference) and typed later
-with lenient parsers.  Two record readers exist:
-
-* :func:`read_records` - splittable, for files whose record order does not matter; the
-  CSV reader with a custom record terminator and charset.
-* :func:`read_ordered_records` - for formats whose meaning depends on line order (the
-  weekly roster grid).  Each file is decoded whole in one task and its records are
-  numbered; the work then spreads by file.  Each such file must fit in a task.
+Raw exports are read as strings and typed later with lenient parsers.  CSV columns are chosen
+by the names in the file's header.  Record files are read by the splittable line reader; where
+the order of lines matters (the weekly roster grid, a preamble) each record gets a position
+that increases through its file, so one file still spans many tasks.
+
+Windows-1252 is read and written as Latin-1, which Spark has everywhere, with the 27 characters
+that differ translated; no session setting is needed.
 """
 
 from __future__ import annotations
@@ -16,15 +15,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_DIFFERING = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0)
+              if bytes([b]).decode("cp1252", "ignore")]
+_LATIN_1 = "".join(a for a, _ in _DIFFERING)
+_WINDOWS = "".join(b for _, b in _DIFFERING)
+
+
+def _is_windows(encoding: str) -> bool:
+    return encoding.lower().replace("_", "-") in ("windows-1252", "cp1252")
+
+
+def _reader_charset(encoding: str) -> str:
+    return "ISO-8859-1" if _is_windows(encoding) else encoding
+
 
-_STANDARD_CHARSETS = {"UTF-8", "UTF8", "US-ASCII", "ISO-8859-1", "UTF-16", "UTF-16BE",
-                      "UTF-16LE", "UTF-32"}
+def _as_read(c: Column, encoding: str) -> Column:
+    """Text read as Latin-1 as the text that was meant."""
+    return F.translate(c, _LATIN_1, _WINDOWS) if _is_windows(encoding) else c
 
 
-def _allow_charset(spark: SparkSession, encoding: str) -> None:
-    """Charsets beyond the standard set (Windows-1252) need the legacy charset switch."""
-    if encoding.upper() not in _STANDARD_CHARSETS:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+def _as_written(c: Column, encoding: str) -> Column:
+    return F.translate(c, _WINDOWS, _LATIN_1) if _is_windows(encoding) else c
 
 
 def string_schema(names: list[str]) -> T.StructType:
@@ -32,68 +43,61 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | list[str],
+def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
              header: bool = True, encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
-    """CSV with (or without) a header row, in any Java charset.
+    """A CSV export as strings, in any Java charset.
 
-    ``schema`` fixes the column names and types; with ``header=True`` the file's own header
-    row is skipped, not trusted.  Windows-1252 needs ``spark.sql.legacy.javaCharsets``.
+    With a header the file's own names count: ``columns`` are selected by name, whatever their
+    order and whatever else the file has, and a missing one is an error.  Without a header
+    ``columns`` names the columns by position.
     """
-    if isinstance(schema, list):
-        schema = string_schema(schema)
-    _allow_charset(spark, encoding)
-    return (spark.read.schema(schema)
-            .option("header", header)
-            .option("encoding", encoding)
-            .option("sep", sep)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
-
-
-def read_records(spark: SparkSession, path: str, names: list[str], terminator: str = ",\n",
-                 encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
-    """S3+S4: records ending in ``terminator`` (e.g. ``",\\n"``), parsed as CSV fields.
-
-    Splittable; record order is not kept.  Records with fewer fields get nulls.
+    reader = (spark.read.option("header", header).option("encoding", _reader_charset(encoding))
+              .option("sep", sep).option("mode", "PERMISSIVE"))
+    if not header:
+        df = reader.schema(string_schema(columns)).csv(path)
+        return df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) for c in columns])
+    df = reader.csv(path)
+    if _is_windows(encoding):
+        names = str.maketrans(_LATIN_1, _WINDOWS)
+        df = df.toDF(*[c.translate(names) for c in df.columns])
+    wanted = columns or df.columns
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing}; it has {df.columns}")
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) if c in text
+                       else F.col(f"`{c}`") for c in wanted])
+
+
+def read_records(spark: SparkSession, path: str, encoding: str = "UTF-8",
+                 terminator_regex: str = r",?\r?$") -> DataFrame:
+    """``(file, pos, record)`` for every line of every file under ``path``.
+
+    Splittable: a file larger than a split is read by several tasks.  ``pos`` increases through
+    a file and counts from 0 in its first split: it is the byte offset of the line's split plus
+    the line's number in that split, which is less than the split's bytes.  What
+    ``terminator_regex`` matches at the end of a line is not part of the record.
     """
-    _allow_charset(spark, encoding)
-    return (spark.read.schema(string_schema(names))
-            .option("lineSep", terminator)
-            .option("encoding", encoding)
-            .option("sep", sep)
-            .option("header", False)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
-
-
-def read_ordered_records(spark: SparkSession, path: str, terminator_regex: str = r",?\r?\n",
-                         encoding: str = "UTF-8") -> DataFrame:
-    """S4 with order: ``(file, pos, record)`` for every record of every file under ``path``.
-
-    The file is decoded with ``encoding`` and split at ``terminator_regex``; ``pos``
-    counts from 0 within each file.  The terminator of the last record is optional.
-    """
-    _allow_charset(spark, encoding)
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    text = F.regexp_replace(F.decode(F.col("content"), encoding), f"(?:{terminator_regex})$", "")
-    return raw.select(F.col("path").alias("file"),
-                      F.posexplode(F.split(text, terminator_regex)).alias("pos", "record"))
+    lines = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path))
+    at = lines.select("value", F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("__split"),
+                      F.monotonically_increasing_id().alias("__id"))
+    # One row a split: a task may read several, so numbers in it start at the split's least.
+    firsts = at.groupBy("file", "__split").agg(F.min("__id").alias("__first"))
+    text = F.col("value")
+    if encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
+        text = _as_read(F.decode(text.cast("binary"), _reader_charset(encoding)), encoding)
+    record = F.regexp_replace(text, terminator_regex, "")
+    return at.join(firsts, ["file", "__split"]).select(
+        "file", (F.col("__split") + F.col("__id") - F.col("__first")).alias("pos"),
+        record.alias("record"))
 
 
 def skip_leading(records: DataFrame, n: int) -> DataFrame:
-    """S5 by position: drop the first ``n`` records of each file (needs ``pos``)."""
+    """S5 by position: drop the first ``n`` records of each file (fewer than a split holds)."""
     return records.where(F.col("pos") >= n)
 
 
-def keep_parsable(df: DataFrame, column: str, parser) -> DataFrame:
-    """S5 by content: keep rows whose ``column`` parses (``parser`` returns null otherwise).
-
-    Splittable replacement for positional preamble skipping: preamble and header records
-    do not parse as data and drop out.
-    """
-    return df.where(parser(F.col(column)).isNotNull())
-
-
 def split_cells(record, sep: str = ",") -> Column:
     """Naive field split, quotes not honoured (``line.split(",")``)."""
     rx = "\\" + sep if sep in ".^$*+?()[]{}|\\/" else sep
@@ -105,9 +109,13 @@ def split_cells(record, sep: str = ",") -> Column:
 def write_csv(df: DataFrame, path: str, header: bool = True, encoding: str = "UTF-8",
               mode: str = "overwrite") -> None:
     """K1/K2: CSV directory of part files (one per task), with or without a header."""
-    _allow_charset(df.sparkSession, encoding)
-    (df.write.mode(mode).option("header", header).option("encoding", encoding)
-     .csv(path))
+    if _is_windows(encoding):
+        names = str.maketrans(_WINDOWS, _LATIN_1)
+        df = df.select(*[_as_written(F.col(f"`{f.name}`"), encoding).alias(f.name.translate(names))
+                         if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+                         for f in df.schema.fields])
+    (df.write.mode(mode).option("header", header)
+     .option("encoding", _reader_charset(encoding)).csv(path))
 
 
 def with_row_id(df: DataFrame, name: str = "ID", key: list[str] | None = None) -> DataFrame:
@@ -126,22 +134,6 @@ def write_lines(df: DataFrame, column: str, path: str, mode: str = "overwrite")
     df.select(F.col(column).cast("string").alias("value")).write.mode(mode).text(path)
 
 
-def write_records(df: DataFrame, column: str, path: str, encoding: str = "UTF-8",
-                  terminator: str = ",", mode: str = "overwrite") -> None:
-    """Records written as ``<record><terminator>\\n`` in ``encoding`` (legacy exports).
-
-    Uses the CSV writer with one column and no quoting, so commas inside a record are
-    written as they are.
-    """
-    _allow_charset(df.sparkSession, encoding)
-    (df.select(F.concat(F.col(column), F.lit(terminator)).alias("value"))
-     .write.mode(mode)
-     .option("encoding", encoding).option("sep", "\u0001")
-     .option("quote", "").option("escape", "").option("quoteAll", False)
-     .option("header", False)
-     .csv(path))
-
-
 def write_ordered_export(records: DataFrame, path: str, part_col: str, order_cols: list,
                          record_col: str = "record", encoding: str = "UTF-8",
                          terminator: str = ",", mode: str = "overwrite") -> None:
@@ -149,28 +141,22 @@ def write_ordered_export(records: DataFrame, path: str, part_col: str, order_col
 
     Rows are hash-distributed by ``part_col`` and sorted by ``order_cols`` within it, so
     every file holds its records in order (put a file's preamble first in that order).
-    Each record is written as ``<record><terminator>\n`` in ``encoding``, unquoted.
+    Each record is written as ``<record><terminator>\\n`` in ``encoding``, unquoted.
     """
-    _allow_charset(records.sparkSession, encoding)
+    line = _as_written(F.concat(F.col(record_col), F.lit(terminator)), encoding)
     out = (records.repartition(part_col)
            .sortWithinPartitions(part_col, *order_cols)
-           .select(F.concat(F.col(record_col), F.lit(terminator)).alias("value"), part_col))
+           .select(line.alias("value"), part_col))
     (out.write.mode(mode).partitionBy(part_col)
-     .option("encoding", encoding).option("sep", "\u0001")
+     .option("encoding", _reader_charset(encoding)).option("sep", "\u0001")
      .option("quote", "").option("escape", "").option("quoteAll", False)
      .option("header", False)
      .csv(path))
 
 
-def export_file_count(df: DataFrame, bytes_per_file: int = 128 << 20, minimum: int = 4,
-                      maximum: int = 100_000) -> int:
-    """Number of files for an ordered export of ``df``: about ``bytes_per_file`` each.
-
-    Pass the scan of the base table the export is derived from: its estimate is the file
-    size, so the number of writer tasks grows with the data.  (Estimates of derived plans
-    with joins are products of their inputs and would overshoot.)
-    """
-    from quayside.operators.joins import estimated_size
-
-    size = estimated_size(df) or 0
-    return int(max(minimum, min(maximum, -(-size // bytes_per_file))))
+def export_file_count(df: DataFrame, bytes_per_file: int = 32 << 20, minimum: int = 4) -> int:
+    """Number of files for an ordered export of ``df``, the scan of a base table: one per
+    ``bytes_per_file`` of its files (text is several times larger), so that writer tasks grow
+    with the data."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(minimum, -(-size // bytes_per_file))

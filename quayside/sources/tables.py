@@ -38,60 +38,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# A scan is spread over the cores only when the table is this small or smaller; bigger
-# tables come in many files or row groups and are split by the reader itself.
-SPREAD_MAX_BYTES = 1 << 30
-# Roughly one task per this many bytes of (compressed) input when spreading.
-SPREAD_BYTES_PER_TASK = 1 << 20
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One supplied table as a DataFrame.
-
-    A table stored as fewer files than the session has cores is read by that many tasks
-    only (a Parquet file with one row group cannot be split).  With ``spread`` such a
-    small table (at most ``SPREAD_MAX_BYTES``) is redistributed round-robin right after
-    the scan so CPU-heavy work on top of it (a fan-out join) uses every core; filters and
-    column pruning still reach the scan.  Large tables are returned as scanned.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One supplied table as a DataFrame."""
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    df = reader.parquet(table_path(sf_dir, name))
-    return spread_small_scan(spark, df) if spread else df
-
-
-def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Redistribute a small, few-file scan over the session's parallelism (see above)."""
-    try:
-        # Size first (from the file index, no listing to Python): big tables stop here,
-        # so a table with millions of files never ships its paths to the driver.
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size > SPREAD_MAX_BYTES:
-            return df
-        files = df.inputFiles()
-    except Exception:  # pragma: no cover - no JVM handle (Spark Connect)
-        return df
-    cores = spark.sparkContext.defaultParallelism
-    if len(files) >= cores:
-        return df
-    tasks = min(cores, max(1, size // SPREAD_BYTES_PER_TASK))
-    return df.repartition(int(tasks)) if tasks > len(files) else df
-
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    """Register every supplied table as a temporary view for SQL use."""
-    for name in names:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)
-
-
-def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small table of literal rows (keyword lists, recode maps, fix lists).
-
-    Built as an inline generator so the optimizer knows its size, which lets the joins
-    that use it take the size-checked broadcast path.
-    """
-    from pyspark.sql import functions as F
-
-    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return reader.parquet(table_path(sf_dir, name))

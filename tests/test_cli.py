@@ -37,19 +37,23 @@ def test_cli_presence_build_then_analytics(tmp_dir):
     hourly = _read_dir(f"{tmp_dir}/out/hourly")
     assert {r["boat"] for r in hourly} == {"AIDAluna", "Bolette", "Jewel of the Seas"}
     assert len(hourly) == 9 + 8 + 7
-    # harbour = hourly presence; one nationality per ship; one sale per hour of AIDAluna
-    _write(f"{tmp_dir}/h/h.csv", "DateTime,boat,passengers,agent\n" + "".join(
-        f"{r['hourly_timestamp'].replace('T', ' ')},{r['boat']},{r['passengers'] or 100},{r['agent']}\n"
-        for r in hourly))
-    _write(f"{tmp_dir}/s/s.csv", "DateTime,product,units,total_price\n2023-05-01 10:00:00,1,10,99.00\n")
-    _write(f"{tmp_dir}/n/n.csv", "boat,nationality\nAIDAluna,DE\nBolette,UK\nJewel of the Seas,US\n")
+    # the hourly output is the harbour and the cleaned sales are the sales, as they are
+    _write(f"{tmp_dir}/fix.csv", "boat,passengers\nBolette,100.0\n")
+    _write(f"{tmp_dir}/s/s.csv", "Måned,Dag,Time,Varegruppe,Antall,Belåp m/mva\n"
+                                 "5,1,10,1,10.0,\"99,00\"\n5,1,10,1,few,1\n")
+    subprocess.run(run + ["clean-sales", "--raw", f"{tmp_dir}/s", "--out", f"{tmp_dir}/sold"],
+                   check=True, env=env, capture_output=True, timeout=600)
+    assert [r["Units sold"] for r in _read_dir(f"{tmp_dir}/sold/rejects")] == ["few"]
+    _write(f"{tmp_dir}/n/n.csv", "boat,nationality\nAIDAluna,Tysk\nBolette,UK\nJewel of the Seas,US\n")
+    _write(f"{tmp_dir}/nn.csv", "from_value,to_value\nTysk,DE\n")
     _write(f"{tmp_dir}/d/d.csv", "product,EN\n1,Souvenir\n")
-    subprocess.run(run + ["analytics", "--harbour", f"{tmp_dir}/h", "--sales", f"{tmp_dir}/s",
-                          "--nationalities", f"{tmp_dir}/n", "--dictionary", f"{tmp_dir}/d",
-                          "--out", f"{tmp_dir}/res"], check=True, env=env, capture_output=True,
-                   timeout=600)
+    subprocess.run(run + ["analytics", "--harbour", f"{tmp_dir}/out/hourly", "--sales",
+                          f"{tmp_dir}/sold/sales", "--nationalities", f"{tmp_dir}/n",
+                          "--dictionary", f"{tmp_dir}/d", "--passenger-fixes", f"{tmp_dir}/fix.csv",
+                          "--nationality-names", f"{tmp_dir}/nn.csv", "--out", f"{tmp_dir}/res"],
+                   check=True, env=env, capture_output=True, timeout=600)
     rep = {r["nationality"]: r for r in _read_dir(f"{tmp_dir}/res/replicated_product_share")}
     assert set(rep) == {"DE", "UK"} and rep["DE"]["total_units_sold"] == "10"
     app = {r["nationality"]: r for r in _read_dir(f"{tmp_dir}/res/apportioned_product_share")}
-    # 10:00: AIDAluna 2000 and Bolette (no passenger count -> 100 in this harbour file)
+    # 10:00: AIDAluna 2000 and Bolette 100 by the fix
     assert app["DE"]["total_units_sold"] == "10" and app["UK"]["total_units_sold"] == "0"

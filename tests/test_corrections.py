@@ -49,11 +49,23 @@ def test_override_when_present(spark):
 
 
 def test_updates_apply_in_order(spark):
-    df = spark.createDataFrame([("AIDAmar", 1), ("Gann", 2)], "boat string, passengers int")
-    out = C.apply_updates(df, [("passengers", 2194, F.col("boat") == "AIDAmar"),
-                               ("passengers", 200, F.col("boat") == "Gann"),
-                               ("passengers", 7, F.col("passengers") == 2194)])
-    assert rows(out) == [("AIDAmar", 7), ("Gann", 200)]
+    df = spark.createDataFrame([("Anna", 1), ("Berta", 2)], "boat string, passengers int")
+    out = C.apply_updates(df, [("passengers", 50, F.col("boat") == "Anna"),
+                               ("passengers", 60, F.col("boat") == "Berta"),
+                               ("passengers", 7, F.col("passengers") == 50)])
+    assert rows(out) == [("Anna", 7), ("Berta", 60)]
+
+
+def test_several_fixes_of_a_key_are_one(spark):
+    df = spark.createDataFrame([("a", None, None), ("b", 1, None)], "k string, v int, w int")
+    fixes = spark.createDataFrame([("a", 5, None), ("a", None, 6), ("b", 9, 2), ("b", 8, 2)],
+                                  "k string, v int, w int")
+    soft, unused = C.apply_fixes(df, fixes, ["k"], ["v", "w"], "soft")
+    assert rows(soft) == [("a", 5, 6), ("b", 1, 2)] and unused.count() == 0
+    assert rows(C.fix_conflicts(fixes, ["k"], ["v", "w"])) == [("b",)]
+    offsets = spark.createDataFrame([("a", 1), ("a", 2)], "k string, days int")
+    dates = spark.createDataFrame([("a", dt.datetime(2023, 5, 1))], "k string, t timestamp_ntz")
+    assert rows(C.add_days(dates, offsets, ["k"], ["t"])) == [("a", dt.datetime(2023, 5, 4))]
 
 
 def test_recode_table(spark):
@@ -72,12 +84,14 @@ def test_outer_merge_suffixes_and_keys(spark):
         ("d1", "A", "08:00", "10:00"), ("d1", "B", "09:00", None), ("d2", "C", None, "11:00")]
 
 
-def test_keyword_exclusion_list_table_and_long_list(spark):
+def test_keyword_exclusion_list_and_table(spark):
     from quayside.operators.filters import exclude_keywords
-    from quayside.sources.tables import literal_table
-    df = spark.createDataFrame([("Kaisa 8-16",), ("ShipA,0800",), ("a.b(c) \\\\E x",), ("ok",)], "line string")
-    assert rows(exclude_keywords(df, "line", ["Kaisa", "Toni"])) == [("ShipA,0800",), ("a.b(c) \\\\E x",), ("ok",)]
-    kw = literal_table(spark, [("Kaisa",), ("a.b(c) \\\\E",)], ["keyword"])
-    assert rows(exclude_keywords(df, "line", kw)) == [("ShipA,0800",), ("ok",)]
-    many = [f"zz{i}" for i in range(500)] + ["a.b(c) \\\\E", "Kaisa"]
-    assert rows(exclude_keywords(df, "line", many)) == [("ShipA,0800",), ("ok",)]
+    lines = ["Kaisa 8-16", "ShipA,0800", "a.b(c) \\\\E x", "ok", "", "é🙂 z"]
+    df = spark.createDataFrame([(x,) for x in [*lines, None, "ok"]], "line string")
+    for words in (["Kaisa", "Toni"], ["a.b(c) \\\\E", "zz"], ["k", "🙂"], ["Kaisa 8-16 "], [],
+                  [f"zz{k}" for k in range(300)] + ["Ship"]):
+        left = sorted(x for x in [*lines, "ok"] if not any(w in x for w in words))
+        kw = spark.createDataFrame([(w,) for w in [*words, "", None]], "keyword string")
+        for keywords in (words, kw):
+            got = [r[0] for r in exclude_keywords(df, "line", keywords).collect()]
+            assert sorted(x for x in got if x is not None) == left and got.count(None) == 1

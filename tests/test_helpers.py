@@ -1,44 +1,29 @@
-"""Small public helpers: R4, A1-A3, C8, F10, S5, P8."""
+"""Small public helpers: A1-A2, C8, F10, number texts."""
 
-import datetime as dt
-
-from pyspark.sql import functions as F
-
-from quayside.functions.text import cast_text, empty_to_null
-from quayside.functions.time import lenient_timestamp
-from quayside.operators.aggregates import bounds_by, sum_by, sums_by
+from quayside.functions.text import empty_to_null, number_text, unparsed, whole_number
+from quayside.operators.aggregates import sum_by
 from quayside.operators.corrections import replace_value
-from quayside.operators.filters import present_and_non_empty
-from quayside.operators.reshape import split_to_columns
-from quayside.sources.files import keep_parsable
 
 from conftest import rows
 
 
-def test_split_to_columns(spark):
-    df = spark.createDataFrame([("1.5.2023",), ("7.5",)], "Dato string")
-    out = split_to_columns(df, "Dato", r"\.", ["Day", "Month", "Year"])
-    assert rows(out) == [("1.5.2023", "1", "5", "2023"), ("7.5", "7", "5", None)]
-
-
-def test_sums_and_bounds(spark):
-    t = dt.datetime(2023, 5, 1, 8)
-    df = spark.createDataFrame([("a", t, 1, 10), ("a", t.replace(hour=9), 2, 20), ("b", t, 3, 30)],
-                               "k string, t timestamp_ntz, x int, y int")
+def test_sums(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, x int")
     assert rows(sum_by(df, "k", "x", "sx")) == [("a", 3), ("b", 3)]
-    assert rows(sums_by(df, ["k"], {"sx": "x", "sy": "y"})) == [("a", 3, 30), ("b", 3, 30)]
-    assert rows(bounds_by(df, "k", "t", "lo", "hi")) == [("a", t, t.replace(hour=9)), ("b", t, t)]
 
 
-def test_empty_markers_and_presence(spark):
+def test_empty_markers(spark):
     df = spark.createDataFrame([(":",), ("",), (None,), ("08:00",)], "v string")
-    out = df.select(replace_value("v", ":", "").alias("a"), empty_to_null("v").alias("b"),
-                    present_and_non_empty("v").alias("c"), cast_text(F.length("v")).alias("d"))
-    assert [tuple(r) for r in out.collect()] == [("", ":", True, "1"), ("", None, False, "0"),
-                                                 (None, None, False, None),
-                                                 ("08:00", "08:00", True, "5")]
-
-
-def test_keep_parsable(spark):
-    df = spark.createDataFrame([("time",), ("2023-01-01T00:00",), ("latitude",)], "time string")
-    assert rows(keep_parsable(df, "time", lenient_timestamp)) == [("2023-01-01T00:00",)]
+    out = df.select(replace_value("v", ":", "").alias("a"), empty_to_null("v").alias("b"))
+    assert [tuple(r) for r in out.collect()] == [("", ":"), ("", None), (None, None),
+                                                 ("08:00", "08:00")]
+
+
+def test_number_texts(spark):
+    df = spark.createDataFrame([("12",), ("12.0",), ("1 200",), ("1\u00a0200,0",), ("12,5",),
+                                ("x",), ("",), (None,)], "v string")
+    out = df.select(whole_number("v").alias("n"), number_text("v").try_cast("double").alias("d"),
+                    unparsed("v", whole_number("v")).alias("bad"))
+    assert [tuple(r) for r in out.collect()] == [
+        (12, 12.0, False), (12, 12.0, False), (1200, 1200.0, False), (1200, 1200.0, False),
+        (None, 12.5, True), (None, None, True), (None, None, False), (None, None, False)]

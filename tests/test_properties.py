@@ -87,15 +87,3 @@ def test_intervals_partition_the_hours(spark):
         assert all(x == v for _, x in block)
         covered += len(block)
     assert covered == len(hours)
-
-
-def test_measured_broadcast_respects_the_bound(spark):
-    from quayside.operators.joins import measured_broadcast
-    side = spark.read.parquet(f"{SF}/nation.parquet").groupBy("n_regionkey").count()
-    big = spark.read.parquet(f"{SF}/orders.parquet").select("o_orderkey", (F.col("o_orderkey") % 5).alias("n_regionkey"))
-    small = big.join(measured_broadcast(side), "n_regionkey")
-    small.collect()
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    refused = big.join(measured_broadcast(side, limit=1), "n_regionkey")
-    plan = refused._jdf.queryExecution().sparkPlan().toString()
-    assert "BroadcastHashJoin" not in plan

@@ -75,8 +75,8 @@ def _write_roster(tmp_dir, text):
 
 
 def test_regrid_fixture(spark, tmp_dir):
-    from quayside.sources.files import read_ordered_records
-    grid, rejects = R.roster_grid(read_ordered_records(spark, _write_roster(tmp_dir, ROSTER)))
+    from quayside.sources.files import read_records
+    grid, rejects = R.roster_grid(read_records(spark, _write_roster(tmp_dir, ROSTER)))
     got = {r.Date: (r.Boat1, r.Time1, r.Boat2) for r in grid.collect() if r.Date not in ("*", "")}
     # the first block has no third record: its slot is missing (null), not ""
     assert got["5/1/2023"] == ("ShipA", "0800 - 1700", None)
@@ -91,7 +91,7 @@ def test_regrid_fixture(spark, tmp_dir):
 
 def test_regrid_many_blocks_spans_buckets(spark, tmp_dir):
     """Blocks across many position buckets (width 4) regrid the same as one bucket."""
-    from quayside.sources.files import read_ordered_records
+    from quayside.sources.files import read_records
     from quayside.operators.reshape import regrid_blocks, mark_headers
     from quayside.sources.files import split_cells
     from pyspark.sql import functions as F
@@ -104,7 +104,7 @@ def test_regrid_many_blocks_spans_buckets(spark, tmp_dir):
         lines.append(f",{w:02d}00 - 1700,,,,,,")
         expect.append((f"5/{day}/2023", f"S{w}", f"{w:02d}00 - 1700"))
     path = _write_roster(tmp_dir, "\n".join(lines))
-    recs = read_ordered_records(spark, path).where(F.col("pos") > 0)
+    recs = read_records(spark, path).where(F.col("pos") > 0)
     recs = recs.withColumn("cells", split_cells("record")) \
         .withColumn("is_header", mark_headers("cells", 1, R.DATE_PATTERN))
     grid, _ = regrid_blocks(recs, "file", "pos", "cells", "is_header", R.SLOT_NAMES, width=4)
@@ -114,6 +114,31 @@ def test_regrid_many_blocks_spans_buckets(spark, tmp_dir):
 
 def test_staff_rows_dropped_by_name(spark, tmp_dir):
     text = ROSTER.replace("Staff,8-16,8-16", ",Kari 8-16,Ola 8-16")
-    calls = R.read_roster(spark, _write_roster(tmp_dir, text), staff_names=["Kari", "Ola"])
+    calls, _ = R.read_roster(spark, _write_roster(tmp_dir, text), staff_names=["Kari", "Ola"])
     assert rows(calls) == [("5/1/2023", "ShipA", "0800 - 1700"), ("5/2/2023", "ShipB", "0900 - 1800"),
                            ("5/8/2023", "ShipC", "1000 - 2000")]
+
+
+def test_records_before_a_block_and_beyond_the_slots_are_rejects(spark, tmp_dir):
+    extra = "\n".join(f",extra{k},,,,,," for k in range(4))
+    text = "Title,,,,,,,\n,lost,,,,,,\nweek,5/1/2023,,,,,,\n" + "\n".join(
+        f",v{k},,,,,," for k in range(6)) + "\n" + extra
+    _, rejects = R.read_roster(spark, _write_roster(tmp_dir, text))
+    assert sorted((r.reason, r.cells[1]) for r in rejects.collect()) == [
+        ("no block", "lost"), *(("no slot", f"extra{k}") for k in range(4))]
+
+
+def test_one_file_spans_tasks_and_keeps_its_order(spark, tmp_dir):
+    from quayside.sources.files import read_records
+    lines = [f"r{k},x" for k in range(20_000)]
+    path = _write_roster(tmp_dir, "\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        recs = read_records(spark, path)
+        assert spark.read.text(path).rdd.getNumPartitions() > 3
+        assert [r.record for r in recs.orderBy("pos").collect()] == lines
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
