@@ -1,7 +1,7 @@
 """op7: main text of HTML pages by line-block distribution.
 
 Markup is stripped into lines, one for each run of text between block borders.  A line weighs
-its characters outside of links; lines in parts that never hold the article (menus, headers,
+its characters, blanks aside, outside of links; lines in parts that never hold the article (menus, headers,
 footers, side bars, notices, adverts, forms, comments, hidden parts) weigh nothing.  Sums of
 the weights over windows of ``WINDOW`` lines are then scanned: text begins where a sum surges
 and ends where it dives, and the lines between are kept.
@@ -112,7 +112,8 @@ def lines_of(html: str) -> list[Line]:
         line = SPACE.sub(" ", unescape("".join(text))).strip()
         if line:
             gone, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            weight = 0 if gone or COPYRIGHT.match(line) else max(0, len(line) - linked)
+            solid = len(line) - line.count(" ")
+            weight = 0 if gone or COPYRIGHT.match(line) else max(0, solid - linked)
             out.append(Line(line, weight, -1 if gone else article))
         text.clear()
         linked = 0
@@ -122,7 +123,7 @@ def lines_of(html: str) -> list[Line]:
         if words:
             text.append(words)
             if links:
-                linked += len(words.strip())
+                linked += len(SPACE.sub("", words))
             continue
         if raw or not name:
             continue

@@ -64,7 +64,7 @@ def _folds() -> dict[int, str]:
 
 
 FOLDS = _folds()
-_signs = re.compile(r"[@$!|]+(?![^\W_])|(?<!\w)[!|]+")
+_signs = re.compile(r"[@$!|]+(?![^\W_])")
 _digits_alone = re.compile(r"(?<![^\W_])\d+(?![^\W_])")
 _has_sign = re.compile(r"[@$!|]")
 _word = re.compile(r"[^\W_]+")
