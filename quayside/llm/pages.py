@@ -6,9 +6,10 @@ footers, side bars, notices, adverts, forms, comments, hidden parts) weigh nothi
 the weights over windows of ``WINDOW`` lines are then scanned: text begins where a sum surges
 and ends where it dives, and the lines between are kept.
 
-Where the page marks its article (``article`` or ``main``), only lines in it weigh and any
-weight is a surge, so nothing of it is dropped.  Elsewhere a surge needs a share of the page's
-largest sum, and segments far smaller than the largest are left out.
+Where the page marks its article (``article``, ``main``, or an outermost part named as such),
+only lines in it weigh and any weight is a surge, so nothing of it is dropped.  Elsewhere a surge
+needs a share of the page's largest sum, and segments far smaller than the largest are left out.
+What follows a heading of reader comments is left out.
 
 Character references are decoded, white space inside a line becomes one space, and lines are
 joined by a newline.  A null or empty page, or one without text, gives an empty text.
@@ -51,9 +52,12 @@ PART_WORDS = frozenset(
     "masthead footer cookie cookies consent gdpr notice notices alert paywall disclaimer popup "
     "modal overlay newsletter subscribe subscription signup login social share sharing related "
     "recommended recommendations comment comments commentlist disqus replies respond reply "
-    "toolbar pagination pager skip copyright".split())
+    "toolbar pagination pager skip copyright announcement discussion advt taboola "
+    "outbrain".split())
 WEAK_WORDS = frozenset(["header", "widget", "aside", "side", "bottom", "top", "search", "form"])
 GOOD_WORDS = frozenset("article content main post entry story text body".split())
+ARTICLE_NAMES = frozenset("article content main post entry story maincontent articlebody".split())
+HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6"])
 TURNED = frozenset(["no", "with", "has", "without"])
 COMMENT_HEADING = re.compile(
     r"(?:\d+\s+)?(?:reader\s+)?(?:comments?|kommentare?|commentaires?|comentarios?|"
@@ -75,7 +79,18 @@ SPACE = re.compile(r"\s+")
 class Line:
     text: str
     weight: int
-    article: int  # the innermost marked article it lies in, 0 for none
+    article: int  # the marked article it lies in, 0 for none, -1 in a left-out part
+    heading: bool
+
+
+def names_article(attributes: str) -> bool:
+    """Whether a part's class or id says that it holds the article."""
+    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
+    if found.get("role", "").lower() in ("main", "article") or \
+            found.get("itemprop", "").lower() == "articlebody":
+        return True
+    words = NAME_BREAK.split(CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}").lower())
+    return not ARTICLE_NAMES.isdisjoint(words)
 
 
 def left_out(tag: str, attributes: str, in_article: bool) -> bool:
@@ -114,7 +129,8 @@ def lines_of(html: str) -> list[Line]:
             gone, article = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
             solid = len(line) - line.count(" ")
             weight = 0 if gone or COPYRIGHT.match(line) else max(0, solid - linked)
-            out.append(Line(line, weight, -1 if gone else article))
+            out.append(Line(line, weight, -1 if gone else article,
+                            bool(stack) and stack[-1][0] in HEADINGS))
         text.clear()
         linked = 0
 
@@ -151,7 +167,8 @@ def lines_of(html: str) -> list[Line]:
         if not gone and left_out(tag, attributes, bool(article)):
             flush()
             gone = True
-        if tag in ARTICLES and not gone:
+        if not gone and (tag in ARTICLES or not article and attributes and tag in (
+                "div", "section", "td") and names_article(attributes)):
             articles += 1
             article = articles
         if tag in BLOCKS or gone or tag == "button":
@@ -185,9 +202,13 @@ def main_text(html: str) -> str:
     for x in lines:
         if x.article > 0:
             sizes[x.article] = sizes.get(x.article, 0) + x.weight
+    # A heading of reader comments ends its article (or the page).
+    ended = {x.article: i for i, x in reversed([*enumerate(lines)])
+             if x.heading and COMMENT_HEADING.fullmatch(x.text)}
     if any(sizes.values()):
         main = max(sizes, key=lambda k: (sizes[k], -k))
-        kept = [x.article == main for x in lines]
+        kept = [x.article == main and i < ended.get(main, len(lines))
+                for i, x in enumerate(lines)]
         parts = segments(np.where(kept, np.maximum(weights, 1), 0), 1)
     else:
         kept = [x.weight > 0 for x in lines]

@@ -29,6 +29,11 @@ CASES = {
     "cookie notice and side bar": (
         f"<div class='cookie-consent'>We use cookies</div><div id=sideBar>x</div>"
         f"<div class='post no-sidebar'><p>{LONG}</p></div><div role=navigation>y</div>", LONG),
+    "named part": (
+        f"<div class='top'>Welcome to the site, have a look around here</div>"
+        f"<div id='main-content'><div class='post-header'><h1>T</h1></div><p>{LONG}</p><p>De.</p>"
+        f"<h2>Reader comments (2)</h2><p>{LONG}</p></div><div class='box'>{LONG}</div>",
+        f"T\n{LONG}\nDe."),
     "broken": (f"<p>a < b & c &lt; d {LONG}<div><p>{LONG}", f"a < b & c < d {LONG}\n{LONG}"),
     "plain": ("only text", "only text"),
     "empty": ("", ""),
