@@ -261,7 +261,9 @@ def window_masks(parts: DataFrame) -> DataFrame:
     windows = parts.select("segment", "doc", "place", F.posexplode("windows").alias("k", "window"))
     here = F.struct("doc", (F.col("place") + F.col("k")).alias("at"))
     windows = windows.select("segment", "k", "window", here.alias("here"))
-    first = windows.groupBy("window").agg(F.min("here").alias("first"))
+    # Written, so that the join deals out both sides itself and can split a window that many
+    # segments share.
+    first = B.saved(windows.groupBy("window").agg(F.min("here").alias("first")), "first-windows")
     return (windows.join(first, "window").where("first < here")
             .groupBy("segment").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask")))
 
