@@ -10,8 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
-from quayside.functions.text import slice_text, strip_sequence, zero_pad
-
+from quayside.functions.text import replace_value, slice_text, strip_sequence, zero_pad
 
 
 def one_day() -> Column:
@@ -31,7 +30,7 @@ def compact_time(c) -> Column:
     """
     c = col_of(c)
     joined = F.concat(slice_text(c, 0, 2), F.lit(":"), slice_text(c, 2, 5))
-    return F.when(joined == ":", F.lit("")).otherwise(joined)
+    return replace_value(joined, ":", "")
 
 
 def split_time_range(c, sep: str = "-") -> tuple[Column, Column]:

@@ -119,12 +119,6 @@ def apply_updates(df: DataFrame, updates: list[tuple[str, object, Column]]) -> D
     return df
 
 
-def replace_value(c, old: str, new) -> Column:
-    """One value becomes another (``":"`` -> ``""``); ``new=None`` means null."""
-    c = col_of(c)
-    return F.when(c == F.lit(old), F.lit(new)).otherwise(c)
-
-
 def override_when_present(base, override) -> Column:
     """``override`` wins when it is non-null and non-empty, else ``base``."""
     return F.coalesce(F.nullif(col_of(override), F.lit("")), col_of(base))

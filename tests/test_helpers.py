@@ -1,8 +1,8 @@
 """Small public helpers: A1-A2, C8, F10, number texts."""
 
-from quayside.functions.text import empty_to_null, number_text, unparsed, whole_number
+from quayside.functions.text import (empty_to_null, number_text, replace_value, unparsed,
+                                     whole_number)
 from quayside.operators.aggregates import sum_by
-from quayside.operators.corrections import replace_value
 
 from conftest import rows
 
