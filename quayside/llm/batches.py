@@ -12,7 +12,6 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -236,6 +235,7 @@ class WordIds:
         starts, ends, bounds = word_spans(raw, offsets, NOT_BLANK)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(column), np.int64)
+        import pandas as pd  # only here: it is a third of a worker's memory at rest
         codes, keys = pd.factorize(span_hashes(raw, starts, ends).view(np.int64))
         sums = np.concatenate([[np.uint64(0)], np.cumsum(_SECOND_CODES[raw])])
         second = sums[ends] - sums[starts]
@@ -280,6 +280,7 @@ class PieceIds:
         flat = np.array([*chain.from_iterable(texts)], dtype=object)
         if not len(flat):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        import pandas as pd
         codes, distinct = pd.factorize(flat)
         if len(self.known) > self.limit:
             self.known = {}
