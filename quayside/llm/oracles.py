@@ -110,4 +110,28 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM documents LEFT JOIN listed USING (doc_id)
 """
 
-SQL = {"op1_winnow_decontamination": OP1, "op3_quality_rules": OP3, "op6_secret_scan": OP6}
+OP10 = f"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{BLANK}+'),
+                             lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS s,
+         unnest(list_transform(range(1, len(w) - 18),
+                               lambda s: array_to_string(w[s:s + 19], ' '))) AS win
+  FROM docs WHERE len(w) >= 20),
+later AS (
+  SELECT doc_id, s FROM windows
+  QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p)
+  GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
+SQL = {"op1_winnow_decontamination": OP1, "op3_quality_rules": OP3, "op6_secret_scan": OP6,
+       "op10_repeated_substrings": OP10}
