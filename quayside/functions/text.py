@@ -61,16 +61,13 @@ def mid(c, start: int, length: int) -> Column:
 def contains_any(c, needles: list[str]) -> Column:
     """True when the text contains any of ``needles`` (case-sensitive).
 
-    A literal list is an OR-chain in code generation; a table of keywords goes through
-    :func:`quayside.operators.filters.exclude_keywords`.
+    A literal list is one expression, ORed in pairs so that a long list nests little; a table
+    of keywords goes through :func:`quayside.operators.filters.exclude_keywords`.
     """
-    c = col_of(c)
-    if not needles:
-        return F.lit(False)
-    out = c.contains(needles[0])
-    for n in needles[1:]:
-        out = out | c.contains(n)
-    return out
+    parts = [col_of(c).contains(n) for n in needles] or [F.lit(False)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) & ~1:]
+    return parts[0]
 
 
 def replace_value(c, old: str, new) -> Column:

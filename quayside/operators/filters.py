@@ -35,10 +35,6 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
-def _gram_at(n: int):
-    return lambda at: F.substr(F.col("__text"), at, F.lit(n))
-
-
 def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame, keyword_col: str,
                  gram: int = 3) -> DataFrame:
     """The distinct values of ``text_col`` that contain any keyword of a table.
@@ -52,10 +48,10 @@ def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame, keyword_c
           .where(F.length("__kw") > 0).distinct()
           .withColumn("__gram", F.substring("__kw", 1, gram)))
     found = texts.select(F.col(text_col).alias("__text")).where(F.length("__text") > 0).distinct()
-    # Grams of all lengths a keyword may begin with; the last ones of a text are shorter.
-    starts = F.sequence(F.lit(1), F.length("__text"))
-    grams = F.array_distinct(F.flatten(F.array(*[
-        F.transform(starts, _gram_at(n)) for n in range(1, gram + 1)])))
+    # Overlapping grams of all lengths a keyword may begin with, each in one pass of the text.
+    grams = F.array_distinct(F.concat(*[
+        F.regexp_extract_all("__text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        for n in range(1, gram + 1)]))
     met = found.select("__text", F.explode(grams).alias("__gram")).join(kw, "__gram")
     return met.where(F.contains("__text", "__kw")).select(F.col("__text").alias(text_col)) \
         .distinct()

@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from quayside.plans import catalog  # noqa: E402
 from quayside.sources.tables import TABLES, table_path  # noqa: E402
 
 sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
@@ -20,7 +20,7 @@ con.execute(f"SET threads={threads}")
 for t in TABLES:
     con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{table_path(sf_dir, t)}')")
 out = {}
-for name, sql in E.oracle_sql().items():
+for name, sql in catalog.ORACLES.items():
     best = float("inf")
     for _ in range(3):
         t0 = time.perf_counter()
