@@ -271,7 +271,7 @@ class PieceIds:
     when it holds ``limit`` pieces, so it never grows with the data.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], limit: int = 1 << 19):
+    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], limit: int = 1 << 17):
         self.encode, self.limit = encode, limit
         self.known: dict[str, np.ndarray] = {}
 

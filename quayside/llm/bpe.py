@@ -29,7 +29,7 @@ from quayside.llm import batches as B
 
 LONG_PIECE = 256
 MATRIX_CELLS = 1 << 18
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 NONE = np.int32(np.iinfo(np.int32).max)
 
 TOKENS = StructType([StructField("n_tokens", LongType()), StructField("ids", BinaryType()),
