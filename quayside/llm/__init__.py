@@ -10,6 +10,9 @@
 * ``bpe``        - byte-level BPE over padded matrices (op8)
 * ``frames``     - token ids in seekable zstandard files (op9)
 * ``substring``  - repeated word windows by FM-index shards (op10)
+* ``whitening``  - embedding whitening by Chebyshev-filtered subspace iteration (op11)
+* ``prefix_trie`` - prefix trie of conversations behind a count-min sketch (op12)
+* ``warc``       - WARC records in dictionary-compressed archives (op13)
 
 ``catalog`` registers one query per operator.  Nothing outside this subpackage imports it.
 """

@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import (bpe, classifier, frames, minhash, oracles, pages, rules, secret_scan,
-                          substring, toxicity, winnow)
+from quayside.llm import (bpe, classifier, frames, minhash, oracles, pages, prefix_trie, rules,
+                          secret_scan, substring, toxicity, warc, whitening, winnow)
 from quayside.session import ensure_checkpoint_dir
 from quayside.sources.tables import table_path
 
@@ -90,4 +90,19 @@ def op10_repeated_substrings(spark, sf_dir):
     return substring.op10(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    return whitening.op11(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    return prefix_trie.op12(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_warc(spark, sf_dir):
+    return warc.op13(spark, table(spark, sf_dir, "pages"))
+
+
 ORACLES = oracles.SQL

@@ -133,5 +133,62 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
 FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
+OP12 = """
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+lent AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+                                           lambda d: CAST(ord(d) AS BIGINT)),
+    lambda crc, b: list_reduce(range(8),
+      lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)),
+    4294967295), 4294967295) % 9 AS h
+  FROM own),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.w[1:a.h], []), a.w[a.h + 1:]) AS w
+  FROM lent a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5),
+prefixes AS (
+  SELECT conv_id, depth, len(w) = depth AS ends, sha256(to_json(w[1:depth])) AS node,
+         CASE WHEN depth > 0 THEN sha256(to_json(w[1:depth - 1])) END AS parent,
+         CASE WHEN depth > 0 THEN octet_length(encode(w[depth].t)) ELSE 0 END AS size
+  FROM (SELECT conv_id, w, unnest(range(len(w) + 1)) AS depth FROM rebuilt)),
+nodes AS (
+  SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(size) AS size,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes GROUP BY parent),
+subtrees AS (
+  SELECT p.node, sum((n.n_convs - 1) * n.size) AS saved_tokens,
+         count(*) FILTER (WHERE n.node NOT IN (SELECT node FROM kids WHERE node IS NOT NULL))
+           AS n_leaves
+  FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs,
+       coalesce(k.n_children, 0) AS n_children, s.n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN subtrees s ON s.node = n.node LEFT JOIN kids k ON k.node = n.node
+     LEFT JOIN nodes up ON up.node = n.parent
+"""
+
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+OP13 = f"""
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS payload FROM pages),
+firsts AS (SELECT payload, min(page_id) AS first FROM payloads GROUP BY payload),
+digits AS (
+  SELECT page_id, first, octet_length(encode(payload)) AS size, sha1(payload) AS hex
+  FROM payloads JOIN firsts USING (payload))
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('{BASE32}', 1 + CAST(
+         (('0x' || substr(hex, 1 + 5 * (k // 4), 5))::INTEGER >> (15 - 5 * (k % 4))) & 31
+         AS INTEGER), 1)), '') AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM digits
+"""
+
 SQL = {"op1_winnow_decontamination": OP1, "op3_quality_rules": OP3, "op6_secret_scan": OP6,
-       "op10_repeated_substrings": OP10}
+       "op10_repeated_substrings": OP10, "op12_conversation_trie": OP12, "op13_warc": OP13}
