@@ -35,26 +35,60 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
-def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame, keyword_col: str,
-                 gram: int = 3) -> DataFrame:
-    """The distinct values of ``text_col`` that contain any keyword of a table.
-
-    A keyword is looked up by its first characters, at most ``gram`` of them, among the
-    character grams of the texts (an equi-join), and each meeting is verified with
-    ``contains``.  No keyword goes through the driver, and no text meets a keyword that it
-    shares no gram with.
+def _grams(text: str, *sizes: int) -> Column:
+    """The distinct character grams of a text column, each size in one pass of the text."""
+    return F.array_distinct(F.concat(*[
+        F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]))
+
+
+def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = 3) -> DataFrame:
+    """(keyword, gram): of each keyword's grams the one that fewest keywords have.
+
+    Keywords shorter than ``gram`` are not in it.  Ties go to the least gram.
+    """
+    each = (keywords.select(F.col(keyword_col).alias("keyword")).distinct()
+            .where(F.length("keyword") >= gram)
+            .withColumn("gram", F.explode(_grams("keyword", gram))))
+    counts = each.groupBy("gram").agg(F.count("*").alias("n"))
+    return each.join(counts, "gram").groupBy("keyword").agg(
+        F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+
+
+def _short_hits(texts: DataFrame, text_col: str, keywords: DataFrame, gram: int) -> DataFrame:
+    """The distinct texts with a keyword shorter than ``gram``: such a keyword is a gram itself."""
+    short = keywords.where(F.length("keyword") < gram)
+    return (texts.select(text_col, F.explode(_grams(text_col, *range(1, gram))).alias("keyword"))
+            .join(short, "keyword", "left_semi").select(text_col).distinct())
+
+
+def _long_hits(texts: DataFrame, text_col: str, keywords: DataFrame, gram: int) -> DataFrame:
+    """The distinct texts with a keyword of ``gram`` or more characters.
+
+    Texts are known by a hash while their grams are joined to the index of rarest grams; only
+    candidates' texts are fetched, and each is verified by ``contains``.
+    """
+    index = rarest_grams(keywords, "keyword", gram)
+    key = F.xxhash64(text_col).alias("__key")
+    candidates = (texts.select(key, F.explode(_grams(text_col, gram)).alias("gram"))
+                  .join(index, "gram").select("__key", "keyword").distinct())
+    met = texts.select(key, text_col).distinct().join(candidates, "__key")
+    return met.where(F.contains(text_col, "keyword")).select(text_col).distinct()
+
+
+def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
+                 keyword_col: str = "keyword", gram: int = 3) -> DataFrame:
+    """The distinct values of ``text_col`` that contain any keyword of a table of any size.
+
+    Keywords shorter than ``gram`` are looked up among the short grams of the texts; the texts
+    left are met with longer keywords through an index of each keyword's rarest gram.  No
+    keyword goes through the driver, and no text meets a keyword whose rarest gram it lacks.
     """
-    kw = (keywords.select(F.col(keyword_col).cast("string").alias("__kw"))
-          .where(F.length("__kw") > 0).distinct()
-          .withColumn("__gram", F.substring("__kw", 1, gram)))
-    found = texts.select(F.col(text_col).alias("__text")).where(F.length("__text") > 0).distinct()
-    # Overlapping grams of all lengths a keyword may begin with, each in one pass of the text.
-    grams = F.array_distinct(F.concat(*[
-        F.regexp_extract_all("__text", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
-        for n in range(1, gram + 1)]))
-    met = found.select("__text", F.explode(grams).alias("__gram")).join(kw, "__gram")
-    return met.where(F.contains("__text", "__kw")).select(F.col("__text").alias(text_col)) \
-        .distinct()
+    words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
+             .where(F.length("keyword") > 0).distinct())
+    found = texts.select(text_col).where(F.length(text_col) > 0)
+    short = _short_hits(found, text_col, words, gram)
+    rest = found.join(short, text_col, "left_anti")
+    return short.union(_long_hits(rest, text_col, words, gram))
 
 
 def exclude_keywords(df: DataFrame, text_col: str, keywords,

@@ -320,17 +320,37 @@ def q_keyword_exclude(spark, sf_dir):
     SELECT doc_id, line_no, line FROM lines
     WHERE NOT EXISTS (SELECT 1 FROM words WHERE contains(line, word))""", ctes={
     "lines": _LINES_SQL, "words": """
-        SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark
-        WHERE item_id % 2 = 0 AND text IS NOT NULL"""}).replace(
-            "contains(line, word)", "length(word) > 6 AND contains(line, word)"))
+        SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark"""}).replace(
+            "contains(line, word)", "word <> '' AND contains(line, word)"))
 def q_keyword_exclude_table(spark, sf_dir):
-    """F6 with a keyword table: the long words of every second benchmark item."""
-    words = (read_table(spark, sf_dir, "benchmark").where("item_id % 2 = 0")
-             .select(F.explode(F.split("text", " ")).alias("keyword"))
-             .where(F.length("keyword") > 6))
+    """F6 with a keyword table: every word of every benchmark item."""
+    words = read_table(spark, sf_dir, "benchmark").select(
+        F.explode(F.split("text", " ")).alias("keyword"))
     return FL.exclude_keywords(document_lines(spark, sf_dir), "line", words)
 
 
+@register("long_keyword_lines", A.with_views("""
+    SELECT line, count(*) AS n_lines FROM lines
+    WHERE EXISTS (SELECT 1 FROM words WHERE contains(line, word)) GROUP BY line""", ctes={
+    "lines": _LINES_SQL, "words": """
+        SELECT DISTINCT c_name || '@' AS word FROM customer UNION
+        SELECT DISTINCT lower(p_type) FROM part UNION
+        SELECT DISTINCT unnest(string_split(text, '. ')) FROM benchmark"""}).replace(
+            "contains(line, word)", "length(word) > 2 AND contains(line, word)"))
+def q_long_keyword_lines(spark, sf_dir):
+    """F6's hits of long keywords (names, part types, sentences), most of which no line has."""
+    def column(table, c):
+        return read_table(spark, sf_dir, table).select(c.alias("keyword"))
+
+    words = (column("customer", F.concat("c_name", F.lit("@")))
+             .union(column("part", F.lower("p_type")))
+             .union(column("benchmark", F.explode(F.split("text", "\\. "))))
+             .where(F.length("keyword") > 2))
+    lines = document_lines(spark, sf_dir)
+    return (lines.join(FL.keyword_hits(lines, "line", words), "line", "left_semi")
+            .groupBy("line").agg(F.count("*").alias("n_lines")))
+
+
 @register("recode_table", """
     SELECT o_orderkey, coalesce(c_name, CAST(o_custkey AS VARCHAR)) AS boat
     FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_nationkey < 20""")
