@@ -50,7 +50,11 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
                 suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Full outer equi-join; non-key columns present on both sides get ``suffixes``.
 
-    Key columns are merged (``coalesce`` of both sides), as a pandas outer merge does.
+    Key columns are merged (the key of the side that has the row), as a pandas outer merge does.
+    A full outer join gives every row of a hot key to one task, as nothing can split either side
+    of it.  Here the matches are an inner join, of which both sides can be split at run time, and
+    the rows without a match come from anti joins with the other side's distinct keys (partial
+    aggregates), of which the rows' side can be split.  Rows with a null key match nothing.
     """
     common = (set(left.columns) & set(right.columns)) - set(keys)
     lsel = [F.col(c).alias(c + suffixes[0]) if c in common else F.col(c)
@@ -62,10 +66,17 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
     l2 = left.select(*lk, *lsel)
     r2 = right.select(*rk, *rsel)
     cond = [F.col(f"__l_{k}") == F.col(f"__r_{k}") for k in keys]
-    joined = l2.join(r2, on=cond, how="full_outer")
-    merged_keys = [F.coalesce(F.col(f"__l_{k}"), F.col(f"__r_{k}")).alias(k) for k in keys]
-    rest = [c for c in joined.columns if not c.startswith("__l_") and not c.startswith("__r_")]
-    return joined.select(*merged_keys, *rest)
+    l_only = l2.join(right.select(*rk).distinct(), cond, "left_anti")
+    r_only = r2.join(left.select(*lk).distinct(), cond, "left_anti")
+    names = {c: t for c, t in [*l2.dtypes, *r2.dtypes]}
+    rest = [c for c in [*l2.columns, *r2.columns] if not c.startswith(("__l_", "__r_"))]
+
+    def rows(df: DataFrame, side: str) -> DataFrame:
+        return df.select(*[F.col(f"__{side}_{k}").alias(k) for k in keys],
+                         *[F.col(c) if c in df.columns else F.lit(None).cast(names[c]).alias(c)
+                           for c in rest])
+
+    return rows(l2.join(r2, cond, "inner"), "l").union(rows(l_only, "l")).union(rows(r_only, "r"))
 
 
 def with_group_total(df: DataFrame, key: str, value: str, total_name: str) -> DataFrame:
