@@ -17,10 +17,12 @@ Plan shape, chosen for large sales tables:
   replicated counting, to (time, nationality, share, groups) for apportioned counting -
   so the sale x group fan-out is at most one row per nationality present, and the fan-out
   rows are summed by a partial aggregate in the same task that produced them;
-* the harbour side is materialized once and broadcast only when its measured size is under
-  the bound, else the join is a sort-merge join whose skewed hours AQE splits;
-* the dictionary join happens after a per-product pre-aggregation when the dictionary is
-  too big to broadcast, so raw sales are never shuffled by product.
+* the sales side is aggregated below the join too: replicated counting is linear, so sales are
+  summed per (time, EN) first; apportioned counting rounds every split sale, so equal sales of a
+  time are counted instead.  An hour with half of all sales sends one row per product group (or
+  per distinct sale) to the join, and totals per product come from the same aggregate: the sales
+  are read and shuffled once;
+* joins are left to the planner, which splits skewed hours at run time.
 """
 
 from __future__ import annotations
@@ -47,6 +49,20 @@ def _sum(value: Column) -> Column:
     return F.sum(value.cast("decimal(20,0)"))
 
 
+def sums_by_time(sales: DataFrame, dictionary: DataFrame,
+                 collation: str | None = None) -> DataFrame:
+    """(dt, EN, units, cents): the sales of a product group at a time, summed."""
+    return _priced(sales, dictionary, collation).groupBy("dt", "EN").agg(
+        _sum(F.col("units")).alias("units"), _sum(F.col("cents")).alias("cents"))
+
+
+def equal_sales(sales: DataFrame, dictionary: DataFrame,
+                collation: str | None = None) -> DataFrame:
+    """(dt, EN, units, cents, n): equal sales of a product group at a time, counted."""
+    return _priced(sales, dictionary, collation).groupBy("dt", "EN", "units", "cents").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def _money(cents_sum) -> Column:
     """Summed cents back to currency as an exact decimal."""
     return F.col(cents_sum).cast("decimal(38,0)") / F.lit(100)
@@ -64,11 +80,13 @@ def round_div(numerator: str, denominator: int) -> Column:
                   f"ELSE -((-{n} * 2 + {d}) div {2 * d}) END")
 
 
-def product_totals(sales: DataFrame, dictionary: DataFrame,
-                   collation: str | None = None) -> DataFrame:
-    """``EN, total_revenue_product, total_units_product`` over all sales."""
-    sums = _priced(sales, dictionary, collation).groupBy("EN").agg(
-        _sum(F.col("cents")).alias("cents"), _sum(F.col("units")).alias("units"))
+def product_totals(sold: DataFrame) -> DataFrame:
+    """``EN, total_revenue_product, total_units_product`` of :func:`sums_by_time` or
+    :func:`equal_sales`."""
+    times = F.col("n").cast("decimal(18,0)") if "n" in sold.columns else F.lit(1)
+    cents, units = (F.sum(F.col(c).cast("decimal(20,0)") * times) if "n" in sold.columns
+                    else F.sum(c) for c in ("cents", "units"))
+    sums = sold.groupBy("EN").agg(cents.alias("cents"), units.alias("units"))
     return sums.select("EN", _money("cents").alias("total_revenue_product"),
                        F.col("units").alias("total_units_product"))
 
@@ -108,33 +126,32 @@ def _as_sums(df: DataFrame) -> DataFrame:
     return df.select("EN", "nationality", _money("cents").alias("revenue"), "units")
 
 
-def replicated_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
-                    collation=None):
-    """(EN, nationality, revenue, units) with every sale counted once per group present."""
-    met = _meet(_priced(sales, dictionary, collation),
-                groups_present(harbour, nationalities, time_col, collation), time_col)
+def replicated_sums(harbour, sold, nationalities, time_col="DateTime", collation=None):
+    """(EN, nationality, revenue, units) with every sale counted once per group present;
+    ``sold`` is of :func:`sums_by_time`."""
+    met = _meet(sold, groups_present(harbour, nationalities, time_col, collation), time_col)
     return _as_sums(met.groupBy("EN", "nationality").agg(
-        _sum(F.col("cents") * F.col("groups")).alias("cents"),
-        _sum(F.col("units") * F.col("groups")).alias("units")))
+        F.sum(F.col("cents") * F.col("groups")).alias("cents"),
+        F.sum(F.col("units") * F.col("groups")).alias("units")))
 
 
-def apportioned_sums(harbour, sales, nationalities, dictionary, time_col="DateTime",
-                     collation=None):
-    """(EN, nationality, revenue, units) with every sale split by passenger share.
+def apportioned_sums(harbour, sold, nationalities, time_col="DateTime", collation=None):
+    """(EN, nationality, revenue, units) with every sale split by passenger share; ``sold`` is of
+    :func:`equal_sales`.
 
     Per fan-out row: ``ROUND(units / 100.0 * share, 0)`` and
     ``ROUND(total_price / 100.0 * share, 0)``, computed exactly on integers
     (units x tenths / 1000, cents x tenths / 100000) so the hot loop stays on longs.
     """
-    met = _meet(_priced(sales, dictionary, collation),
-                shares_present(harbour, nationalities, time_col, collation), time_col)
+    met = _meet(sold, shares_present(harbour, nationalities, time_col, collation), time_col)
     met = met.withColumns({"__units_x": F.col("units") * F.col("share10"),
                            "__cents_x": F.col("cents") * F.col("share10")})
     units_adj = round_div("__units_x", 1000)
     price_adj = round_div("__cents_x", 100000)
+    times = F.col("n").cast("decimal(18,0)")
     return _as_sums(met.groupBy("EN", "nationality").agg(
-        _sum(price_adj * F.col("groups") * 100).alias("cents"),
-        _sum(units_adj * F.col("groups")).alias("units")))
+        F.sum((price_adj * F.col("groups") * 100).cast("decimal(20,0)") * times).alias("cents"),
+        F.sum((units_adj * F.col("groups")).cast("decimal(20,0)") * times).alias("units")))
 
 
 def _product_share(sums: DataFrame, totals: DataFrame) -> DataFrame:
@@ -180,28 +197,28 @@ def replicated_product_share(harbour, sales, nationalities, dictionary, time_col
     ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``) sets how ship names and product keys are
     matched; the default compares them exactly.
     """
-    return _product_share(
-        replicated_sums(harbour, sales, nationalities, dictionary, time_col, collation),
-        product_totals(sales, dictionary, collation))
+    sold = sums_by_time(sales, dictionary, collation)
+    return _product_share(replicated_sums(harbour, sold, nationalities, time_col, collation),
+                          product_totals(sold))
 
 
 def replicated_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime",
                           collation=None):
     """Q2: basket mix per nationality, sales replicated."""
-    return _basket_mix(
-        replicated_sums(harbour, sales, nationalities, dictionary, time_col, collation))
+    sold = sums_by_time(sales, dictionary, collation)
+    return _basket_mix(replicated_sums(harbour, sold, nationalities, time_col, collation))
 
 
 def apportioned_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime",
                               collation=None):
     """Q6: Q1 with every sale split by passenger share."""
-    return _product_share(
-        apportioned_sums(harbour, sales, nationalities, dictionary, time_col, collation),
-        product_totals(sales, dictionary, collation))
+    sold = equal_sales(sales, dictionary, collation)
+    return _product_share(apportioned_sums(harbour, sold, nationalities, time_col, collation),
+                          product_totals(sold))
 
 
 def apportioned_basket_mix(harbour, sales, nationalities, dictionary, time_col="DateTime",
                            collation=None):
     """Q7: Q2 with every sale split by passenger share."""
-    return _basket_mix(
-        apportioned_sums(harbour, sales, nationalities, dictionary, time_col, collation))
+    sold = equal_sales(sales, dictionary, collation)
+    return _basket_mix(apportioned_sums(harbour, sold, nationalities, time_col, collation))
