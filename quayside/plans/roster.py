@@ -47,17 +47,16 @@ def roster_grid(records: DataFrame, slot_names=SLOT_NAMES,
     recs = FL.drop_blank_records(records, "record", BLANK_RECORD)
     if staff_names:
         recs = FL.exclude_keywords(recs, "record", staff_names)
-    # The first remaining record of each file is its title (one row per file to join).
-    firsts = recs.groupBy(F.col("file").alias("__f")).agg(F.min("pos").alias("__first"))
-    recs = (recs.join(firsts, recs["file"] == firsts["__f"])
-            .where(F.col("pos") > F.col("__first")).drop("__f", "__first"))
     recs = recs.withColumn("cells", SF.split_cells("record"))
     recs = recs.withColumn("is_header", F.coalesce(mark_headers("cells", 1, DATE_PATTERN),
                                                    F.lit(False)))
     label = F.when(F.col("is_header"), F.lit("*")).otherwise(F.get(F.col("cells"), 0))
-    recs = recs.where(FL.label_in(label, SHIP_LABELS)).drop("record")
+    listed = F.coalesce(FL.label_in(label, SHIP_LABELS), F.lit(False))
+    # Staff records are no slots, but the first record, of whatever label, is the title.
+    recs = recs.withColumn("is_listed", listed).withColumn(
+        "cells", F.when(F.col("is_listed"), F.col("cells"))).drop("record")
     return regrid_blocks(recs, "file", "pos", "cells", "is_header", list(slot_names),
-                         drop_empty=True)
+                         drop_empty=True, keep_col="is_listed", title=True)
 
 
 def roster_calls(grid: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Raw exports are read as strings and typed later with lenient parsers.  CSV columns are chosen
 by the names in the file's header.  Record files are read by the splittable line reader; where
-the order of lines matters (the weekly roster grid, a preamble) each record gets a position
-that increases through its file, so one file still spans many tasks.
+the order of lines matters (the weekly roster grid, a preamble) each record gets its number in
+its file, so one file still spans many tasks.
 
 Windows-1252 is read and written as Latin-1, which Spark has everywhere, with the 27 characters
 that differ translated; no session setting is needed.
@@ -11,10 +11,12 @@ that differ translated; no session setting is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.session import shared_scratch
+
 _DIFFERING = [(chr(b), bytes([b]).decode("cp1252")) for b in range(0x80, 0xA0)
               if bytes([b]).decode("cp1252", "ignore")]
 _LATIN_1 = "".join(a for a, _ in _DIFFERING)
@@ -73,28 +75,37 @@ def read_records(spark: SparkSession, path: str, encoding: str = "UTF-8",
                  terminator_regex: str = r",?\r?$") -> DataFrame:
     """``(file, pos, record)`` for every line of every file under ``path``.
 
-    Splittable: a file larger than a split is read by several tasks.  ``pos`` increases through
-    a file and counts from 0 in its first split: it is the byte offset of the line's split plus
-    the line's number in that split, which is less than the split's bytes.  What
-    ``terminator_regex`` matches at the end of a line is not part of the record.
+    ``pos`` is the line's number in its file, from 0 and without holes.  Splittable: a file larger
+    than a split is read by several tasks.  The files are read once and their records written to
+    the shared folder as Parquet, each with its split and its number there; one count a split,
+    summed up in the order of the splits' offsets, then makes the numbers those of the file, and
+    whatever uses the records reads only the columns that it needs.  What ``terminator_regex``
+    matches at the end of a line is not part of the record.
     """
     lines = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path))
-    at = lines.select("value", F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_block_start").alias("__split"),
-                      F.monotonically_increasing_id().alias("__id"))
-    # One row a split: a task may read several, so numbers in it start at the split's least.
-    firsts = at.groupBy("file", "__split").agg(F.min("__id").alias("__first"))
     text = F.col("value")
     if encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
         text = _as_read(F.decode(text.cast("binary"), _reader_charset(encoding)), encoding)
-    record = F.regexp_replace(text, terminator_regex, "")
-    return at.join(firsts, ["file", "__split"]).select(
-        "file", (F.col("__split") + F.col("__id") - F.col("__first")).alias("pos"),
-        record.alias("record"))
+    at = lines.select(F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("__split"),
+                      F.monotonically_increasing_id().alias("__id"),
+                      F.regexp_replace(text, terminator_regex, "").alias("record"))
+    folder = shared_scratch(spark, "records")
+    at.write.parquet(folder)
+    held = spark.read.schema(at.schema).parquet(folder)
+    # A task may read several splits, so the numbers of one start at its least.
+    splits = held.groupBy("file", "__split").agg(F.min("__id").alias("__first"),
+                                                 F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("file").orderBy("__split").rowsBetween(
+        Window.unboundedPreceding, -1)
+    starts = splits.select("file", "__split", (F.coalesce(F.sum("__n").over(before), F.lit(0))
+                                               - F.col("__first")).alias("__start"))
+    return held.join(starts, ["file", "__split"]).select(
+        "file", (F.col("__start") + F.col("__id")).alias("pos"), "record")
 
 
 def skip_leading(records: DataFrame, n: int) -> DataFrame:
-    """S5 by position: drop the first ``n`` records of each file (fewer than a split holds)."""
+    """S5 by position: drop the first ``n`` records of each file."""
     return records.where(F.col("pos") >= n)
 
 
