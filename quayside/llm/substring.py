@@ -18,7 +18,8 @@ Consecutive windows with one anchor form a segment.  The steps:
    windows found by a grouped minimum instead;
 4. each document gets its repeated segments and drops their words.
 
-Words are compared by 48 bits of their hashes, segments and windows by 64.
+Words are compared by 48 bits of their hashes, windows by 64, segments by 128 (their own hash
+and their anchor's).
 
 Results in the odd cases: a null or empty text has no words; a null id comes before all others;
 rows that share an id are versions of one document, so equal windows at the same place keep
@@ -48,6 +49,9 @@ SHARED = 2_000
 SHARD_WORDS = 1 << 20
 ALL = (1 << (WINDOW - GRAM + 1)) - 1  # a segment has at most so many windows
 NO_ID = -(1 << 63)
+# Columns beside the caller's own; no caller should have them.
+DOC, VERSION, MARKED_DOC, MARKED_VERSION, MARKS = (
+    f"__repeats_{c}" for c in ("doc", "version", "marked_doc", "marked_version", "marks"))
 
 REPORT = StructType([StructField("n_words", LongType()), StructField("n_removed", LongType()),
                      StructField("kept", StringType())])
@@ -123,8 +127,8 @@ def anchor_filter(repeated: DataFrame) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, repeated: DataFrame) -> DataFrame:
-    """(anchor, segment, doc, place): each document's first of each segment whose anchor is
-    repeated."""
+    """(anchor, segment, doc, version, place): each document's first of each segment whose anchor
+    is repeated."""
     spread = docs.sparkSession.sparkContext.broadcast(anchor_filter(repeated))  # 8 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,27 +142,27 @@ def occurrences(docs: DataFrame, repeated: DataFrame) -> DataFrame:
                 kept = np.flatnonzero((bit == 1) & ~own.duplicated().to_numpy())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s.anchor[kept].view(np.int64)), pa.array(s.hash[kept].view(np.int64)),
-                     piece.column("_doc").take(pa.array(s.row[kept])),
+                     *(piece.column(c).take(pa.array(s.row[kept])) for c in ("doc", "version")),
                      pa.array(s.place[kept].astype(np.int32))],
-                    ["anchor", "segment", "doc", "place"])
+                    ["anchor", "segment", "doc", "version", "place"])
 
-    found = docs.select("_doc", "text").mapInArrow(
-        run, "anchor long, segment long, doc long, place int")
+    found = docs.mapInArrow(
+        run, "anchor long, segment long, doc long, version long, place int")
     return B.saved(found.join(repeated, "anchor", "left_semi"), "occurrences")
 
 
 def contents(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """The words (48 bits each) of the first occurrences ``firsts`` (anchor, segment, doc,
-    place, shared), or the hashes of their windows where ``shared``."""
-    wanted = firsts.groupBy("doc").agg(F.collect_list(
-        F.struct("place", "segment", "anchor", "shared")).alias("_wanted"))
-    joined = docs.join(wanted, F.col("_doc") == F.col("doc"))
+    version, place, shared), or the hashes of their windows where ``shared``."""
+    wanted = firsts.groupBy("doc", "version").agg(F.collect_list(
+        F.struct("place", "segment", "anchor", "shared")).alias("wanted"))
+    joined = docs.join(wanted, ["doc", "version"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in B.pieces(batch, "text"):
                 s = segments_of(piece.column("text"))
-                lists = piece.column("_wanted")
+                lists = piece.column("wanted")
                 want = lists.flatten()
                 row = np.repeat(np.arange(piece.num_rows),
                                 lists.value_lengths().to_numpy(zero_copy_only=False))
@@ -220,12 +224,13 @@ def search(shard: pd.DataFrame) -> np.ndarray:
 
 
 def shard_masks(parts: DataFrame, shard_words: int) -> DataFrame:
-    """(segment, mask) by FM-index shards of whole anchors."""
+    """(anchor, segment, mask) by FM-index shards of whole anchors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, words = [], 0
 
         def flush(rows: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"segment": rows["segment"], "mask": search(rows)})
+            return pd.DataFrame({"anchor": rows["anchor"], "segment": rows["segment"],
+                             "mask": search(rows)})
 
         for batch in batches:
             held.append(batch)
@@ -243,7 +248,7 @@ def shard_masks(parts: DataFrame, shard_words: int) -> DataFrame:
 
     dealt = parts.repartition("anchor").sortWithinPartitions("anchor")
     return dealt.select("anchor", "segment", "doc", "place", "words").mapInPandas(
-        run, "segment long, mask long")
+        run, "anchor long, segment long, mask long")
 
 
 def _cut(rows: pd.DataFrame, shard_words: int) -> Iterator[pd.DataFrame]:
@@ -257,15 +262,16 @@ def _cut(rows: pd.DataFrame, shard_words: int) -> Iterator[pd.DataFrame]:
 
 
 def window_masks(parts: DataFrame) -> DataFrame:
-    """(segment, mask) by the first occurrence of each window hash."""
-    windows = parts.select("segment", "doc", "place", F.posexplode("windows").alias("k", "window"))
+    """(anchor, segment, mask) by the first occurrence of each window hash."""
+    windows = parts.select("anchor", "segment", "doc", "place",
+                           F.posexplode("windows").alias("k", "window"))
     here = F.struct("doc", (F.col("place") + F.col("k")).alias("at"))
-    windows = windows.select("segment", "k", "window", here.alias("here"))
+    windows = windows.select("anchor", "segment", "k", "window", here.alias("here"))
     # Written, so that the join deals out both sides itself and can split a window that many
     # segments share.
     first = B.saved(windows.groupBy("window").agg(F.min("here").alias("first")), "first-windows")
     return (windows.join(first, "window").where("first < here")
-            .groupBy("segment").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask")))
+            .groupBy("anchor", "segment").agg(F.expr("bit_or(shiftleft(1L, k))").alias("mask")))
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
@@ -275,32 +281,38 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
 
     An input column named like ``out`` is replaced; the others pass through.
     """
-    own = docs.drop(out).withColumn("_doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)))
-    keyed = own.select("_doc", F.col(text).alias("text"))
+    # Rows are met by id and text, so that rows without an id (one document by the order of
+    # documents) do not share one list of marks.
+    own = docs.drop(out).withColumns({DOC: F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)),
+                                      VERSION: F.xxhash64(F.col(text))})
+    keyed = own.select(F.col(DOC).alias("doc"), F.col(VERSION).alias("version"),
+                       F.col(text).alias("text"))
     repeated = repeated_anchors(keyed)
     found = occurrences(keyed, repeated)
-    firsts = B.saved(found.groupBy("segment").agg(
-        F.min(F.struct("doc", "place")).alias("first"), F.min("anchor").alias("anchor"),
-        F.count("*").alias("times")), "firsts")
+    segment = ["anchor", "segment"]  # two hashes tell segments apart
+    firsts = B.saved(found.groupBy(*segment).agg(
+        F.min(F.struct("doc", "place", "version")).alias("first"), F.count("*").alias("times")),
+        "firsts")
     shared = B.saved(firsts.groupBy("anchor").agg(F.count("*").alias("segments"))
                      .where("segments > 1"), "shared-anchors")
     compared = firsts.join(shared, "anchor").select(
-        "anchor", "segment", "first.doc", "first.place",
+        *segment, "first.doc", "first.version", "first.place",
         (F.col("segments") > shared_segments).alias("shared"))
-    parts = B.saved(contents(own.withColumnRenamed(text, "text") if text != "text" else own,
-                             compared), "contents")
+    parts = B.saved(contents(keyed, compared), "contents")
     masks = shard_masks(parts.where("length(words) > 0"), shard_words).union(
         window_masks(parts.where("size(windows) > 0"))).where("mask != 0")
-    judged = firsts.join(masks, "segment", "left").where("times > 1 OR mask IS NOT NULL").select(
-        "segment", "first", F.coalesce("mask", F.lit(0)).alias("mask"))
-    marked = (found.join(judged, "segment")
-              .withColumn("mask", F.when(F.struct("doc", "place") == F.col("first"), F.col("mask"))
-                          .otherwise(F.lit(ALL)))
+    judged = firsts.join(masks, segment, "left").where("times > 1 OR mask IS NOT NULL").select(
+        *segment, "first", F.coalesce("mask", F.lit(0)).alias("mask"))
+    is_first = (F.col("doc") == F.col("first.doc")) & (F.col("place") == F.col("first.place"))
+    marked = (found.join(judged, segment)
+              .withColumn("mask", F.when(is_first, F.col("mask")).otherwise(F.lit(ALL)))
               .where("mask != 0")
-              .groupBy("doc").agg(F.collect_list(F.struct(
+              .groupBy(F.col("doc").alias(MARKED_DOC), F.col("version").alias(MARKED_VERSION))
+              .agg(F.collect_list(F.struct(
                   "place", F.col("segment"), F.col("mask").cast("int").alias("mask")))
-                  .alias("_marks")))
-    joined = own.join(marked, F.col("_doc") == F.col("doc"), "left")
+                  .alias(MARKS)))
+    joined = own.join(marked, (F.col(DOC) == F.col(MARKED_DOC))
+                      & (F.col(VERSION) == F.col(MARKED_VERSION)), "left")
 
     def clean(piece: pa.RecordBatch) -> pa.Array:
         raw, offsets = B.utf8(piece.column(text))
@@ -309,7 +321,7 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         # A segment that occurs earlier in its own document goes whole.
         again = pd.Series(B.mix(s.hash + s.row.astype(np.uint64))).duplicated().to_numpy()
         masks = np.where(again, ALL, 0)
-        marks = piece.column("_marks")
+        marks = piece.column(MARKS)
         listed = marks.flatten()
         if len(listed) and len(s.row):
             row = np.repeat(np.arange(piece.num_rows), np.nan_to_num(
@@ -343,7 +355,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
             [pa.array(np.diff(bounds)), pa.array(np.bincount(rows[gone], minlength=n)),
              kept.cast(pa.string())], ["n_words", "n_removed", "kept"])
 
-    return B.annotate(joined, out, REPORT, text, clean, drop=("_doc", "doc", "_marks"))
+    return B.annotate(joined, out, REPORT, text, clean, 
+                      drop=(DOC, VERSION, MARKED_DOC, MARKED_VERSION, MARKS))
 
 
 def op10(docs: DataFrame) -> DataFrame:

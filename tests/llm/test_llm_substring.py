@@ -60,7 +60,7 @@ def rows():
 
 @pytest.mark.parametrize("options", [{}, {"shared_segments": 2}, {"shard_words": 300}])
 def test_matches_brute_force(spark, options):
-    docs = spark.createDataFrame([(d, t, "x") for d, t in rows()], SCHEMA).drop("doc")
+    docs = spark.createDataFrame([(d, t, "x") for d, t in rows()], SCHEMA)
     found = substring.remove_repeats(docs.repartition(4), **options)
     got = [(r.doc_id, r.repeats.n_words, r.repeats.n_removed,
             hashlib.sha256(r.repeats.kept.encode()).hexdigest()) for r in found.collect()]
@@ -75,6 +75,20 @@ def test_odd_tables(spark):
     assert [r.n_removed for r in got] == [0, 0]  # versions of one document
 
 
+def test_rows_without_an_id_do_not_share_their_marks(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(25))
+    data = [(None, passage + " " + " ".join(f"n{rng.randint(0, 9**6)}" for _ in range(30)), "d")
+            for _ in range(300)]
+    found = substring.remove_repeats(spark.createDataFrame(data, SCHEMA).repartition(3))
+    gone = sorted(r.repeats.n_removed for r in found.collect())
+    assert gone == [0] * 300  # one document by the order of ids: equal places, so versions
+    later = [(None, "one more " + t, "d") for _, t, _ in data[:9]]
+    found = substring.remove_repeats(spark.createDataFrame(data + later, SCHEMA))
+    assert sorted({(r.text[:3], r.repeats.n_removed > 24) for r in found.collect()}) \
+        == [("one", True), ("p0 ", False)]
+
+
 def test_index_counts_matches():
     rng = np.random.default_rng(3)
     runs = [rng.integers(1, 4, n) for n in (30, 8, 50, 6, 5, 40)]
