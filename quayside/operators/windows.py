@@ -9,8 +9,11 @@ Spark runs such a window in one task.  Here they are computed as a two-level sca
    has ``span / width_days`` rows, independent of the row count;
 3. the summary's carry (value before the bucket, sum before the bucket) is joined back.
 
-Null times sort first, as ``ORDER BY t`` does, and form their own bucket.  The order
-column should be unique (as a grouped time column is); ties are ordered arbitrarily.
+Null times sort first, as ``ORDER BY t`` does, and form their own bucket.
+
+Buckets of a fixed time span suit series with a row a time, such as hourly totals.  Rows that
+are not aggregated go through :func:`running_sums_by_range` and :func:`lag_by_range`, whose
+buckets are ranges of about as many rows each, however the rows lie in time.
 """
 
 from __future__ import annotations
@@ -18,9 +21,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import shared_scratch
+
 DEFAULT_BUCKET_DAYS = 30
 
 _B, _RN = "__bucket", "__rn"
+_PART = "__part"
 
 
 def time_bucket(order_col: str, width_days: int):
@@ -41,7 +47,11 @@ def _join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
 
 def ordered_lag(df: DataFrame, order_col: str, value_col: str, out_col: str,
                 width_days: int = DEFAULT_BUCKET_DAYS) -> DataFrame:
-    """``LAG(value) OVER (ORDER BY order_col)``; null on the first row."""
+    """``LAG(value) OVER (ORDER BY order_col)``; null on the first row.
+
+    ``order_col`` must be unique, as a grouped time column is: among equal ones the order is
+    arbitrary (:func:`lag_by_range` takes further columns that settle it).
+    """
     w = Window.partitionBy(_B).orderBy(order_col)
     rows = (_with_bucket(df, order_col, width_days)
             .withColumn(_RN, F.row_number().over(w))
@@ -105,7 +115,8 @@ def change_groups(df: DataFrame, order_col: str, value_col: str, out_col: str,
     """W3 core: run id of maximal stretches of equal consecutive values.
 
     Equals ``SUM(CASE WHEN v = LAG(v) OVER (ORDER BY t) THEN 0 ELSE 1 END) OVER (ORDER BY t)``:
-    the first row starts a run, and a null value always starts its own run.
+    the first row starts a run, and a null value always starts its own run.  ``order_col`` must
+    be unique, as for :func:`ordered_lag`.
     """
     w = Window.partitionBy(_B).orderBy(order_col)
     v = F.col(value_col)
@@ -148,3 +159,63 @@ def change_point_intervals(df: DataFrame, order_col: str, value_col: str,
     return (grouped.groupBy(value_col, "__group")
             .agg(F.min(order_col).alias(start), F.max(order_col).alias(end))
             .select(start, end, value_col))
+
+
+# --------------------------------------------------------------------------- rows of any density
+
+def range_partitioned(df: DataFrame, order_cols: list[str]) -> DataFrame:
+    """``df`` written by ranges of ``order_cols``, with the number of each row's range.
+
+    Borders are sampled, so ranges hold about as many rows each; rows that are equal in all
+    ``order_cols`` are in one range, and ranges are numbered in their order (nulls first).
+    """
+    folder = shared_scratch(df.sparkSession, "ranges")
+    dealt = df.repartitionByRange(*order_cols).withColumn(_PART, F.spark_partition_id())
+    dealt.write.parquet(folder)
+    return df.sparkSession.read.schema(dealt.schema).parquet(folder)
+
+
+def running_sums_by_range(df: DataFrame, order_cols: list[str], values: dict[str, str]) -> DataFrame:
+    """W2 over rows of any density: ``SUM(value) OVER (ORDER BY order_cols)`` per output column.
+
+    The default RANGE frame gives equal order values the same sum, that of all of them: so the
+    values of an order value are summed first (partial aggregates, however many rows share it),
+    the distinct order values are scanned range by range, and the sums are joined back to the
+    rows.  A range's sum is carried to those after it by the ranges' numbers.
+    """
+    summed = df.groupBy(*order_cols).agg(*[F.sum(c).alias(f"__sum_{o}") for o, c in values.items()])
+    held = range_partitioned(summed, order_cols)
+    upto = Window.partitionBy(_PART).orderBy(*order_cols).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carry = held.groupBy(_PART).agg(*[F.sum(f"__sum_{o}").alias(f"__all_{o}") for o in values]) \
+        .select(_PART, *[F.sum(f"__all_{o}").over(before).alias(f"__off_{o}") for o in values])
+    run = {o: F.sum(f"__sum_{o}").over(upto) for o in values}
+    scanned = held.repartitionByRange(_PART).select(
+        _PART, *order_cols, *[c.alias(f"__run_{o}") for o, c in run.items()]).join(carry, _PART)
+    totals = scanned.select(
+        *[F.col(c).alias(f"__key_{c}") for c in order_cols],
+        *[F.when(F.col(f"__off_{o}").isNotNull() | F.col(f"__run_{o}").isNotNull(),
+                 F.coalesce(f"__off_{o}", F.lit(0)) + F.coalesce(f"__run_{o}", F.lit(0))).alias(o)
+          for o in values])
+    same = [df[c].eqNullSafe(totals[f"__key_{c}"]) for c in order_cols]
+    return df.join(totals, same).drop(*[f"__key_{c}" for c in order_cols])
+
+
+def lag_by_range(df: DataFrame, order_cols: list[str], value_col: str, out_col: str) -> DataFrame:
+    """W1 over rows of any density: ``LAG(value) OVER (ORDER BY order_cols)``.
+
+    Together ``order_cols`` must be unique.  The last value of a range is carried to the next one
+    that has rows.
+    """
+    held = range_partitioned(df, order_cols)
+    order = Window.partitionBy(_PART).orderBy(*order_cols)
+    rows = held.repartitionByRange(_PART).withColumns(
+        {"__lag_in": F.lag(value_col).over(order), _RN: F.row_number().over(order)})
+    # A struct of the order columns sorts as they do, nulls first.
+    last = held.groupBy(_PART).agg(
+        F.max_by(value_col, F.struct(*order_cols)).alias("__last"))
+    carry = last.select(_PART, F.lag("__last").over(Window.orderBy(_PART)).alias("__prev"))
+    lag = F.when(F.col(_RN) == 1, F.col("__prev")).otherwise(F.col("__lag_in"))
+    return rows.join(carry, _PART).withColumn(out_col, lag).drop(
+        _PART, _RN, "__lag_in", "__prev")
