@@ -1,9 +1,13 @@
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from quayside.plans import basket
 from quayside.plans.occupancy import presence_share
 
+from conftest import rows
+
 H = dt.datetime(2023, 5, 1, 10)
 
 
@@ -71,3 +75,31 @@ def test_collation_matches_names_like_the_server(spark):
     assert {r.nationality: r.total_units_sold for r in loose} == {"X": 3, "Y": 7}
     shares = presence_share(harbour, nat, collation="UTF8_LCASE_RTRIM").collect()
     assert sorted(r.nationality for r in shares) == ["X", "Y"]
+
+
+def test_sales_of_a_hot_hour_are_summed_before_they_meet_the_groups(spark):
+    """Half of all sales are of one hour with many groups: the join gets a row a product group
+    (or distinct sale), the sales are read once, and the results are those of a plain join."""
+    hot, cold = dt.datetime(2024, 1, 1, 8), dt.datetime(2024, 1, 1, 9)
+    data = [(hot if k % 2 else cold, k % 7, k % 3, f"{k % 5}.25") for k in range(4_000)]
+    sales = spark.createDataFrame(data, "dt timestamp_ntz, product long, units long, p string") \
+        .select("dt", "product", "units", F.col("p").cast("decimal(18,2)").alias("total_price"))
+    dictionary = spark.createDataFrame([(k, f"EN{k % 2}") for k in range(6)],
+                                       "product long, EN string")
+    harbour = spark.createDataFrame([(hot, k, k + 1) for k in range(30)] + [(cold, 3, 9)],
+                                    "DateTime timestamp_ntz, boat long, passengers long")
+    nations = spark.createDataFrame([(k, f"N{k % 4}") for k in range(30)],
+                                    "boat long, nationality string")
+    sold = basket.sums_by_time(sales, dictionary)
+    assert sold.count() == 4 and basket.equal_sales(sales, dictionary).count() <= 4 * 15
+    plain = (sales.join(dictionary, "product").join(harbour, F.col("dt") == F.col("DateTime"))
+             .join(nations, "boat").groupBy("EN", "nationality")
+             .agg(F.sum("total_price").cast("double").alias("r"), F.sum("units").alias("u")))
+    got = basket.replicated_sums(harbour, sold, nations).select(
+        "EN", "nationality", F.col("revenue").cast("double"), F.col("units").cast("long"))
+    assert rows(got) == rows(plain.select("EN", "nationality", "r", F.col("u").cast("long")))
+    for share in (basket.replicated_product_share, basket.apportioned_product_share):
+        result = share(harbour, sales, nations, dictionary)
+        result.collect()
+        plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("ReusedExchange") >= 1, plan

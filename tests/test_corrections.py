@@ -95,3 +95,20 @@ def test_keyword_exclusion_list_and_table(spark):
         for keywords in (words, kw):
             got = [r[0] for r in exclude_keywords(df, "line", keywords).collect()]
             assert sorted(x for x in got if x is not None) == left and got.count(None) == 1
+
+
+def test_outer_merge_with_a_key_that_holds_most_rows(spark):
+    """Equal to a full outer join, null and repeated keys too, and without one in its plan."""
+    a = spark.createDataFrame([(1, k, "x") for k in range(400)] + [(2, 0, "y"), (None, 1, "z"),
+                                                                   (3, 7, "w"), (3, 8, "w")],
+                              "k long, a long, t string")
+    b = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r"), (4, "s"), (None, "u")],
+                              "k long, t string")
+    got = outer_merge(a, b, ["k"])
+    named = b.withColumnsRenamed({"k": "k2", "t": "t_y"})
+    full = a.withColumnRenamed("t", "t_x").join(named, F.col("k") == F.col("k2"), "full_outer")
+    expected = full.select(F.coalesce("k", "k2").alias("k"), "a", "t_x", "t_y")
+    assert got.columns == expected.columns
+    assert rows(got) == rows(expected)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "FullOuter" not in plan and "Inner" in plan and plan.count("LeftAnti") == 2

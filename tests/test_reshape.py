@@ -1,9 +1,17 @@
 import datetime as dt
+import os
+import random
+import re
 
-from quayside.operators.reshape import expand_hours, hours_rejects, unpivot_pairs
+from pyspark.sql import functions as F
+
+from quayside.operators import filters as FL
+from quayside.operators.reshape import (expand_hours, hours_rejects, mark_headers, regrid_blocks,
+                                        unpivot_pairs)
 from quayside.operators.filters import drop_nulls
 from quayside.plans.occupancy import hourly_presence
 from quayside.plans import roster as R
+from quayside.sources import files as SF
 
 from conftest import rows
 
@@ -129,7 +137,7 @@ def test_records_before_a_block_and_beyond_the_slots_are_rejects(spark, tmp_dir)
 
 
 def test_one_file_spans_tasks_and_keeps_its_order(spark, tmp_dir):
-    from quayside.sources.files import read_records
+    from quayside.sources.files import read_records, skip_leading
     lines = [f"r{k},x" for k in range(20_000)]
     path = _write_roster(tmp_dir, "\n".join(lines))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -138,7 +146,55 @@ def test_one_file_spans_tasks_and_keeps_its_order(spark, tmp_dir):
     try:
         recs = read_records(spark, path)
         assert spark.read.text(path).rdd.getNumPartitions() > 3
-        assert [r.record for r in recs.orderBy("pos").collect()] == lines
+        found = recs.orderBy("pos").collect()
+        assert [r.record for r in found] == lines
+        assert [r.pos for r in found] == list(range(len(lines)))  # without holes
+        assert skip_leading(recs, 15_000).count() == 5_000  # more than the first splits hold
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def _brute_grid(lines, slots):
+    """Blocks, slots and rejects of roster records by walking them one by one."""
+    kept = [x for x in lines if x != R.BLANK_RECORD][1:]
+    grid, rejects, block, slot = {}, [], 0, 0
+    for line in kept:
+        cells = line.split(",")
+        header = len(cells) > 1 and bool(re.fullmatch(r"\d{1,2}/\d{1,2}/\d{4}", cells[1]))
+        if not header and cells[0] != "":
+            continue
+        block, slot = (block + 1, 0) if header else (block, slot + 1)
+        if not block:
+            rejects.append(("no block", cells[1]))
+        elif slot >= len(slots):
+            rejects.append(("no slot", cells[1]))
+        else:
+            for k, c in enumerate(["*", *cells[1:]] if header else cells):
+                if c:
+                    grid.setdefault((block, k), {})[slots[slot]] = c
+    return sorted((b, k, *(m.get(n) for n in slots)) for (b, k), m in grid.items()), sorted(rejects)
+
+
+def test_regrid_equals_a_walk_over_the_records(spark, tmp_dir):
+    rng = random.Random(9)
+    for trial, title in enumerate(["Title,,,,,,,", "week,4/30/2023,,,,,,", ",first,,,,,,"]):
+        lines = [R.BLANK_RECORD] * 3 + [title, ",lost,,,,,,"]
+        for _ in range(60):
+            lines.append(rng.choice([
+                R.BLANK_RECORD, "Staff,8-16,,,,,,", "Staff,8-16,,,,,,"] + [
+                f"week,{rng.randint(1, 12)}/{rng.randint(1, 28)}/2023,5/2/2023,,,,,"] + [
+                f",s{rng.randint(0, 99)},,t{rng.randint(0, 9)},,,,"] * 6))
+        folder = f"{tmp_dir}/{trial}"
+        os.makedirs(folder)
+        recs = SF.read_records(spark, _write_roster(folder, "\n".join(lines)))
+        recs = FL.drop_blank_records(recs, "record", R.BLANK_RECORD) \
+            .withColumn("cells", SF.split_cells("record"))
+        recs = recs.withColumn("header", F.coalesce(mark_headers("cells", 1, R.DATE_PATTERN),
+                                                    F.lit(False)))
+        recs = recs.withColumn("listed", F.col("header") | (F.get("cells", F.lit(0)) == ""))
+        grid, rejects = regrid_blocks(recs, "file", "pos", "cells", "header", R.SLOT_NAMES, width=4,
+                                      drop_empty=True, keep_col="listed", title=True)
+        expected = _brute_grid(lines, R.SLOT_NAMES)
+        assert sorted(rows(grid.drop("file")), key=lambda r: r[:2]) == expected[0]
+        assert sorted((r.reason, r.cells[1]) for r in rejects.collect()) == expected[1]

@@ -3,8 +3,12 @@ import random
 
 import pandas as pd
 
-from quayside.operators.windows import (change_point_intervals, ordered_lag, running_sum,
-                                        running_sums, position_bucket)
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from quayside.operators.windows import (_PART, change_point_intervals, lag_by_range, ordered_lag,
+                                        position_bucket, range_partitioned, running_sum,
+                                        running_sums, running_sums_by_range)
 
 from conftest import rows
 
@@ -76,3 +80,43 @@ def test_partitioned_running_counts_by_position(spark):
         for p in range(50):
             acc += 1 if p % 5 == 0 else 0
             assert got[(f, p)] == acc
+
+
+def _events(n=6_000):
+    """Rows of which half are of one time, crowded into a month, with nulls."""
+    rnd = random.Random(31)
+    start = T(2024, 2, 1)
+    out = []
+    for k in range(n):
+        t = start if k % 2 else start + dt.timedelta(minutes=rnd.randint(0, 40_000))
+        out.append((k, None if k % 97 == 0 else t, None if k % 13 == 0 else rnd.randint(-5, 9)))
+    return out
+
+
+def test_range_scans_equal_whole_table_windows(spark):
+    df = spark.createDataFrame(_events(), "id long, t timestamp_ntz, v long").repartition(6)
+    whole = Window.orderBy("t")
+    expected = df.withColumn("run", F.sum("v").over(whole))
+    assert rows(running_sums_by_range(df, ["t"], {"run": "v"})) == rows(expected)
+    expected = df.withColumn("prev", F.lag("v").over(Window.orderBy("t", "id")))
+    assert rows(lag_by_range(df, ["t", "id"], "v", "prev")) == rows(expected)
+
+
+def test_range_scans_of_odd_tables(spark):
+    none = spark.createDataFrame([], "t long, v long")
+    assert running_sums_by_range(none, ["t"], {"run": "v"}).collect() == []
+    assert lag_by_range(none, ["t"], "v", "prev").collect() == []
+    nulls = spark.createDataFrame([(None, 1), (1, None), (None, 2)], "t long, v long")
+    assert rows(running_sums_by_range(nulls, ["t"], {"run": "v"})) == [
+        (None, 1, 3), (None, 2, 3), (1, None, 3)]
+
+
+def test_ranges_hold_about_as_many_rows_each(spark):
+    df = spark.createDataFrame(_events(20_000), "id long, t timestamp_ntz, v long")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in range_partitioned(df, ["t", "id"]).groupBy(_PART).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert len(sizes) == 8 and max(sizes) <= 2 * sorted(sizes)[4]
