@@ -35,60 +35,72 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
-def _grams(text: str, *sizes: int) -> Column:
-    """The distinct character grams of a text column, each size in one pass of the text."""
-    return F.array_distinct(F.concat(*[
-        F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in sizes]))
+# Keywords shorter than SHORT are looked up before all others; those of LONG characters or more
+# by grams of that size, those between by grams of SHORT characters.
+SHORT, LONG = 3, 6
 
 
-def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = 3) -> DataFrame:
+def _grams(text: str, n: int) -> Column:
+    """The overlapping character grams of a text column, in one pass of the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+
+
+def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = LONG) -> DataFrame:
     """(keyword, gram): of each keyword's grams the one that fewest keywords have.
 
     Keywords shorter than ``gram`` are not in it.  Ties go to the least gram.
     """
     each = (keywords.select(F.col(keyword_col).alias("keyword")).distinct()
             .where(F.length("keyword") >= gram)
-            .withColumn("gram", F.explode(_grams("keyword", gram))))
+            .withColumn("gram", F.explode(F.array_distinct(_grams("keyword", gram)))))
     counts = each.groupBy("gram").agg(F.count("*").alias("n"))
     return each.join(counts, "gram").groupBy("keyword").agg(
         F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
-def _short_hits(texts: DataFrame, text_col: str, keywords: DataFrame, gram: int) -> DataFrame:
-    """The distinct texts with a keyword shorter than ``gram``: such a keyword is a gram itself."""
-    short = keywords.where(F.length("keyword") < gram)
-    return (texts.select(text_col, F.explode(_grams(text_col, *range(1, gram))).alias("keyword"))
-            .join(short, "keyword", "left_semi").select(text_col).distinct())
+def _short_hits(texts: DataFrame, keywords: DataFrame) -> DataFrame:
+    """The texts with a keyword of one or two characters, which is a gram itself."""
+    grams = F.array_distinct(F.concat(F.split("text", ""), _grams("text", SHORT - 1)))
+    return (texts.select("text", F.explode(grams).alias("keyword"))
+            .join(keywords.where(F.length("keyword") < SHORT), "keyword", "left_semi")
+            .select("text").distinct())
 
 
-def _long_hits(texts: DataFrame, text_col: str, keywords: DataFrame, gram: int) -> DataFrame:
-    """The distinct texts with a keyword of ``gram`` or more characters.
+def _index_hits(texts: DataFrame, keywords: DataFrame, gram: int) -> DataFrame:
+    """The texts with a keyword of ``gram`` or more characters.
 
-    Texts are known by a hash while their grams are joined to the index of rarest grams; only
+    Texts and grams are known by their hashes while they meet in the index of rarest grams; only
     candidates' texts are fetched, and each is verified by ``contains``.
     """
-    index = rarest_grams(keywords, "keyword", gram)
-    key = F.xxhash64(text_col).alias("__key")
-    candidates = (texts.select(key, F.explode(_grams(text_col, gram)).alias("gram"))
-                  .join(index, "gram").select("__key", "keyword").distinct())
-    met = texts.select(key, text_col).distinct().join(candidates, "__key")
-    return met.where(F.contains(text_col, "keyword")).select(text_col).distinct()
+    index = rarest_grams(keywords, "keyword", gram).select(
+        F.xxhash64("gram").alias("gram"), "keyword")
+    key = F.xxhash64("text").alias("key")
+    candidates = (texts.select(key, F.explode(_grams("text", gram)).alias("gram"))
+                  .select("key", F.xxhash64("gram").alias("gram"))
+                  .join(index, "gram").select("key", "keyword").distinct())
+    met = texts.select(key, "text").join(candidates, "key")
+    return met.where(F.contains("text", "keyword")).select("text").distinct()
 
 
 def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
-                 keyword_col: str = "keyword", gram: int = 3) -> DataFrame:
+                 keyword_col: str = "keyword") -> DataFrame:
     """The distinct values of ``text_col`` that contain any keyword of a table of any size.
 
-    Keywords shorter than ``gram`` are looked up among the short grams of the texts; the texts
-    left are met with longer keywords through an index of each keyword's rarest gram.  No
-    keyword goes through the driver, and no text meets a keyword whose rarest gram it lacks.
+    Each distinct text is looked at once.  Keywords of one or two characters are looked up first,
+    among the short grams of the texts, as they have most hits; the texts left meet longer ones
+    through indexes of each keyword's rarest gram.  No keyword goes through the driver, and no
+    text meets a keyword whose rarest gram it lacks.
     """
     words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
              .where(F.length("keyword") > 0).distinct())
-    found = texts.select(text_col).where(F.length(text_col) > 0)
-    short = _short_hits(found, text_col, words, gram)
-    rest = found.join(short, text_col, "left_anti")
-    return short.union(_long_hits(rest, text_col, words, gram))
+    found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
+    hits = _short_hits(found, words)
+    # Dealt out anew, so that what follows reads the texts left and doesn't find them again.
+    rest = found.join(hits, "text", "left_anti").repartition("text")
+    longer = words.where(F.length("keyword") >= LONG)
+    middle = words.where((F.length("keyword") >= SHORT) & (F.length("keyword") < LONG))
+    return (hits.union(_index_hits(rest, middle, SHORT)).union(_index_hits(rest, longer, LONG))
+            .select(F.col("text").alias(text_col)))
 
 
 def exclude_keywords(df: DataFrame, text_col: str, keywords,
