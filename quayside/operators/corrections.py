@@ -51,6 +51,49 @@ def apply_fixes(df: DataFrame, fixes: DataFrame, keys: list[str], fields: list[s
     return fixed, fixes.join(df.select(*keys), on=keys, how="left_anti")
 
 
+def merge_corrections(keys: list[str], fields: list[str], soft: DataFrame | None = None,
+                      hard: DataFrame | None = None, exclusions: DataFrame | None = None,
+                      offsets: DataFrame | None = None, days_col: str = "days") -> DataFrame | None:
+    """C1-C4 of one key as one table: a row per key with ``__soft_<field>``, ``__hard_<field>``,
+    ``__excluded`` and ``__days``.
+
+    The given tables are stacked and grouped once, so that the rows to correct meet them in one
+    join (:func:`apply_corrections`) whatever kinds there are.  Several fixes of a key are merged
+    as by :func:`merge_fixes`, several offsets are added up.  None where no table is given.
+    """
+    none = F.lit(None)
+    given = []
+    for kind, table in (("soft", soft), ("hard", hard), ("out", exclusions), ("days", offsets)):
+        if table is not None:
+            given.append(table.select(
+                *keys, *[(F.col(c) if kind == k else none).cast("string").alias(f"__{k}_{c}")
+                         for k in ("soft", "hard") for c in fields],
+                F.lit(kind == "out").alias("__excluded"),
+                (F.col(days_col) if kind == "days" else none).cast("bigint").alias("__days")))
+    if not given:
+        return None
+    stacked = given[0]
+    for table in given[1:]:
+        stacked = stacked.union(table)
+    return stacked.groupBy(*keys).agg(
+        *[F.min(f"__{k}_{c}").alias(f"__{k}_{c}") for k in ("soft", "hard") for c in fields],
+        F.max("__excluded").alias("__excluded"), F.sum("__days").cast("int").alias("__days"))
+
+
+def apply_corrections(df: DataFrame, merged: DataFrame | None, keys: list[str],
+                      fields: list[str]) -> DataFrame:
+    """``df`` with the fixes of :func:`merge_corrections` in ``fields`` (hard before soft), and
+    ``__excluded`` and ``__days`` for the caller to use."""
+    if merged is None:
+        return df.withColumns({"__excluded": F.lit(False), "__days": F.lit(0)})
+    joined = df.join(merged, on=keys, how="left")
+    fixed = {c: F.coalesce(F.col(f"__hard_{c}").cast(df.schema[c].dataType), F.col(c),
+                           F.col(f"__soft_{c}").cast(df.schema[c].dataType)) for c in fields}
+    return joined.withColumns({**fixed, "__excluded": F.coalesce("__excluded", F.lit(False)),
+                               "__days": F.coalesce("__days", F.lit(0))}) \
+        .select(*df.columns, "__excluded", "__days")
+
+
 def exclude_keys(df: DataFrame, exclusions: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the rows whose key is listed in ``exclusions``."""
     return df.join(exclusions.select(*keys), on=keys, how="left_anti")

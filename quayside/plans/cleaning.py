@@ -68,11 +68,11 @@ class Corrections:
 # --------------------------------------------------------------------------- Q8 pieces
 
 def clean_roster(calls: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Roster (Date, Boat, Time) -> (boat, time, date, ETA, ETD) clock texts, and reports.
+    """Roster (Date, Boat, Time) -> (boat, time, date, ETA, ETD) compact times, and reports.
 
     Strip ``" ?"`` from names, recode names and time texts, ``m/d/yyyy`` -> ``yyyy-mm-dd``,
-    split the time range, strip white space / ``:`` / ``?``, 2400 -> 2359, keyed hard
-    fixes, ``"0800"`` -> ``"08:00"``.
+    split the time range, strip white space / ``:`` / ``?``, 2400 -> 2359.  The keyed hard fixes
+    are written when the roster meets the calls (:func:`merge_calls_roster`).
     """
     df, reports = calls, {}
     if fixes.roster_exclusions is not None:
@@ -87,11 +87,11 @@ def clean_roster(calls: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[
     df = df.withColumn("ETD", C.recode("ETD", END_OF_DAY))
     df = df.select(F.col("Boat").alias("boat"), F.col("Time").alias("time"), "date", "ETA", "ETD")
     if fixes.roster_fixes is not None:
-        df, reports["unused_roster_fixes"] = C.apply_fixes(
-            df, fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"], "hard")
+        reports["unused_roster_fixes"] = fixes.roster_fixes.join(
+            df.select("date", "boat"), ["date", "boat"], "left_anti")
         reports["conflicting_roster_fixes"] = C.fix_conflicts(
             fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"])
-    return df.withColumns({"ETA": compact_time("ETA"), "ETD": compact_time("ETD")}), reports
+    return df, reports
 
 
 def typed_calls(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -117,13 +117,16 @@ def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str
     df, reports = raw.select(*CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES), {}
     fields = ["ETA", "ETD", "passengers"]
     if fixes.call_fixes is not None:
-        df, reports["unused_call_fixes"] = C.apply_fixes(
-            df, fixes.call_fixes, ["date", "boat"], fields, "soft")
+        reports["unused_call_fixes"] = fixes.call_fixes.join(
+            df.select("date", "boat"), ["date", "boat"], "left_anti")
         reports["conflicting_call_fixes"] = C.fix_conflicts(
             fixes.call_fixes, ["date", "boat"], fields)
-    reports["incomplete"] = FL.incomplete_rows(df, ["boat", "passengers", "date", "ETA", "ETD"])
-    if fixes.call_exclusions is not None:
-        df = C.exclude_keys(df, fixes.call_exclusions, ["date", "boat"])
+    df = C.apply_corrections(df, C.merge_corrections(
+        ["date", "boat"], fields, soft=fixes.call_fixes, exclusions=fixes.call_exclusions),
+        ["date", "boat"], fields).drop("__days")
+    reports["incomplete"] = FL.incomplete_rows(df, ["boat", "passengers", "date", "ETA", "ETD"]) \
+        .drop("__excluded")
+    df = df.where("NOT __excluded").drop("__excluded")
     df = C.recode_column(df, "boat", fixes.boat_names)
     df, reports["unparsed"] = typed_calls(df)
     day = reorder_date_text("date", ".", (2, 1, 0))
@@ -131,31 +134,41 @@ def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str
     return df.withColumn("date", F.col("Date of arrival")), reports
 
 
-def merge_calls_roster(calls: DataFrame, roster: DataFrame) -> DataFrame:
-    """J1 + C9: outer merge on (date, boat); roster times win when present and non-empty."""
-    merged = outer_merge(calls, roster, ["date", "boat"])
-    merged = merged.withColumns({
+def merge_calls_roster(calls: DataFrame, roster: DataFrame,
+                       fixes: Corrections | None = None) -> DataFrame:
+    """J1 + C9: outer merge on (date, boat); roster times win when present and non-empty.
+
+    What corrects a (date, boat), the roster's hard fixes and the day offsets, comes in one join
+    here: fixes go to rows that the roster has, ``"0800"`` becomes ``"08:00"``, and ``__days`` is
+    for :func:`call_times`.
+    """
+    fixes = fixes or Corrections()
+    merged = outer_merge(calls, roster.withColumn("__listed", F.lit(True)), ["date", "boat"])
+    wide = C.merge_corrections(["date", "boat"], ["ETA_y", "ETD_y"], offsets=fixes.stay_offsets,
+                               hard=None if fixes.roster_fixes is None else
+                               fixes.roster_fixes.withColumnsRenamed({"ETA": "ETA_y", "ETD": "ETD_y"}))
+    fixed = C.apply_corrections(merged, wide, ["date", "boat"], ["ETA_y", "ETD_y"])
+    listed = {c: F.when(F.col("__listed"), compact_time(c)) for c in ("ETA_y", "ETD_y")}
+    return fixed.withColumns(listed).withColumns({
         "ETA_x": C.override_when_present("ETA_x", "ETA_y"),
-        "ETD_x": C.override_when_present("ETD_x", "ETD_y")})
-    return merged.drop("time", "ETA_y", "ETD_y")
+        "ETD_x": C.override_when_present("ETD_x", "ETD_y")}) \
+        .drop("time", "ETA_y", "ETD_y", "__listed", "__excluded")
 
 
-def call_times(merged: DataFrame, fixes: Corrections) -> DataFrame:
-    """Arrival and departure timestamps with the overnight rule and keyed day offsets."""
+def call_times(merged: DataFrame) -> DataFrame:
+    """Arrival and departure timestamps with the overnight rule and the keyed day offsets."""
     df = merged.withColumns({
         "ETA date": lenient_timestamp(join_date_time("Date of arrival", "ETA_x")),
         "ETD date": lenient_timestamp(join_date_time("Date of arrival", "ETD_x")),
         "Date of arrival": lenient_timestamp("Date of arrival"),
         "Date of departure": lenient_timestamp("Date of departure")})
     overnight = F.col("ETD date") < F.col("ETA date")
-    df = df.withColumns({
+    shift = F.make_dt_interval(F.col("__days"))
+    return df.withColumns({
         "Date of departure": F.when(overnight, F.col("Date of departure") + one_day())
-        .otherwise(F.col("Date of departure")),
-        "ETD date": F.when(overnight, F.col("ETD date") + one_day()).otherwise(F.col("ETD date"))})
-    if fixes.stay_offsets is not None:
-        df = C.add_days(df, fixes.stay_offsets, ["date", "boat"],
-                        ["Date of departure", "ETD date"])
-    return df
+        .otherwise(F.col("Date of departure")) + shift,
+        "ETD date": F.when(overnight, F.col("ETD date") + one_day()).otherwise(F.col("ETD date"))
+        + shift}).drop("__days")
 
 
 HOURLY_COLUMNS = ["hourly_timestamp", "boat", "passengers", "quay", "agent", "weight", "lenght"]
@@ -172,7 +185,7 @@ def presence_build(raw_calls: DataFrame, roster_calls: DataFrame,
     fixes = fixes or Corrections()
     calls, reports = clean_calls(raw_calls, fixes)
     roster, roster_reports = clean_roster(roster_calls, fixes)
-    timed = call_times(merge_calls_roster(calls, roster), fixes)
+    timed = call_times(merge_calls_roster(calls, roster, fixes))
     hourly = expand_hours(timed, "ETA date", "ETD date", "hourly_timestamp")
     rejects = hours_rejects(timed, "ETA date", "ETD date")
     return hourly.select(*HOURLY_COLUMNS), {**reports, **roster_reports, "rejects": rejects}

@@ -56,7 +56,8 @@ _PRESENCE_SQL = _visits_sql(f"""
 
 
 def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Visits with their clock texts as the exports show them (see ``_VISITS_SQL``)."""
+    """Visits with their clock texts as the exports show them (see ``_VISITS_SQL``), written
+    once: the exports and every table of corrections are made from them."""
     stays = A.stays(spark, sf_dir)
     following = stays.select("boat", F.date_sub("d", 1).alias("d"), F.col("arrival").alias("later"))
     v = stays.join(following, ["boat", "d"], "left").withColumnRenamed("boat", "uid")
@@ -64,7 +65,7 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = v.withColumn("departure", F.when(F.col("next_day"), F.col("later"))
                      .otherwise(F.col("departure"))).drop("later")
     hour = F.hour("departure") + 1
-    return v.withColumns({
+    v = v.withColumns({
         "in_roster": F.hour("arrival") < 12,
         "call_eta": F.date_format("arrival", "HH:mm"),
         "call_etd": F.date_format("departure", "HH:mm"),
@@ -75,6 +76,9 @@ def _visits(spark: SparkSession, sf_dir: str) -> DataFrame:
                              .otherwise(F.lit("Guest ")), F.col("uid").cast("string")),
         "raw_date": F.date_format("d", "dd.MM.yyyy"),
         "date": F.date_format("d", "yyyy-MM-dd")})
+    folder = shared_scratch(spark, "visit-rows")
+    v.write.parquet(folder)
+    return spark.read.schema(v.schema).parquet(folder)
 
 
 def _unless(condition, c):
