@@ -17,7 +17,8 @@ name and time maps ``from_value, to_value``; passenger fixes ``boat, passengers`
 are CSV directories with a header, one for the result and one for each report.  ``analytics``
 takes the outputs of ``presence-build`` (hourly) and ``clean-sales`` (sales) as they are, or
 tables with the columns ``DateTime, boat, passengers, agent`` and ``DateTime, product, units,
-total_price``.
+total_price``; rows whose times or numbers are none come out as ``harbour_rejects`` and
+``sales_rejects``.
 """
 
 from __future__ import annotations
@@ -27,9 +28,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.functions.text import number_text, whole_number
 from quayside.operators import corrections as C
-from quayside.plans import basket, cleaning, occupancy, roster
+from quayside.plans import basket, cleaning, inputs, occupancy, roster
 from quayside.session import build_session
 from quayside.sources import files as SF
 
@@ -57,31 +57,17 @@ def _read_table(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", False).csv(path)
 
 
-# Column names of the cleaning outputs by the names the analytics use.
-HARBOUR_NAMES = {"hourly_timestamp": "DateTime"}
-SALES_NAMES = {"Datetime": "DateTime", "Product group": "product", "Units sold": "units",
-               "Amount with VAT": "total_price"}
-
-
-def _typed_analytics_inputs(spark, a):
-    """The four tables with the analytics' names and types, corrections applied."""
-    h = _read_table(spark, a.harbour, a.format).withColumnsRenamed(HARBOUR_NAMES)
-    s = _read_table(spark, a.sales, a.format).withColumnsRenamed(SALES_NAMES)
-    n = _read_table(spark, a.nationalities, a.format)
-    h = h.select(F.col("DateTime").cast("string").try_cast("timestamp_ntz").alias("DateTime"),
-                 "boat", whole_number(F.col("passengers").cast("string")).alias("passengers"),
-                 "agent")
-    s = s.select(
-        F.col("DateTime").cast("string").try_cast("timestamp_ntz").alias("dt"), "product",
-        whole_number(F.col("units").cast("string")).alias("units"),
-        number_text(F.col("total_price").cast("string")).try_cast("decimal(18,2)")
-        .alias("total_price"))
-    if a.passenger_fixes:
-        fixes = _csv(spark, a.passenger_fixes).withColumn(
-            "passengers", whole_number("passengers"))
-        h, _ = C.apply_fixes(h, fixes, ["boat"], ["passengers"], "hard")
-    n = C.recode_column(n, "nationality", _csv(spark, a.nationality_names))
-    return occupancy.zero_harbour_minutes(h), s, n, _read_table(spark, a.dictionary, a.format)
+def _analytics_inputs(spark, a):
+    """The four tables with the analytics' names and types, corrections applied, and the rows of
+    harbour and sales that have no such values."""
+    h, bad_harbour = inputs.typed_harbour(_read_table(spark, a.harbour, a.format),
+                                          _csv(spark, a.passenger_fixes))
+    s, bad_sales = inputs.typed_sales(_read_table(spark, a.sales, a.format))
+    n = C.recode_column(_read_table(spark, a.nationalities, a.format), "nationality",
+                        _csv(spark, a.nationality_names))
+    rejects = {"harbour_rejects": bad_harbour, "sales_rejects": bad_sales}
+    return (occupancy.zero_harbour_minutes(h), s, n, _read_table(spark, a.dictionary, a.format),
+            rejects)
 
 
 def _write(out: str, results: dict[str, DataFrame]) -> None:
@@ -148,13 +134,13 @@ def main(argv: list[str] | None = None) -> None:
         recs = SF.read_records(spark, a.raw, a.encoding)
         SF.write_csv(cleaning.clean_weather(recs, cleaning.weather_columns(recs)), a.out)
     elif a.cmd == "clean-dictionary":
-        SF.write_csv(cleaning.clean_dictionary(_csv(spark, a.raw)), a.out)
+        SF.write_csv(cleaning.clean_dictionary(SF.read_csv(spark, a.raw, position="ID")), a.out)
     elif a.cmd == "clean-calls":
-        raw = SF.read_csv(spark, a.raw, cleaning.CALL_COLUMNS)
+        raw = SF.read_csv(spark, a.raw, cleaning.CALL_COLUMNS, position="ID")
         calls, reports = cleaning.clean_cruise_calls(raw, _corrections(spark, a))
-        _write(a.out, {"calls": SF.with_row_id(calls), **reports})
+        _write(a.out, {"calls": calls, **reports})
     elif a.cmd == "analytics":
-        h, s, n, d = _typed_analytics_inputs(spark, a)
+        h, s, n, d, rejects = _analytics_inputs(spark, a)
         c = a.collation
         results = {
             "passengers_by_hour": occupancy.occupancy_by_time(h),
@@ -165,7 +151,7 @@ def main(argv: list[str] | None = None) -> None:
             "apportioned_product_share": basket.apportioned_product_share(h, s, n, d, collation=c),
             "apportioned_basket_mix": basket.apportioned_basket_mix(h, s, n, d, collation=c),
         }
-        _write(a.out, results)
+        _write(a.out, {**results, **rejects})
     spark.stop()
 
 

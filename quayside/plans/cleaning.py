@@ -114,7 +114,8 @@ def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str
     still missing a name, passenger count, date or time after the fixes, F4), ``unparsed``
     (calls with a number that isn't one), ``unused_call_fixes``, ``conflicting_call_fixes``.
     """
-    df, reports = raw.select(*CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES), {}
+    kept = ["ID"] if "ID" in raw.columns else []  # the row's number in the export
+    df, reports = raw.select(*kept, *CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES), {}
     fields = ["ETA", "ETD", "passengers"]
     if fixes.call_fixes is not None:
         reports["unused_call_fixes"] = fixes.call_fixes.join(
@@ -238,8 +239,11 @@ def weather_columns(records: DataFrame, preamble: int = 3) -> list[str]:
 
 
 def clean_dictionary(raw: DataFrame, id_key: list[str] | None = None) -> DataFrame:
-    """Q11: complete rows only, with an ``ID`` column first."""
-    return with_row_id(FL.drop_nulls(raw), "ID", id_key)
+    """Q11: complete rows only, with an ``ID`` column first: the one that ``raw`` has (the row's
+    number in the export, see ``position`` of :func:`quayside.sources.files.read_csv`; dropped
+    rows leave gaps), else a new one."""
+    whole = FL.drop_nulls(raw)
+    return whole if "ID" in raw.columns else with_row_id(whole, "ID", id_key)
 
 
 def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
@@ -252,13 +256,14 @@ def clean_cruise_calls(raw: DataFrame, fixes: Corrections | None = None
     ``Lengde``); the reports are those of :func:`clean_calls`.  Fix and exclusion keys use the
     names ``date`` and ``boat`` as in the presence build.
     """
+    kept = ["ID"] if "ID" in raw.columns else []
     calls, reports = clean_calls(raw, fixes or Corrections())
     eta = lenient_timestamp(join_date_time("Date of arrival", "ETA"))
     etd = lenient_timestamp(join_date_time("Date of arrival", "ETD"))
     arrival = lenient_timestamp("Date of arrival")
     departure = F.when(etd < eta, arrival + one_day()).otherwise(arrival)
     back = {v: k for k, v in CALL_RENAMES.items() if k != "Dato"}
-    out = calls.select(arrival.alias("Date of arrival"), departure.alias("Date of departure"),
+    out = calls.select(*kept, arrival.alias("Date of arrival"), departure.alias("Date of departure"),
                        "ETA", "ETD", *[F.col(c).alias(back[c]) for c in
                                        ("boat", "passengers", "quay", "agent", "weight", "lenght")])
     return out, reports

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.plans import analogue as A
-from quayside.plans import cleaning
+from quayside.plans import cleaning, inputs
 from quayside.plans import roster as R
 from quayside.plans.registry import register
 from quayside.session import shared_scratch
@@ -368,3 +368,55 @@ def q_cruise_calls_cleaning(spark, sf_dir):
     raw = SF.read_csv(spark, f"{base}/calls", cleaning.CALL_COLUMNS)
     calls, _ = cleaning.clean_cruise_calls(raw, _visit_corrections(visits))
     return calls
+
+
+# --------------------------------------------------------------------------- inputs of the analytics
+
+@register("stable_ids", """
+    SELECT k - 1 AS ID, p_type AS EN, CAST(p_partkey AS VARCHAR) AS product
+    FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS k FROM part) WHERE p_size > 5""")
+def q_stable_ids(spark, sf_dir):
+    """K3 as the export counts: each row's number in a dictionary of several files, with gaps where
+    rows were dropped; it does not depend on the tasks that read them."""
+    base = shared_scratch(spark, "numbered")
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    export = part.repartitionByRange(5, "p_partkey").sortWithinPartitions("p_partkey").select(
+        F.when(F.col("p_size") > 5, F.col("p_type")).alias("EN"),
+        F.col("p_partkey").cast("string").alias("product"))
+    SF.write_csv(export, base)
+    return cleaning.clean_dictionary(SF.read_csv(spark, base, ["EN", "product"], position="ID"))
+
+
+@register("analytics_rejects", """
+    SELECT 'sales' AS input, CAST(l_partkey AS VARCHAR) AS name,
+           CASE l_orderkey % 40 WHEN 3 THEN 'some' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+               END AS amount
+    FROM lineitem WHERE l_orderkey % 40 IN (3, 4, 5)
+    UNION ALL
+    SELECT 'harbour', CAST(o_custkey AS VARCHAR), 'about ' || o_orderkey FROM orders
+    WHERE o_orderkey % 30 = 2 AND o_custkey % 7 <> 1""")
+def q_analytics_rejects(spark, sf_dir):
+    """Exports of harbour and sales with texts that are no times or numbers: what the analytics
+    leave out, after the passenger fixes."""
+    base = shared_scratch(spark, "inputs")
+    kind = F.col("l_orderkey") % 40
+    SF.write_csv(read_table(spark, sf_dir, "lineitem").select(
+        F.when(kind == 5, F.lit("soon")).otherwise(F.col("l_shipdate").cast("string"))
+        .alias("Datetime"), F.col("l_partkey").alias("Product group"),
+        F.when(kind == 3, F.lit("some")).otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+        .alias("Units sold"),
+        F.when(kind == 4, F.lit("n/a")).otherwise(F.col("l_extendedprice").cast("string"))
+        .alias("Amount with VAT")), f"{base}/sales")
+    key = F.col("o_orderkey").cast("string")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    SF.write_csv(orders.select(
+        F.col("o_orderdate").alias("hourly_timestamp"), F.col("o_custkey").alias("boat"),
+        F.when(F.col("o_orderkey") % 30 == 2, F.concat(F.lit("about "), key)).otherwise(key)
+        .alias("passengers"), F.lit("x").alias("agent")), f"{base}/harbour")
+    fixes = orders.where("o_custkey % 7 = 1").select(
+        F.col("o_custkey").cast("string").alias("boat"), F.lit("12").alias("passengers"))
+    _, bad_sales = inputs.typed_sales(SF.read_csv(spark, f"{base}/sales"))
+    _, bad_harbour = inputs.typed_harbour(SF.read_csv(spark, f"{base}/harbour"), fixes)
+    return bad_sales.select(F.lit("sales").alias("input"), F.col("product").alias("name"),
+                            F.col("units").alias("amount")).union(
+        bad_harbour.select(F.lit("harbour"), "boat", "passengers"))

@@ -45,30 +45,80 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
+_PLACE = ("__file", "__split", "__id")
+
+
+def _placed() -> list[Column]:
+    """Where a row of a file scan comes from: its file, its split, and a number that grows there."""
+    return [F.col("_metadata.file_path").alias("__file"),
+            F.col("_metadata.file_block_start").alias("__split"),
+            F.monotonically_increasing_id().alias("__id")]
+
+
+def _numbered(rows: DataFrame, name: str, per_file: bool) -> DataFrame:
+    """``rows`` (a file scan with the columns of ``_placed``) with their numbers from 0, without
+    holes: in their file, or through all files in the order of their paths.
+
+    The scan is written to the shared folder once.  One count a split, summed up in the order of
+    files and offsets, makes the numbers within a split those of the file; so they depend on the
+    files alone, not on the number of tasks.
+    """
+    spark = rows.sparkSession
+    folder = shared_scratch(spark, "records")
+    rows.write.parquet(folder)
+    held = spark.read.schema(rows.schema).parquet(folder)
+    # A task may read several splits, so the numbers of one start at its least.
+    splits = held.groupBy("__file", "__split").agg(F.min("__id").alias("__first"),
+                                                   F.count(F.lit(1)).alias("__n"))
+    order = Window.partitionBy("__file").orderBy("__split") if per_file else \
+        Window.orderBy("__file", "__split")
+    before = F.sum("__n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    starts = splits.select("__file", "__split", (
+        F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__start"))
+    return held.join(starts, ["__file", "__split"]).withColumn(
+        name, F.col("__start") + F.col("__id")).drop("__split", "__id", "__start")
+
+
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None,
-             header: bool = True, encoding: str = "UTF-8", sep: str = ",") -> DataFrame:
+             header: bool = True, encoding: str = "UTF-8", sep: str = ",",
+             position: str | None = None) -> DataFrame:
     """A CSV export as strings, in any Java charset.
 
+    With ``position`` a first column of that name numbers the rows from 0 as the files list them
+    (files in the order of their paths), the same on every run; see :func:`_numbered`.
+
     With a header the file's own names count: ``columns`` are selected by name, whatever their
     order and whatever else the file has, and a missing one is an error.  Without a header
     ``columns`` names the columns by position.
     """
     reader = (spark.read.option("header", header).option("encoding", _reader_charset(encoding))
               .option("sep", sep).option("mode", "PERMISSIVE"))
+    def numbered(df: DataFrame) -> DataFrame:
+        if position is None:
+            return df.drop(*_PLACE)
+        return _numbered(df, position, per_file=False).select(
+            position, *[c for c in df.columns if c not in _PLACE])
+
+    place = _placed() if position else []
     if not header:
         df = reader.schema(string_schema(columns)).csv(path)
-        return df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) for c in columns])
+        return numbered(df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) for c in columns],
+                                  *place))
     df = reader.csv(path)
+    names_read = df.columns
+    df = df.select(*[F.col(f"`{c}`") for c in names_read], *place)
     if _is_windows(encoding):
         names = str.maketrans(_LATIN_1, _WINDOWS)
         df = df.toDF(*[c.translate(names) for c in df.columns])
-    wanted = columns or df.columns
-    missing = [c for c in wanted if c not in df.columns]
+        names_read = [c.translate(names) for c in names_read]
+    wanted = columns or names_read
+    missing = [c for c in wanted if c not in names_read]
     if missing:
-        raise ValueError(f"{path} has no column {missing}; it has {df.columns}")
+        raise ValueError(f"{path} has no column {missing}; it has {names_read}")
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) if c in text
-                       else F.col(f"`{c}`") for c in wanted])
+    return numbered(df.select(*[_as_read(F.col(f"`{c}`"), encoding).alias(c) if c in text
+                                else F.col(f"`{c}`") for c in wanted],
+                              *[c for c in _PLACE if position]))
 
 
 def read_records(spark: SparkSession, path: str, encoding: str = "UTF-8",
@@ -77,31 +127,15 @@ def read_records(spark: SparkSession, path: str, encoding: str = "UTF-8",
 
     ``pos`` is the line's number in its file, from 0 and without holes.  Splittable: a file larger
     than a split is read by several tasks.  The files are read once and their records written to
-    the shared folder as Parquet, each with its split and its number there; one count a split,
-    summed up in the order of the splits' offsets, then makes the numbers those of the file, and
-    whatever uses the records reads only the columns that it needs.  What ``terminator_regex``
-    matches at the end of a line is not part of the record.
+    the shared folder (:func:`_numbered`), so whatever uses the records reads only the columns that
+    it needs.  What ``terminator_regex`` matches at the end of a line is not part of the record.
     """
     lines = (spark.read.option("recursiveFileLookup", "true").option("lineSep", "\n").text(path))
     text = F.col("value")
     if encoding.upper().replace("_", "-") not in ("UTF-8", "UTF8"):
         text = _as_read(F.decode(text.cast("binary"), _reader_charset(encoding)), encoding)
-    at = lines.select(F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_block_start").alias("__split"),
-                      F.monotonically_increasing_id().alias("__id"),
-                      F.regexp_replace(text, terminator_regex, "").alias("record"))
-    folder = shared_scratch(spark, "records")
-    at.write.parquet(folder)
-    held = spark.read.schema(at.schema).parquet(folder)
-    # A task may read several splits, so the numbers of one start at its least.
-    splits = held.groupBy("file", "__split").agg(F.min("__id").alias("__first"),
-                                                 F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("file").orderBy("__split").rowsBetween(
-        Window.unboundedPreceding, -1)
-    starts = splits.select("file", "__split", (F.coalesce(F.sum("__n").over(before), F.lit(0))
-                                               - F.col("__first")).alias("__start"))
-    return held.join(starts, ["file", "__split"]).select(
-        "file", (F.col("__start") + F.col("__id")).alias("pos"), "record")
+    at = lines.select(*_placed(), F.regexp_replace(text, terminator_regex, "").alias("record"))
+    return _numbered(at, "pos", per_file=True).select(F.col("__file").alias("file"), "pos", "record")
 
 
 def skip_leading(records: DataFrame, n: int) -> DataFrame:
