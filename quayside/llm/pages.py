@@ -6,10 +6,12 @@ footers, side bars, notices, adverts, forms, comments, hidden parts) weigh nothi
 the weights over windows of ``WINDOW`` lines are then scanned: text begins where a sum surges
 and ends where it dives, and the lines between are kept.
 
-Where the page marks its article (``article``, ``main``, or an outermost part named as such),
-only lines in it weigh and any weight is a surge, so nothing of it is dropped.  Elsewhere a surge
-needs a share of the page's largest sum, and segments far smaller than the largest are left out.
-What follows a heading of reader comments is left out.
+Where the page marks its article (``article``, ``main``, or a part named as such; the outermost
+ones count), only lines in marked parts weigh.  Window sums choose among several: a part is kept
+where a sum in it surges to a share of the largest in any.  Within a kept part any weight is a
+surge, so nothing of it is dropped.  Elsewhere a surge needs that share of the page's largest sum,
+and segments far smaller than the largest are left out.  What follows a heading of reader
+comments is left out.
 
 Character references are decoded, white space inside a line becomes one space, and lines are
 joined by a newline.  A null or empty page, or one without text, gives an empty text.
@@ -31,8 +33,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from quayside.llm import batches as B
 
 WINDOW = 3
-SURGE = 0.2  # of the largest window sum, on pages that mark no article
-SEGMENT = 0.25  # of the largest segment's weight, likewise
+SURGE = 0.2  # of the largest window sum
+SEGMENT = 0.25  # of the largest segment's weight, on pages that mark no article
 
 # HTML element names, and words that sites name such parts with.
 BLOCKS = frozenset(
@@ -167,7 +169,7 @@ def lines_of(html: str) -> list[Line]:
         if not gone and left_out(tag, attributes, bool(article)):
             flush()
             gone = True
-        if not gone and (tag in ARTICLES or not article and attributes and tag in (
+        if not gone and not article and (tag in ARTICLES or attributes and tag in (
                 "div", "section", "td") and names_article(attributes)):
             articles += 1
             article = articles
@@ -194,21 +196,29 @@ def segments(weights: np.ndarray, surge: float) -> list[tuple[int, int]]:
     return found
 
 
+def article_peaks(lines: list[Line], ended: dict[int, int]) -> dict[int, int]:
+    """The largest window sum within each marked article."""
+    own: dict[int, list[int]] = {}
+    for i, x in enumerate(lines):
+        if x.article > 0 and i < ended.get(x.article, len(lines)):
+            own.setdefault(x.article, []).append(x.weight)
+    return {k: max(sum(w[i:i + WINDOW]) for i in range(len(w))) for k, w in own.items()}
+
+
 def main_text(html: str) -> str:
     """The main text of one page."""
     lines = lines_of(html)
     weights = np.array([x.weight for x in lines], np.int64)
-    sizes: dict[int, int] = {}
-    for x in lines:
-        if x.article > 0:
-            sizes[x.article] = sizes.get(x.article, 0) + x.weight
-    # A heading of reader comments ends its article (or the page).
+    # A heading of reader comments ends its article, one beside the articles all after it.
     ended = {x.article: i for i, x in reversed([*enumerate(lines)])
              if x.heading and COMMENT_HEADING.fullmatch(x.text)}
-    if any(sizes.values()):
-        main = max(sizes, key=lambda k: (sizes[k], -k))
-        kept = [x.article == main and i < ended.get(main, len(lines))
+    peaks = article_peaks(lines, ended)
+    if any(peaks.values()):
+        most = max(peaks.values())
+        kept = [peaks.get(x.article, 0) >= max(1, SURGE * most) and i < ended.get(x.article, len(lines))
                 for i, x in enumerate(lines)]
+        first = kept.index(True)
+        kept = [k and not first < ended.get(0, -1) < i for i, k in enumerate(kept)]
         parts = segments(np.where(kept, np.maximum(weights, 1), 0), 1)
     else:
         kept = [x.weight > 0 for x in lines]
