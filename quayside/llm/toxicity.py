@@ -185,9 +185,12 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
           rows: int = SAMPLE_ROWS) -> Lexicon:
     """Learn a lexicon from texts with labels 0 and 1 (at most ``rows`` distinct texts)."""
     folder = shared_scratch(spark, "toxicity-sample")
-    (labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull())
-     .select(F.col(text).alias("text"), F.col(label).cast("int").alias("label"))
-     .dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(rows)
+    given = (labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull())
+             .select(F.xxhash64(text).alias("key"), F.col(text).alias("text"),
+                     F.col(label).cast("int").alias("label")))
+    # Chosen by hash, so that no task sorts texts; the chosen ones (``rows`` longs) find them.
+    chosen = given.select("key").distinct().orderBy("key").limit(rows)
+    (given.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("text", "label")
      .repartition(8).write.parquet(folder))
     sample = spark.read.schema("text string, label int").parquet(folder)
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
