@@ -63,7 +63,7 @@ def test_payloads_urls_and_small_archives(spark, tmp_dir, monkeypatch):
     got = [(number(r.page_id), r.payload_bytes, r.payload_digest, r.record_type,
             number(r.refers_to)) for r in rows]
     assert sorted(got, key=repr) == expected(pages(), least=100)
-    assert len(glob.glob(f"{folder}/*.warc.zst")) > 8
+    assert len(glob.glob(f"{folder}/*.warc.zst")) > 1
     by_id = {r.page_id: r for r in rows}
     for page, url, html in pages():
         r = by_id[None if page is None else str(page)]
