@@ -43,7 +43,7 @@ CELLS_EACH, LEAST_BITS, MOST_BITS = 4, 12, 27  # a sketch row has 2**bits cells
 BLOCK = 16  # bits of a cell's place in its block
 CHUNK = 1 << 20  # prefixes sketched at once in a task
 OUT_ROWS = 1 << 13
-ID_RANGE = 1 << 12  # ids of a chunk lie in a range of so many
+ID_BITS = 12  # ids of a chunk are equal but for so many low bits
 
 PATHS = ("conv_id long, depth int, digest binary, parent binary, size long, last boolean")
 
@@ -210,9 +210,9 @@ def screened(prefixes: DataFrame) -> DataFrame:
 
 def _ends(shared: DataFrame) -> DataFrame:
     """(digest, ends_sha256) of the nodes where conversations end."""
-    chunks = (shared.where("last").groupBy("digest", F.floor(F.col("conv_id") / ID_RANGE)
+    chunks = (shared.where("last").groupBy("digest", F.shiftright("conv_id", ID_BITS)
                                            .alias("place"))
-              .agg(F.array_sort(F.collect_list("conv_id")).alias("ids"))  # at most ID_RANGE ids
+              .agg(F.array_sort(F.collect_list("conv_id")).alias("ids"))  # 2**ID_BITS at most
               .select("digest", "place", F.concat_ws(",", F.col("ids").cast("array<string>"))
                       .alias("ids")))
 

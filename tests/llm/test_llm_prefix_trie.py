@@ -97,7 +97,7 @@ def test_an_estimate_of_one_is_proof_and_most_tails_have_it(spark):
 
 
 def test_without_families_and_over_many_ends_of_a_node(spark, monkeypatch):
-    monkeypatch.setattr(prefix_trie, "ID_RANGE", 8)
+    monkeypatch.setattr(prefix_trie, "ID_BITS", 3)
     monkeypatch.setattr(prefix_trie, "OUT_ROWS", 16)
     data = [r for r in conversations() if r[0] is not None]
     own = {}
@@ -112,6 +112,8 @@ def test_odd_tables(spark):
     assert prefix_trie.op12(frame(spark, [(None, 1, "user", "x")])).collect() == []
     one = [(3, 0, "user", "x"), (3, 0, "user", "x"), (3, 0, "user", "x")]
     assert collected(prefix_trie.op12(frame(spark, one))) == brute(rebuilt(one))
+    big = [(2**62 + k * 7, t, "user", "x") for k in range(40) for t in range(k % 3 + 1)]
+    assert collected(prefix_trie.op12(frame(spark, big))) == brute(rebuilt(big))
     below = [(-7, t, "user", str(t)) for t in range(4)]  # of the family of -5, as SQL's % has it
     assert {r.conv_id for r in prefix_trie.trie(prefix_trie.paths(frame(spark, below))).collect()} \
         == {-7}
