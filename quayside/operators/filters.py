@@ -35,13 +35,15 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
     return df.where(F.col(line_col) != F.lit(blank))
 
 
-# Keywords shorter than SHORT are looked up before all others; those of LONG characters or more
-# by grams of that size, those between by grams of SHORT characters.
+# Keywords of one character are looked up before all others, those shorter than SHORT as they
+# are, those of LONG characters or more by grams of that size, those between by grams of SHORT.
 SHORT, LONG = 3, 6
 
 
 def _grams(text: str, n: int) -> Column:
     """The overlapping character grams of a text column, in one pass of the text."""
+    if n == 1:
+        return F.split(text, "")
     return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
 
 
@@ -58,11 +60,10 @@ def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = LONG) -> Dat
         F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
-def _short_hits(texts: DataFrame, keywords: DataFrame) -> DataFrame:
-    """The texts with a keyword of one or two characters, which is a gram itself."""
-    grams = F.array_distinct(F.concat(F.split("text", ""), _grams("text", SHORT - 1)))
-    return (texts.select("text", F.explode(grams).alias("keyword"))
-            .join(keywords.where(F.length("keyword") < SHORT), "keyword", "left_semi")
+def _gram_hits(texts: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
+    """The texts with a keyword of ``n`` characters, which is a gram itself."""
+    return (texts.select("text", F.explode(F.array_distinct(_grams("text", n))).alias("keyword"))
+            .join(keywords.where(F.length("keyword") == n), "keyword", "left_semi")
             .select("text").distinct())
 
 
@@ -86,19 +87,21 @@ def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
                  keyword_col: str = "keyword") -> DataFrame:
     """The distinct values of ``text_col`` that contain any keyword of a table of any size.
 
-    Each distinct text is looked at once.  Keywords of one or two characters are looked up first,
-    among the short grams of the texts, as they have most hits; the texts left meet longer ones
-    through indexes of each keyword's rarest gram.  No keyword goes through the driver, and no
-    text meets a keyword whose rarest gram it lacks.
+    Each distinct text is looked at once.  Keywords of one character are looked up first, as they
+    have most hits and a text few characters; the texts left meet those of two among their grams
+    and longer ones through indexes of each keyword's rarest gram.  No keyword goes through the
+    driver, and no text meets a keyword whose rarest gram it lacks.
     """
     words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
              .where(F.length("keyword") > 0).distinct())
     found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
-    hits = _short_hits(found, words)
+    hits = _gram_hits(found, words, 1)
     # Dealt out anew, so that what follows reads the texts left and doesn't find them again.
     rest = found.join(hits, "text", "left_anti").repartition("text")
     longer = words.where(F.length("keyword") >= LONG)
     middle = words.where((F.length("keyword") >= SHORT) & (F.length("keyword") < LONG))
+    for n in range(2, SHORT):
+        hits = hits.union(_gram_hits(rest, words, n))
     return (hits.union(_index_hits(rest, middle, SHORT)).union(_index_hits(rest, longer, LONG))
             .select(F.col("text").alias(text_col)))
 
