@@ -20,8 +20,8 @@ Plan shape, chosen for large sales tables:
 * the sales side is aggregated below the join too: replicated counting is linear, so sales are
   summed per (time, EN) first; apportioned counting rounds every split sale, so equal sales of a
   time are counted instead.  An hour with half of all sales sends one row per product group (or
-  per distinct sale) to the join, and totals per product come from the same aggregate: the sales
-  are read and shuffled once;
+  per distinct sale) to the join.  Where totals per product are wanted too, the aggregate is written
+  and serves both: the sales are read and shuffled once;
 * joins are left to the planner, which splits skewed hours at run time.
 """
 
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.aggregates import percent_of
 from quayside.operators.joins import keyed_join, lookup_join, with_group_total
+from quayside.session import shared_scratch
 
 _MONEY = "decimal(22,2)"
 
@@ -80,6 +81,15 @@ def round_div(numerator: str, denominator: int) -> Column:
                   f"ELSE -((-{n} * 2 + {d}) div {2 * d}) END")
 
 
+def _written(sold: DataFrame) -> DataFrame:
+    """``sold`` as a table in the shared folder.  Its two uses filter the sales in their own ways
+    (a join drops null times, totals don't), so the planner would read them twice."""
+    spark = sold.sparkSession
+    folder = shared_scratch(spark, "sold")
+    sold.write.parquet(folder)
+    return spark.read.schema(sold.schema).parquet(folder)
+
+
 def product_totals(sold: DataFrame) -> DataFrame:
     """``EN, total_revenue_product, total_units_product`` of :func:`sums_by_time` or
     :func:`equal_sales`."""
@@ -197,7 +207,7 @@ def replicated_product_share(harbour, sales, nationalities, dictionary, time_col
     ``collation`` (e.g. ``"UTF8_LCASE_RTRIM"``) sets how ship names and product keys are
     matched; the default compares them exactly.
     """
-    sold = sums_by_time(sales, dictionary, collation)
+    sold = _written(sums_by_time(sales, dictionary, collation))
     return _product_share(replicated_sums(harbour, sold, nationalities, time_col, collation),
                           product_totals(sold))
 
@@ -212,7 +222,7 @@ def replicated_basket_mix(harbour, sales, nationalities, dictionary, time_col="D
 def apportioned_product_share(harbour, sales, nationalities, dictionary, time_col="DateTime",
                               collation=None):
     """Q6: Q1 with every sale split by passenger share."""
-    sold = equal_sales(sales, dictionary, collation)
+    sold = _written(equal_sales(sales, dictionary, collation))
     return _product_share(apportioned_sums(harbour, sold, nationalities, time_col, collation),
                           product_totals(sold))
 
