@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_one_query_an_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_follow_their_operators(spark, duck, tmp_dir):
