@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
 from quayside.functions.text import contains_any
+from quayside.session import shared_scratch
 
 
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -60,6 +61,13 @@ def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = LONG) -> Dat
         F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
+def _written(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``df`` as a table in the shared folder, so its parts' sizes are known to the planner."""
+    folder = shared_scratch(df.sparkSession, name)
+    df.write.partitionBy(by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _gram_hits(texts: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
     """The texts with a keyword of ``n`` characters, which is a gram itself."""
     return (texts.select("text", F.explode(F.array_distinct(_grams("text", n))).alias("keyword"))
@@ -67,18 +75,17 @@ def _gram_hits(texts: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
             .select("text").distinct())
 
 
-def _index_hits(texts: DataFrame, keywords: DataFrame, gram: int) -> DataFrame:
-    """The texts with a keyword of ``gram`` or more characters.
+def _index_hits(texts: DataFrame, index: DataFrame, gram: int) -> DataFrame:
+    """The texts with a keyword of the index of grams of ``gram`` characters.
 
-    Texts and grams are known by their hashes while they meet in the index of rarest grams; only
-    candidates' texts are fetched, and each is verified by ``contains``.
+    Texts and grams are known by their hashes while they meet in the index; only candidates'
+    texts are fetched, and each is verified by ``contains``.
     """
-    index = rarest_grams(keywords, "keyword", gram).select(
-        F.xxhash64("gram").alias("gram"), "keyword")
     key = F.xxhash64("text").alias("key")
     candidates = (texts.select(key, F.explode(_grams("text", gram)).alias("gram"))
                   .select("key", F.xxhash64("gram").alias("gram"))
-                  .join(index, "gram").select("key", "keyword").distinct())
+                  .join(index.where(F.col("size") == gram).drop("size"), "gram")
+                  .select("key", "keyword").distinct())
     met = texts.select(key, "text").join(candidates, "key")
     return met.where(F.contains("text", "keyword")).select("text").distinct()
 
@@ -91,18 +98,27 @@ def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
     have most hits and a text few characters; the texts left meet those of two among their grams
     and longer ones through indexes of each keyword's rarest gram.  No keyword goes through the
     driver, and no text meets a keyword whose rarest gram it lacks.
+
+    The texts, parted by that first look, and the index are written once: later steps read the
+    texts left and don't find them again, and the planner knows the index's size, so that beside
+    a small one no gram is shuffled.
     """
     words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
              .where(F.length("keyword") > 0).distinct())
-    found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
-    hits = _gram_hits(found, words, 1)
-    # Dealt out anew, so that what follows reads the texts left and doesn't find them again.
-    rest = found.join(hits, "text", "left_anti").repartition("text")
-    longer = words.where(F.length("keyword") >= LONG)
     middle = words.where((F.length("keyword") >= SHORT) & (F.length("keyword") < LONG))
+    longer = words.where(F.length("keyword") >= LONG)
+    index = _written(reduce(DataFrame.union, [
+        rarest_grams(part, "keyword", size).select(
+            F.xxhash64("gram").alias("gram"), "keyword", F.lit(size).alias("size"))
+        for part, size in ((middle, SHORT), (longer, LONG))]), "keyword-index", "size")
+    found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
+    settled = _gram_hits(found, words, 1).withColumn("hit", F.lit(True))
+    parted = _written(found.join(settled, "text", "left").select(
+        "text", F.coalesce("hit", F.lit(False)).alias("hit")), "keyword-texts", "hit")
+    hits, rest = parted.where("hit").select("text"), parted.where("NOT hit").select("text")
     for n in range(2, SHORT):
         hits = hits.union(_gram_hits(rest, words, n))
-    return (hits.union(_index_hits(rest, middle, SHORT)).union(_index_hits(rest, longer, LONG))
+    return (hits.union(_index_hits(rest, index, SHORT)).union(_index_hits(rest, index, LONG))
             .select(F.col("text").alias(text_col)))
 
 

@@ -97,6 +97,27 @@ def test_keyword_exclusion_list_and_table(spark):
             assert sorted(x for x in got if x is not None) == left and got.count(None) == 1
 
 
+def test_keywords_of_all_sizes_against_a_scan(spark):
+    import random
+
+    from quayside.operators.filters import keyword_hits
+    rng = random.Random(4)
+
+    def some(least, most, n):
+        return ["".join(rng.choice("abé\n") for _ in range(rng.randint(least, most)))
+                for _ in range(n)]
+
+    lines = some(0, 30, 300) + ["ab" * 5_000]
+    texts = spark.createDataFrame([(x,) for x in [*lines, *lines[:50], None]], "line string")
+    for words in (some(2, 2, 1) + some(3, 9, 20), some(6, 12, 30), some(3, 5, 2), ["é"], []):
+        kw = spark.createDataFrame([(w,) for w in words], "keyword string")
+        got = [r.line for r in keyword_hits(texts, "line", kw).collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == {x for x in lines if any(w in x for w in words)}
+    none = spark.createDataFrame([], "line string")
+    assert keyword_hits(none, "line", texts, "line").count() == 0
+
+
 def test_outer_merge_with_a_key_that_holds_most_rows(spark):
     """Equal to a full outer join, null and repeated keys too, and without one in its plan."""
     a = spark.createDataFrame([(1, k, "x") for k in range(400)] + [(2, 0, "y"), (None, 1, "z"),
