@@ -72,7 +72,7 @@ def _gram_hits(texts: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
     """The texts with a keyword of ``n`` characters, which is a gram itself."""
     return (texts.select("text", F.explode(F.array_distinct(_grams("text", n))).alias("keyword"))
             .join(keywords.where(F.length("keyword") == n), "keyword", "left_semi")
-            .select("text").distinct())
+            .select("text"))
 
 
 def _index_hits(texts: DataFrame, index: DataFrame, gram: int) -> DataFrame:
@@ -87,7 +87,7 @@ def _index_hits(texts: DataFrame, index: DataFrame, gram: int) -> DataFrame:
                   .join(index.where(F.col("size") == gram).drop("size"), "gram")
                   .select("key", "keyword").distinct())
     met = texts.select(key, "text").join(candidates, "key")
-    return met.where(F.contains("text", "keyword")).select("text").distinct()
+    return met.where(F.contains("text", "keyword")).select("text")
 
 
 def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
@@ -112,14 +112,14 @@ def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
             F.xxhash64("gram").alias("gram"), "keyword", F.lit(size).alias("size"))
         for part, size in ((middle, SHORT), (longer, LONG))]), "keyword-index", "size")
     found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
-    settled = _gram_hits(found, words, 1).withColumn("hit", F.lit(True))
+    settled = _gram_hits(found, words, 1).distinct().withColumn("hit", F.lit(True))
     parted = _written(found.join(settled, "text", "left").select(
         "text", F.coalesce("hit", F.lit(False)).alias("hit")), "keyword-texts", "hit")
-    hits, rest = parted.where("hit").select("text"), parted.where("NOT hit").select("text")
-    for n in range(2, SHORT):
-        hits = hits.union(_gram_hits(rest, words, n))
-    return (hits.union(_index_hits(rest, index, SHORT)).union(_index_hits(rest, index, LONG))
-            .select(F.col("text").alias(text_col)))
+    rest = parted.where("NOT hit").select("text")
+    later = reduce(DataFrame.union, [
+        *(_gram_hits(rest, words, n) for n in range(2, SHORT)),
+        *(_index_hits(rest, index, size) for size in (SHORT, LONG))]).distinct()
+    return parted.where("hit").select("text").union(later).toDF(text_col)
 
 
 def exclude_keywords(df: DataFrame, text_col: str, keywords,
