@@ -1,10 +1,12 @@
 """op5: quality classifier by supervised subword embeddings.
 
-A text is a bag of tokens: its words, every run of 3 to 5 bytes (blanks mark word borders) and
-one more token for each word whose 3-word window has occurred before in the text.  Tokens are
-hashed to ``BUCKETS`` learned vectors, which are averaged over the text; a softmax layer gives
-the two classes.  Vectors and layer are trained by stochastic gradient descent in numpy, inside
-one task over a bounded sample.
+A text is a bag of tokens: its words and every run of 3 to 5 characters (code points; blanks mark
+word borders).  Tokens are hashed to ``BUCKETS`` learned vectors, which are averaged over the
+text; a softmax layer gives the two classes.  Vectors and layer are trained by stochastic gradient
+descent in numpy, inside one task over a bounded sample.
+
+One token is an addition to the method: each 3-word window that has occurred before in the text
+gives ``AGAIN``, as an average of n-grams can't tell a text from one that repeats itself.
 
 The softmax of two classes depends on the difference of their outputs only, and that is linear
 in the averaged vector; so scoring needs one number a bucket, its vector's share of that
@@ -36,6 +38,8 @@ EPOCHS, RATE, DECAY = 8, 1.0, 1e-6
 SAMPLE_ROWS = 3_000
 GRAMS = (3, 4, 5)
 AGAIN = np.uint64(0xA6A1)  # the token of a repeated window
+MIX = np.uint64(0x100000001B3)  # odd factor of the characters' running hash
+TOKEN_STEP = 30  # a token's share of a text is small: its vector takes so many steps, one at most
 
 REPORT = StructType([StructField("score", DoubleType())])
 
@@ -54,16 +58,31 @@ def tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         again = pd.Series(B.mix(windows + rows[:-2].astype(np.uint64))).duplicated().to_numpy()
         at = rows[:-2][inside & again]
         yield _bucket(np.full(len(at), AGAIN)), at
-    code = raw.astype(np.uint64) + np.uint64(1)
+    code, row = characters(raw, row)
     for n in GRAMS:
-        size = len(raw) - n + 1
+        size = len(code) - n + 1
         if size <= 0:
             continue
         gram = code[:size].copy()
         for k in range(1, n):
-            gram = gram << np.uint64(9) | code[k:size + k]
+            gram = gram * MIX + code[k:size + k]
         inside = row[:size] == row[n - 1:]
-        yield _bucket(gram[inside] + np.uint64(n) * np.uint64(1 << 50)), row[:size][inside]
+        yield _bucket(gram[inside] * MIX + np.uint64(n)), row[:size][inside]
+
+
+def characters(raw: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code point, row) of the characters of valid UTF-8 bytes."""
+    starts = np.flatnonzero(raw & 0xC0 != 0x80)
+    lead = raw[starts].astype(np.uint64)
+    code = lead.copy()
+    padded = np.append(raw & 0x3F, np.zeros(3, np.uint8)).astype(np.uint64)
+    for least, mask, more in ((0xC0, 0x1F, 1), (0xE0, 0x0F, 2), (0xF0, 0x07, 3)):
+        at = np.flatnonzero(lead >= least)
+        value = lead[at] & np.uint64(mask)
+        for k in range(1, more + 1):
+            value = value << np.uint64(6) | padded[starts[at] + k]
+        code[at] = value
+    return code, row[starts]
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -106,8 +125,8 @@ def descend(examples: list, labels: np.ndarray) -> tuple[np.ndarray, float]:
             back = layer @ p
             layer -= rate * np.outer(mean, p)
             bias -= np.float32(0.1) * rate * p
-            # A token's step follows its share of the text, scaled to the text's tokens.
-            vectors[ids] = held * (1 - np.float32(DECAY)) - rate * 30 * np.outer(share, back)
+            pull = rate * np.minimum(np.float32(TOKEN_STEP) * share, np.float32(1))
+            vectors[ids] = held * (1 - np.float32(DECAY)) - np.outer(pull, back)
     return vectors @ (layer[:, 1] - layer[:, 0]), float(bias[1] - bias[0])
 
 
@@ -115,10 +134,14 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
           rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """Learn from texts with labels 0 and 1 (at most ``rows`` distinct texts, in one task)."""
     folder = shared_scratch(spark, "classifier")
-    sample = (labelled.where(F.col(label).isin(0, 1))
-              .select(F.coalesce(F.col(text), F.lit("")).alias("text"),
-                      F.col(label).cast("int").alias("label"))
-              .dropDuplicates(["text"]).orderBy(F.xxhash64("text"), "text").limit(rows))
+    words = F.coalesce(F.col(text), F.lit(""))
+    given = labelled.where(F.col(label).isin(0, 1)).select(
+        F.xxhash64(words).alias("key"), words.alias("text"),
+        F.col(label).cast("int").alias("label"))
+    # Chosen by hash, so that only chosen texts (``rows`` of them) are sorted.
+    chosen = given.select("key").distinct().orderBy("key").limit(rows)
+    sample = (given.join(F.broadcast(chosen), "key")
+              .groupBy("key").agg(F.min("text").alias("text"), F.max("label").alias("label")))
 
     def run(batches):
         examples, labels = [], []
@@ -133,7 +156,8 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
                 ["shares", "bias"])
 
     kind = StructType([StructField("shares", BinaryType()), StructField("bias", DoubleType())])
-    sample.coalesce(1).mapInArrow(run, kind).write.parquet(folder)
+    (sample.repartition(1).sortWithinPartitions("key").select("text", "label")
+     .mapInArrow(run, kind).write.parquet(folder))
     found = spark.read.schema(kind).parquet(folder).collect()
     if not found:
         return np.zeros(BUCKETS, np.float32), 0.0
