@@ -14,7 +14,7 @@ the weight of its hits and that weight by its length in words; a logistic curve
 labelled rows maps them to a score.
 
 Labelled rows beyond ``SAMPLE_ROWS`` (those of least hash are taken) are not used, which bounds
-the training; every document is scored whole.  A null or empty text has no hits and gets the
+the training and, as a term or phrase needs ``MIN_DOCS`` of them, the lexicon; every document is scored whole.  A null or empty text has no hits and gets the
 score of that; without labels of both kinds nothing is learned and every score is 0.5.
 """
 
@@ -36,7 +36,6 @@ from quayside.llm import batches as B
 from quayside.session import shared_scratch
 
 SAMPLE_ROWS = 20_000
-MAX_TERMS = 5_000
 MIN_DOCS, MIN_NEIGHBOURS, MIN_ODDS = 5, 4, 2.0
 
 # Letters of other scripts and signs that look like Latin letters.
@@ -190,8 +189,9 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
                      F.col(label).cast("int").alias("label")))
     # Chosen by hash, so that no task sorts texts; the chosen ones (``rows`` longs) find them.
     chosen = given.select("key").distinct().orderBy("key").limit(rows)
-    (given.join(F.broadcast(chosen), "key").dropDuplicates(["key"]).select("text", "label")
-     .repartition(8).write.parquet(folder))
+    (given.join(F.broadcast(chosen), "key")
+     .groupBy("key").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+     .select("text", "label").repartition(8).write.parquet(folder))
     sample = spark.read.schema("text string, label int").parquet(folder)
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     n_hit, n_clean = counts.get(1, 0), counts.get(0, 0)
@@ -201,9 +201,8 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
     stats = (words.groupBy("term").agg(F.sum("label").alias("hit"),
                                        F.sum(1 - F.col("label")).alias("clean"))
              .withColumn("weight", _log_odds(F.col("hit"), F.col("clean"), n_hit, n_clean))
-             .where((F.col("hit") >= MIN_DOCS) & (F.col("weight") >= MIN_ODDS))
-             .orderBy(F.desc(F.col("weight") * F.col("hit")), "term").limit(MAX_TERMS))
-    near = words.join(F.broadcast(stats), "term")  # at most MAX_TERMS rows
+             .where((F.col("hit") >= MIN_DOCS) & (F.col("weight") >= MIN_ODDS)))
+    near = words.join(stats, "term")
     spread = (near.where("label = 1").groupBy("term", "before", "after").count()
               .groupBy("term").agg(F.count("*").alias("neighbours")))
     chosen = (stats.join(spread, "term")
@@ -218,10 +217,9 @@ def train(spark: SparkSession, labelled: DataFrame, *, text: str = "text", label
         .groupBy("phrase").agg(F.sum("label").alias("hit"),
                                F.sum(1 - F.col("label")).alias("clean"))
         .where((F.col("clean") >= MIN_DOCS)
-               & (_log_odds(F.col("hit"), F.col("clean"), n_hit, n_clean) <= 0))
-        .orderBy(F.desc("clean"), "phrase").limit(MAX_TERMS).collect())
-    lexicon = Lexicon(terms, [r["phrase"] for r in phrases
-                              if any(w in terms for w in r["phrase"].split(" "))])
+               & (_log_odds(F.col("hit"), F.col("clean"), n_hit, n_clean) <= 0)).collect())
+    lexicon = Lexicon(terms, sorted(r["phrase"] for r in phrases
+                                    if any(w in terms for w in r["phrase"].split(" "))))
     seen = score(sample, lexicon).select("toxicity.weight", "toxicity.n_words", "label").toPandas()
     lexicon.curve = logistic(features(seen["weight"].to_numpy(), seen["n_words"].to_numpy()),
                              seen["label"].to_numpy(float))
