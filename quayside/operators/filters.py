@@ -39,6 +39,7 @@ def drop_blank_records(df: DataFrame, line_col: str, blank: str) -> DataFrame:
 # Keywords of one character are looked up before all others, those shorter than SHORT as they
 # are, those of LONG characters or more by grams of that size, those between by grams of SHORT.
 SHORT, LONG = 3, 6
+INDEX_BYTES = 32 << 20  # an index up to this size is broadcast
 
 
 def _grams(text: str, n: int) -> Column:
@@ -61,65 +62,70 @@ def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = LONG) -> Dat
         F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
-def _written(df: DataFrame, name: str, by: str) -> DataFrame:
-    """``df`` as a table in the shared folder, so its parts' sizes are known to the planner."""
+def _written(df: DataFrame, name: str) -> DataFrame:
     folder = shared_scratch(df.sparkSession, name)
-    df.write.partitionBy(by).parquet(folder)
+    df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def _gram_hits(texts: DataFrame, keywords: DataFrame, n: int) -> DataFrame:
-    """The texts with a keyword of ``n`` characters, which is a gram itself."""
-    return (texts.select("text", F.explode(F.array_distinct(_grams("text", n))).alias("keyword"))
-            .join(keywords.where(F.length("keyword") == n), "keyword", "left_semi")
-            .select("text"))
-
-
-def _index_hits(texts: DataFrame, index: DataFrame, gram: int) -> DataFrame:
-    """The texts with a keyword of the index of grams of ``gram`` characters.
-
-    Texts and grams are known by their hashes while they meet in the index; only candidates'
-    texts are fetched, and each is verified by ``contains``.
-    """
-    key = F.xxhash64("text").alias("key")
-    candidates = (texts.select(key, F.explode(_grams("text", gram)).alias("gram"))
-                  .select("key", F.xxhash64("gram").alias("gram"))
-                  .join(index.where(F.col("size") == gram).drop("size"), "gram")
-                  .select("key", "keyword").distinct())
-    met = texts.select(key, "text").join(candidates, "key")
-    return met.where(F.contains("text", "keyword")).select("text")
+def keyword_index(keywords: DataFrame, keyword_col: str = "keyword") -> DataFrame:
+    """(gram, keyword, size): the hash of the gram that each keyword is looked up by."""
+    words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
+             .where(F.length("keyword") > 0).distinct())
+    length = F.length("keyword")
+    parts = [words.where(length < SHORT).select(
+        F.xxhash64("keyword").alias("gram"), "keyword", length.alias("size"))]
+    for size, fits in ((SHORT, (length >= SHORT) & (length < LONG)), (LONG, length >= LONG)):
+        parts.append(rarest_grams(words.where(fits), "keyword", size).select(
+            F.xxhash64("gram").alias("gram"), "keyword", F.lit(size).alias("size")))
+    return reduce(DataFrame.union, parts)
 
 
 def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
-                 keyword_col: str = "keyword") -> DataFrame:
+                 keyword_col: str = "keyword", index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The distinct values of ``text_col`` that contain any keyword of a table of any size.
 
     Each distinct text is looked at once.  Keywords of one character are looked up first, as they
-    have most hits and a text few characters; the texts left meet those of two among their grams
-    and longer ones through indexes of each keyword's rarest gram.  No keyword goes through the
-    driver, and no text meets a keyword whose rarest gram it lacks.
+    have most hits and a text few characters; the grams of the texts left, of those sizes that
+    keywords have, meet the written index of each keyword's rarest gram, and ``contains``
+    verifies.  No keyword goes through the driver, and no text meets a keyword whose rarest gram
+    it lacks.
 
-    The texts, parted by that first look, and the index are written once: later steps read the
-    texts left and don't find them again, and the planner knows the index's size, so that beside
-    a small one no gram is shuffled.
+    An index of at most ``index_bytes`` is broadcast, so neither grams nor texts move for it.
+    Beside a larger one, texts and grams are shuffled as hashes and only candidates are fetched.
     """
-    words = (keywords.select(F.col(keyword_col).cast("string").alias("keyword"))
-             .where(F.length("keyword") > 0).distinct())
-    middle = words.where((F.length("keyword") >= SHORT) & (F.length("keyword") < LONG))
-    longer = words.where(F.length("keyword") >= LONG)
-    index = _written(reduce(DataFrame.union, [
-        rarest_grams(part, "keyword", size).select(
-            F.xxhash64("gram").alias("gram"), "keyword", F.lit(size).alias("size"))
-        for part, size in ((middle, SHORT), (longer, LONG))]), "keyword-index", "size")
+    index = _written(keyword_index(keywords, keyword_col), "keyword-index")
+    held = index.groupBy("size").agg(
+        F.sum(F.octet_length("keyword") + 48).alias("bytes")).collect()  # four rows at most
+    sizes = sorted(r["size"] for r in held if r["size"] > 1)
     found = texts.select(F.col(text_col).alias("text")).where(F.length("text") > 0).distinct()
-    settled = _gram_hits(found, words, 1).distinct().withColumn("hit", F.lit(True))
-    parted = _written(found.join(settled, "text", "left").select(
-        "text", F.coalesce("hit", F.lit(False)).alias("hit")), "keyword-texts", "hit")
-    rest = parted.where("NOT hit").select("text")
-    later = reduce(DataFrame.union, [
-        *(_gram_hits(rest, words, n) for n in range(2, SHORT)),
-        *(_index_hits(rest, index, size) for size in (SHORT, LONG))]).distinct()
-    return parted.where("hit").select("text").union(later).toDF(text_col)
+    marked = found.withColumn("hit", F.lit(None).cast("boolean"))
+    if any(r["size"] == 1 for r in held):
+        letters = F.explode(F.array_distinct(_grams("text", 1))).alias("keyword")
+        settled = (found.select("text", letters)
+                   .join(index.where("size = 1"), "keyword", "left_semi")
+                   .select("text").distinct().withColumn("hit", F.lit(True)))
+        marked = found.join(settled, "text", "left")
+    if not sizes:
+        return marked.where("hit").select(F.col("text").alias(text_col))
+    grams = F.concat(*[_grams("text", size) for size in sizes])
+    longer = index.where("size > 1").select(F.col("gram").alias("at"), "keyword")
+    if sum(r["bytes"] for r in held if r["size"] > 1) <= index_bytes:
+        met = marked.select("text", "hit", F.explode_outer(
+            F.when(F.col("hit").isNull(), grams)).alias("gram"))
+        met = met.join(F.broadcast(longer), (F.xxhash64("gram") == F.col("at"))
+                       & F.contains("text", "keyword"), "left")
+        hits = met.where("hit OR keyword IS NOT NULL").select("text").distinct()
+    else:
+        marked = _written(marked.withColumn("key", F.xxhash64("text")), "keyword-texts")
+        rest = marked.where("hit IS NULL")
+        candidates = (rest.select("key", F.explode(grams).alias("gram"))
+                      .select("key", F.xxhash64("gram").alias("at"))
+                      .join(longer, "at").select("key", "keyword").distinct())
+        met = rest.alias("r").join(candidates.alias("c"), (F.col("r.key") == F.col("c.key"))
+                                   & F.contains("text", "keyword"), "left_semi")
+        hits = marked.where("hit").select("text").union(met.select("text"))
+    return hits.select(F.col("text").alias(text_col))
 
 
 def exclude_keywords(df: DataFrame, text_col: str, keywords,

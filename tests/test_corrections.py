@@ -109,11 +109,14 @@ def test_keywords_of_all_sizes_against_a_scan(spark):
 
     lines = some(0, 30, 300) + ["ab" * 5_000]
     texts = spark.createDataFrame([(x,) for x in [*lines, *lines[:50], None]], "line string")
-    for words in (some(2, 2, 1) + some(3, 9, 20), some(6, 12, 30), some(3, 5, 2), ["é"], []):
+    for words in (some(2, 2, 1) + some(3, 9, 20), some(6, 12, 30),
+                  some(3, 5, 2) + ["\n"], ["é"], []):
         kw = spark.createDataFrame([(w,) for w in words], "keyword string")
-        got = [r.line for r in keyword_hits(texts, "line", kw).collect()]
-        assert len(got) == len(set(got))
-        assert set(got) == {x for x in lines if any(w in x for w in words)}
+        for index_bytes in (1 << 20, 0):  # broadcast, shuffled
+            got = [r.line for r in keyword_hits(texts, "line", kw,
+                                                index_bytes=index_bytes).collect()]
+            assert len(got) == len(set(got))
+            assert set(got) == {x for x in lines if any(w in x for w in words)}
     none = spark.createDataFrame([], "line string")
     assert keyword_hits(none, "line", texts, "line").count() == 0
 
