@@ -21,6 +21,7 @@ documents that share an id are ordered by text; an empty table gives no files.
 
 from __future__ import annotations
 
+import json
 import os
 import string
 import struct
@@ -29,6 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -53,6 +55,18 @@ TEXT_BYTES = 2 << 20
 MARK, GROUP = "\x01", 256  # what sets words apart in a call of the library, and words a call
 CLOSING = string.punctuation.replace("'", "")  # none of it joins a letter before it
 
+# What a tokenizer file says whose words can be encoded apart from their text.
+APART = {
+    "truncation": None, "padding": None,
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+            "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+         "use_regex": False}]}}
+
 MANIFEST = StructType([
     StructField("part", IntegerType()), StructField("seq", IntegerType()),
     StructField("file", StringType()), StructField("n_docs", LongType()),
@@ -156,6 +170,28 @@ class FrameReader:
             at = last
 
 
+def _library(path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    found = Tokenizer.from_file(path)
+    found.encode_special_tokens = True  # their strings in a text are ordinary text
+    return found
+
+
+class LibraryTexts:
+    """Encodes whole texts with any tokenizer file."""
+
+    def __init__(self, path: str):
+        self.library = _library(path)
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and the number of ids of each text."""
+        ids = [self.library.encode(t, add_special_tokens=False).ids
+               for t in pc.fill_null(column, "").to_pylist()]
+        return (np.concatenate([np.zeros(0, np.int32), *(np.array(x, np.int32) for x in ids)]),
+                np.array([len(x) for x in ids], np.int64))
+
+
 class LibraryWords:
     """Encodes blank-separated words with a tokenizer file, as parts of whole texts.
 
@@ -166,10 +202,7 @@ class LibraryWords:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.library = _library(path)
         self.mark = self.library.encode(MARK, add_special_tokens=False).ids
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -205,13 +238,17 @@ class LibraryWords:
         return ids[B.ragged(firsts[order], lengths)], lengths.reshape(-1, 2).sum(axis=1)
 
 
-_tokenizers: dict[str, B.WordIds] = {}
+_tokenizers: dict[str, B.WordIds | LibraryTexts] = {}
 
 
-def tokenizer(path: str) -> B.WordIds:
-    """The encoder of the tokenizer file at ``path``, made once per worker process."""
+def tokenizer(path: str) -> B.WordIds | LibraryTexts:
+    """The encoder of the tokenizer file at ``path``, made once per worker process: by words
+    where the file says what :class:`LibraryWords` relies on, else by whole texts."""
     if path not in _tokenizers:
-        _tokenizers[path] = B.WordIds(LibraryWords(path))
+        with open(path, encoding="utf-8") as file:
+            said = json.load(file)
+        apart = all(said.get(part) == value for part, value in APART.items())
+        _tokenizers[path] = B.WordIds(LibraryWords(path)) if apart else LibraryTexts(path)
     return _tokenizers[path]
 
 

@@ -1,6 +1,7 @@
 """op9: files written and read back against the public library, and random access."""
 
 import io
+import json
 import random
 import zlib
 
@@ -45,6 +46,34 @@ def test_files_hold_the_library_ids_in_order(spark, library):
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r)) for r in got)
 
 
+@pytest.mark.parametrize("change", [
+    lambda said: said["normalizer"]["normalizers"].pop(),  # letters keep their case
+    lambda said: said["pre_tokenizer"]["pretokenizers"][1].update(add_prefix_space=True),
+    lambda said: said.update(truncation={"direction": "Right", "max_length": 9, "stride": 0,
+                                         "strategy": "LongestFirst"})])
+def test_another_file_is_encoded_by_whole_texts(spark, tmp_dir, change):
+    with open(PATH, encoding="utf-8") as file:
+        said = json.load(file)
+    change(said)
+    other = f"{tmp_dir}/other.json"
+    with open(other, "w", encoding="utf-8") as file:
+        json.dump(said, file)
+    library = Tokenizer.from_file(other)
+    library.encode_special_tokens = True
+    texts = [(k, t) for k, (_, t, _) in enumerate(rows())]
+    got = {r.doc_id: r.ids for r in _ids(spark, texts, other, tmp_dir).collect()}
+    assert got == {k: np.array([*library.encode(t or "", add_special_tokens=False).ids, 2],
+                               "<u4").tobytes() for k, t in texts}
+    assert isinstance(frames.tokenizer(other), frames.LibraryTexts)
+    assert not isinstance(frames.tokenizer(PATH), frames.LibraryTexts)
+
+
+def _ids(spark, texts, path, folder):
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    frames.write_tokens(docs, f"{folder}/ids", path, 2)
+    return frames.read_tokens(spark, f"{folder}/ids")
+
+
 def test_reads_only_wanted_documents(spark, tmp_dir):
     docs = spark.createDataFrame([(k, f"text number {k}") for k in range(300)],
                                  "doc_id long, text string")
