@@ -52,13 +52,15 @@ def _grams(text: str, n: int) -> Column:
 def rarest_grams(keywords: DataFrame, keyword_col: str, gram: int = LONG) -> DataFrame:
     """(keyword, gram): of each keyword's grams the one that fewest keywords have.
 
-    Keywords shorter than ``gram`` are not in it.  Ties go to the least gram.
+    Keywords shorter than ``gram`` are not in it.  Ties go to the least gram.  The grams are
+    joined by a shuffle at every size: the planner's size of exploded rows is that of the keywords,
+    several times too small to broadcast by.
     """
     each = (keywords.select(F.col(keyword_col).alias("keyword")).distinct()
             .where(F.length("keyword") >= gram)
             .withColumn("gram", F.explode(F.array_distinct(_grams("keyword", gram)))))
     counts = each.groupBy("gram").agg(F.count("*").alias("n"))
-    return each.join(counts, "gram").groupBy("keyword").agg(
+    return each.join(counts.hint("merge"), "gram").groupBy("keyword").agg(
         F.min_by("gram", F.struct("n", "gram")).alias("gram"))
 
 
@@ -121,7 +123,7 @@ def keyword_hits(texts: DataFrame, text_col: str, keywords: DataFrame,
         rest = marked.where("hit IS NULL")
         candidates = (rest.select("key", F.explode(grams).alias("gram"))
                       .select("key", F.xxhash64("gram").alias("at"))
-                      .join(longer, "at").select("key", "keyword").distinct())
+                      .join(longer.hint("merge"), "at").select("key", "keyword").distinct())
         met = rest.alias("r").join(candidates.alias("c"), (F.col("r.key") == F.col("c.key"))
                                    & F.contains("text", "keyword"), "left_semi")
         hits = marked.where("hit").select("text").union(met.select("text"))

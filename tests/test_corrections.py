@@ -136,3 +136,12 @@ def test_outer_merge_with_a_key_that_holds_most_rows(spark):
     assert rows(got) == rows(expected)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in plan and "Inner" in plan and plan.count("LeftAnti") == 2
+
+
+def test_the_exploded_grams_of_a_keyword_table_are_never_broadcast(spark):
+    from quayside.operators.filters import rarest_grams
+    words = spark.range(50).select(F.format_string("Customer#%09d@", "id").alias("keyword"))
+    found = rarest_grams(words, "keyword")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {r.keyword: r.gram for r in found.collect()}
+    assert len(got) == 50 and all(g in w and len(g) == 6 for w, g in got.items())
