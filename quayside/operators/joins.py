@@ -3,6 +3,10 @@
 All are equi-joins left to the planner: it broadcasts a side whose statistics are small, AQE
 does so when a finished stage proves small, and AQE splits skewed partitions.  Nothing is
 persisted or measured while a plan is built.
+
+Where both sides are large (:func:`task_count`), outer merges and anti joins deal their rows by
+key over as many tasks as the files ask for: the planner's number of partitions is fixed, and AQE
+joins them by their compressed bytes, up to one task that sorts all rows.
 """
 
 from __future__ import annotations
@@ -46,6 +50,32 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
     return keyed_join(fact, dim, on, how, collation)
 
 
+DEALT_BYTES = 8 << 20  # bytes of the files read for each task of a dealt join
+PLANNED_BYTES = 32 << 20  # joins that read less are left to the planner
+
+
+def task_count(*inputs: DataFrame) -> int:
+    """Tasks to deal rows over, by the sizes of the files that ``inputs`` read; 0 leaves it to the
+    planner."""
+    size = 0
+    for df in inputs:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size())]
+        size += sum(x for x in sizes if x < 1 << 60)  # rows of the driver's have no known size
+    return -(-size // DEALT_BYTES) if size > PLANNED_BYTES else 0
+
+
+def dealt(df: DataFrame, keys: list[str], tasks: int) -> DataFrame:
+    """``df`` with the rows of a key in one of ``tasks`` tasks; as it is where ``tasks`` is 0."""
+    return df.repartition(tasks, *keys) if tasks else df
+
+
+def anti_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``left`` whose key no row of ``right`` has."""
+    n = task_count(left, right)
+    return dealt(left, keys, n).join(dealt(right.select(*keys), keys, n), on=keys, how="left_anti")
+
+
 def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
                 suffixes: tuple[str, str] = ("_x", "_y")) -> DataFrame:
     """Full outer equi-join; non-key columns present on both sides get ``suffixes``.
@@ -55,7 +85,12 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
     of it.  Here the matches are an inner join, of which both sides can be split at run time, and
     the rows without a match come from anti joins with the other side's distinct keys (partial
     aggregates), of which the rows' side can be split.  Rows with a null key match nothing.
+
+    Large sides are dealt by key once for all three joins; then the rows of a hot key are in one
+    task, which streams and spills them.  They are spread over tasks again only where the planner
+    deals, below ``PLANNED_BYTES``.
     """
+    n = task_count(left, right)
     common = (set(left.columns) & set(right.columns)) - set(keys)
     lsel = [F.col(c).alias(c + suffixes[0]) if c in common else F.col(c)
             for c in left.columns if c not in keys]
@@ -63,11 +98,11 @@ def outer_merge(left: DataFrame, right: DataFrame, keys: list[str],
             for c in right.columns if c not in keys]
     lk = [F.col(k).alias(f"__l_{k}") for k in keys]
     rk = [F.col(k).alias(f"__r_{k}") for k in keys]
-    l2 = left.select(*lk, *lsel)
-    r2 = right.select(*rk, *rsel)
+    l2 = dealt(left.select(*lk, *lsel), [f"__l_{k}" for k in keys], n)
+    r2 = dealt(right.select(*rk, *rsel), [f"__r_{k}" for k in keys], n)
     cond = [F.col(f"__l_{k}") == F.col(f"__r_{k}") for k in keys]
-    l_only = l2.join(right.select(*rk).distinct(), cond, "left_anti")
-    r_only = r2.join(left.select(*lk).distinct(), cond, "left_anti")
+    l_only = l2.join(r2.select(*[f"__r_{k}" for k in keys]).distinct(), cond, "left_anti")
+    r_only = r2.join(l2.select(*[f"__l_{k}" for k in keys]).distinct(), cond, "left_anti")
     names = {c: t for c, t in [*l2.dtypes, *r2.dtypes]}
     rest = [c for c in [*l2.columns, *r2.columns] if not c.startswith(("__l_", "__r_"))]
 
