@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions._col import col_of
+from quayside.operators.joins import anti_join
 
 
 def merge_fixes(fixes: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
@@ -48,7 +49,7 @@ def apply_fixes(df: DataFrame, fixes: DataFrame, keys: list[str], fields: list[s
         exprs[c] = (F.coalesce(old, new) if mode == "soft" else F.coalesce(new, old)).cast(
             df.schema[c].dataType)
     fixed = joined.withColumns(exprs).select(*df.columns)
-    return fixed, fixes.join(df.select(*keys), on=keys, how="left_anti")
+    return fixed, anti_join(fixes, df, keys)
 
 
 def merge_corrections(keys: list[str], fields: list[str], soft: DataFrame | None = None,

@@ -145,3 +145,27 @@ def test_the_exploded_grams_of_a_keyword_table_are_never_broadcast(spark):
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     got = {r.keyword: r.gram for r in found.collect()}
     assert len(got) == 50 and all(g in w and len(g) == 6 for w, g in got.items())
+
+
+def test_large_merges_and_unused_fixes_are_dealt_by_the_files_sizes(spark, tmp_dir, monkeypatch):
+    """As many tasks as the files ask for, whatever AQE makes of the shuffled bytes; same rows."""
+    from quayside.operators import joins as J
+    a = [(k % 50 if k % 7 else None, k, "x") for k in range(400)] + [(3, 0, "x")] * 30
+    b = [(k, f"f{k}") for k in range(40, 90)] + [(None, "n"), (45, "again")]
+    spark.createDataFrame(a, "k long, a long, v string").write.parquet(f"{tmp_dir}/a")
+    spark.createDataFrame(b, "k long, v string").write.parquet(f"{tmp_dir}/b")
+    df, fixes = (spark.read.parquet(f"{tmp_dir}/{t}") for t in "ab")
+
+    def both():
+        return (C.apply_fixes(df, fixes, ["k"], ["v"])[1], outer_merge(df, fixes, ["k"]))
+
+    plans = lambda: [d._jdf.queryExecution().executedPlan().toString() for d in both()]
+    expected = [rows(d) for d in both()]
+    assert J.task_count(df, fixes) == 0 and not any("REPARTITION_BY_NUM" in p for p in plans())
+    monkeypatch.setattr(J, "PLANNED_BYTES", 0)
+    monkeypatch.setattr(J, "DEALT_BYTES", 500)
+    n = J.task_count(df, fixes)
+    assert n > 4 and J.task_count(spark.createDataFrame(b, "k long, v string")) == 0
+    for p in plans():
+        assert p.count(f", {n}), REPARTITION_BY_NUM") >= 2, p
+    assert [rows(d) for d in both()] == expected
