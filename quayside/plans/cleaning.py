@@ -28,7 +28,7 @@ from quayside.functions.time import (clean_clock_text, compact_time, iso_hour_te
                                      reorder_date_text, split_time_range)
 from quayside.operators import corrections as C
 from quayside.operators import filters as FL
-from quayside.operators.joins import outer_merge
+from quayside.operators.joins import anti_join, outer_merge
 from quayside.operators.reshape import expand_hours, hours_rejects
 from quayside.sources.files import skip_leading, with_row_id
 
@@ -87,8 +87,8 @@ def clean_roster(calls: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[
     df = df.withColumn("ETD", C.recode("ETD", END_OF_DAY))
     df = df.select(F.col("Boat").alias("boat"), F.col("Time").alias("time"), "date", "ETA", "ETD")
     if fixes.roster_fixes is not None:
-        reports["unused_roster_fixes"] = fixes.roster_fixes.join(
-            df.select("date", "boat"), ["date", "boat"], "left_anti")
+        reports["unused_roster_fixes"] = anti_join(
+            fixes.roster_fixes, df, ["date", "boat"])
         reports["conflicting_roster_fixes"] = C.fix_conflicts(
             fixes.roster_fixes, ["date", "boat"], ["ETA", "ETD"])
     return df, reports
@@ -118,8 +118,7 @@ def clean_calls(raw: DataFrame, fixes: Corrections) -> tuple[DataFrame, dict[str
     df, reports = raw.select(*kept, *CALL_COLUMNS).withColumnsRenamed(CALL_RENAMES), {}
     fields = ["ETA", "ETD", "passengers"]
     if fixes.call_fixes is not None:
-        reports["unused_call_fixes"] = fixes.call_fixes.join(
-            df.select("date", "boat"), ["date", "boat"], "left_anti")
+        reports["unused_call_fixes"] = anti_join(fixes.call_fixes, df, ["date", "boat"])
         reports["conflicting_call_fixes"] = C.fix_conflicts(
             fixes.call_fixes, ["date", "boat"], fields)
     df = C.apply_corrections(df, C.merge_corrections(
