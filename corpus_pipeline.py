@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Op 4: one document of each class of near duplicates stays, that of the least id."""
-    return minhash.deduplicate(docs)
+    return minhash.deduplicate(docs, idf="full")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
