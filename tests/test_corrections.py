@@ -121,6 +121,80 @@ def test_keywords_of_all_sizes_against_a_scan(spark):
     assert keyword_hits(none, "line", texts, "line").count() == 0
 
 
+def _exchanged(plan):
+    """Rows written by the shuffles of an executed plan."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _exchanged(plan.executedPlan())
+    if name.endswith("QueryStage"):
+        return _exchanged(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+    children = plan.children()
+    return own + sum(_exchanged(children.apply(k)) for k in range(children.size()))
+
+
+def test_beside_a_large_index_only_grams_it_may_have_are_shuffled(spark, monkeypatch):
+    import random
+
+    from quayside.operators import filters
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("abcdefgh 0#@") for _ in range(200)) for _ in range(200)]
+    lines += [lines[0]] * 20 + ["xCustomer#000000007@y", "by kite", "a lantern", "Customer#00000",
+                                "Customer#000000300@", "é🙂Customer#000000299@"]
+    words = [f"Customer#{k:09d}@" for k in range(300)] + ["kite", "lantern"]
+    written, parts = filters._written, []
+
+    def keep(df, name):
+        parts.append((name, df))
+        return written(df, name)
+
+    monkeypatch.setattr(filters, "_written", keep)
+    hits = filters.keyword_hits(spark.createDataFrame([(x,) for x in lines], "line string"), "line",
+                                spark.createDataFrame([(w,) for w in words], "keyword string"),
+                                index_bytes=1000)
+    assert sorted(r.line for r in hits.collect()) == sorted(
+        x for x in set(lines) if any(w in x for w in words))
+    moved = 0
+    for df in [hits, *(df for name, df in parts if name != "keyword-index")]:
+        df.collect()
+        moved += _exchanged(df._jdf.queryExecution().executedPlan())
+    assert 0 < moved < 2_000, moved  # the texts have over 40,000 grams of each size
+
+
+def test_a_large_index_in_parts_against_a_scan(spark):
+    import random
+
+    from quayside.operators.filters import keyword_hits
+    rng = random.Random(9)
+
+    def some(least, most, n):
+        return ["".join(rng.choice("abé🙂") for _ in range(rng.randint(least, most)))
+                for _ in range(n)]
+
+    lines = some(0, 40, 300) + ["ab" * 3_000]
+    words = (some(2, 2, 1) + some(4, 5, 5) + some(7, 11, 40) + some(12, 20, 200)
+             + [x[3:20] for x in lines[:40]] + [x[5:17] for x in lines[100:120]])
+    texts = spark.createDataFrame([(x,) for x in [*lines, *lines[:50], None]], "line string")
+    for letter in ([], ["🙂"]):
+        kw = spark.createDataFrame([(w,) for w in [*words, *letter, "", None]], "keyword string")
+        for index_bytes in (60, 500, 4_000):  # grams of 2, 3 and 6 characters are broadcast
+            got = [r.line for r in keyword_hits(texts, "line", kw,
+                                                index_bytes=index_bytes).collect()]
+            assert len(got) == len(set(got))
+            assert set(got) == {x for x in lines if any(w and w in x for w in [*words, *letter])}
+
+
+def test_the_filter_of_hashes_holds_them_all_and_few_others(spark):
+    from quayside.operators.filters import may_hold
+    hashes = spark.range(5_000).select(F.xxhash64("id").alias("h")).union(
+        spark.createDataFrame([(0,), (-1,), (2**63 - 1,), (-2**63,)], "h long"))
+    others = spark.range(10_000, 30_000).select(F.xxhash64("id").alias("k"))
+    for n, most in ((5_004, 1_000), (0, 20_000)):  # too small a filter is less sharp, not wrong
+        assert hashes.select(F.col("h").alias("k")).where(may_hold(hashes, n, "k")).count() == 5_004
+        assert others.where(may_hold(hashes, n, "k")).count() < most
+    assert others.where(may_hold(hashes.limit(0), 0, "k")).count() == 0
+
+
 def test_outer_merge_with_a_key_that_holds_most_rows(spark):
     """Equal to a full outer join, null and repeated keys too, and without one in its plan."""
     a = spark.createDataFrame([(1, k, "x") for k in range(400)] + [(2, 0, "y"), (None, 1, "z"),
@@ -147,6 +221,21 @@ def test_the_exploded_grams_of_a_keyword_table_are_never_broadcast(spark):
     assert len(got) == 50 and all(g in w and len(g) == 6 for w, g in got.items())
 
 
+def test_rare_grams_are_found_without_moving_all_grams(spark):
+    from collections import Counter
+
+    from quayside.operators.filters import rarest_grams
+    words = [f"Customer#{k:09d}@" for k in range(3_000)] + ["éCustomer#", "short", "aaaaaaa"]
+    kw = spark.createDataFrame([(w,) for w in [*words, *words[:9], None]], "keyword string")
+    found = rarest_grams(kw, "keyword")
+    got = {r.keyword: r.gram for r in found.collect()}
+    assert set(got) == {w for w in words if len(w) >= 6}
+    held = Counter(g for w in words for g in {w[k:k + 6] for k in range(len(w) - 5)})
+    assert all(g in w for w, g in got.items()) and got["aaaaaaa"] == "aaaaaa"
+    assert max(held[g] for g in got.values()) <= 20  # the first eight are in over 3,000
+    assert _exchanged(found._jdf.queryExecution().executedPlan()) < 10_000  # of 42,000 grams
+
+
 def test_large_merges_and_unused_fixes_are_dealt_by_the_files_sizes(spark, tmp_dir, monkeypatch):
     """As many tasks as the files ask for, whatever AQE makes of the shuffled bytes; same rows."""
     from quayside.operators import joins as J
